@@ -20,6 +20,15 @@ def text_to_long(text: Column) -> Column:
     return F.when(exact == F.floor(exact), exact.try_cast("long"))
 
 
+def computed_once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a costly column that filters above it do not evaluate again.
+
+    Spark pushes a filter below the projection it refers to, copying the expression; a generator
+    with one element per row is not crossed.
+    """
+    return df.select("*", F.explode(F.array(column)).alias(name))
+
+
 def is_fractional(data_type: T.DataType) -> bool:
     return isinstance(data_type, _FRACTIONAL)
 

@@ -5,9 +5,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.contracts import Contract
-from tickloom.functions.numbers import text_to_double, text_to_long
+from tickloom.functions.numbers import computed_once, text_to_double, text_to_long
 
-_VIOLATION = "struct<field:string,message:string>"
 _UNREADABLE = "_unreadable"
 
 
@@ -27,33 +26,39 @@ def _coerced(column: Column, actual: T.DataType, declared: T.DataType) -> Column
 
 
 def check(df: DataFrame, contract: Contract) -> DataFrame:
-    """Add ``typed`` (the coerced record) and ``violations`` (one per failed field)."""
+    """Add ``typed`` (the coerced record), ``valid`` and ``violations`` (one per failed field).
+
+    ``valid`` is a plain boolean, so readers that only want valid rows never build violations.
+    """
     present = {f.name: f.dataType for f in df.schema}
-    typed, found = {}, []
-    for field in contract.schema:
-        known = field.name in present
-        given = F.col(field.name) if known else F.lit(None)
-        value = (
-            _coerced(given, present[field.name], field.dataType)
-            if known else F.lit(None).cast(field.dataType)
-        )
-        typed[field.name] = value
+    typed = {
+        f.name: _coerced(F.col(f.name), present[f.name], f.dataType)
+        if f.name in present else F.lit(None).cast(f.dataType)
+        for f in contract.schema
+    }
+    found, passed = [], F.lit(True)
     for field in contract.schema:
-        known = field.name in present
-        given = F.col(field.name) if known else F.lit(None)
+        name, rules = field.name, contract.rules.get(field.name, ())
+        broken = [(rule.broken(typed), rule.message) for rule in rules]
+        absent = F.col(name).isNull() if name in present else F.lit(True)
         failures = [
-            (given.isNull(), "field required"),
-            (typed[field.name].isNull(), f"not a valid {field.dataType.simpleString()}"),
-            *[(r.broken(typed), r.message) for r in contract.rules.get(field.name, ())],
+            (absent, "field required"),
+            (typed[name].isNull(), f"not a valid {field.dataType.simpleString()}"),
+            *broken,
         ]
-        failed = F.lit(None).cast(_VIOLATION)
-        for condition, message in reversed(failures):
-            entry = F.struct(F.lit(field.name).alias("field"), F.lit(message).alias("message"))
-            failed = F.when(condition, entry).otherwise(failed)
-        found.append(failed)
+        message = F.lit(None).cast("string")
+        for condition, text in reversed(failures):
+            message = F.when(condition, text).otherwise(message)
+        found.append(F.when(
+            message.isNotNull(), F.struct(F.lit(name).alias("field"), message.alias("message"))
+        ))
+        passed = passed & typed[name].isNotNull()
+        for condition, _ in broken:
+            passed = passed & ~F.coalesce(condition, F.lit(False))
     return df.withColumns({
         "typed": F.struct(*[typed[c].alias(c) for c in contract.columns]),
-        "violations": F.filter(F.array(*found), lambda v: v.isNotNull()),
+        "valid": passed,
+        "violations": F.array_compact(F.array(*found)),
     })
 
 
@@ -64,12 +69,12 @@ def check_json(df: DataFrame, contract: Contract, value: str = "value") -> DataF
         + [T.StructField(_UNREADABLE, T.StringType())]
     )
     parsed = F.from_json(
-        F.col(value), as_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE}
+        F.col("raw"), as_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE}
     )
     kept = [c for c in df.columns if c != value]
-    fields = df.select(*kept, F.col(value).alias("raw"), parsed.alias("_record")).select(
-        *kept, "raw", "_record.*"
-    )
+    fields = computed_once(
+        df.select(*kept, F.col(value).alias("raw")), "_record", parsed
+    ).select(*kept, "raw", "_record.*")
     checked = check(fields, contract)
     unreadable = F.array(
         F.struct(F.lit("record").alias("field"), F.lit("not a JSON object").alias("message"))
@@ -77,14 +82,11 @@ def check_json(df: DataFrame, contract: Contract, value: str = "value") -> DataF
     broken = F.col(_UNREADABLE).isNotNull() | F.col("raw").isNull()
     return checked.select(
         *kept, "raw", "typed",
+        (F.col("valid") & ~broken).alias("valid"),
         F.when(broken, unreadable).otherwise(F.col("violations")).alias("violations"),
     )
 
 
-def is_valid() -> Column:
-    return F.size("violations") == 0
-
-
 def error_text() -> Column:
     return F.concat_ws(
         "; ", F.transform("violations", lambda v: F.concat(v["field"], F.lit(": "), v["message"]))
@@ -93,13 +95,13 @@ def error_text() -> Column:
 
 def valid_records(checked: DataFrame) -> DataFrame:
     """Publish side: the coerced record with undeclared fields dropped."""
-    return checked.where(is_valid()).select("typed.*")
+    return checked.where("valid").select("typed.*")
 
 
 def dead_letters(checked: DataFrame, topic: str, seen_at: Column | None = None) -> DataFrame:
     """Envelopes of the failed records, in the superset layout of all dead-letter writers."""
     raw = F.col("raw") if "raw" in checked.columns else F.to_json("typed")
-    return checked.where(~is_valid()).select(
+    return checked.where("not valid").select(
         error_text().alias("error"),
         F.lit(topic).alias("topic"),
         raw.alias("raw"),

@@ -1,5 +1,7 @@
 """Feature tables from joined ticks."""
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from tickloom.schemas import FEATURE_COLS, JOINED_ORDER, LONGEST_LAG
 
 BY_DATE = ("symbol", "date")
 CONTINUOUS = ("symbol",)
+COMPLETE = "complete"
 LAG_COLS = ["price_lag_1", "price_lag_5", "price_lag_10"]
 
 
@@ -41,15 +44,22 @@ def joined_columns(ticks: Ordered) -> list[str]:
     return ticks.rows().columns
 
 
-def serving_features(ticks: Ordered) -> DataFrame:
-    """Live-scoring features of as-of joined ticks: from the eleventh tick on."""
-    seen = ticks.with_history(LONGEST_LAG)
-    # price_lag_10 alone would not tell a missing row from a null price.
-    full = F.count(F.lit(1)).over(seen.window.rowsBetween(-LONGEST_LAG, 0)) > LONGEST_LAG
-    windowed = seen.df.withColumns(
-        tick_features(seen.window, CONVENTIONS["serving"]) | {"_full": full}
-    )
-    kept = joined_columns(ticks)
-    return windowed.where(F.col("_full") & ~F.col(CARRIED)).select(
+def live_features(ticks: Ordered, convention: str = "serving") -> DataFrame:
+    """Features of as-of joined ticks, from a symbol's eleventh tick on.
+
+    ``convention`` picks the rolling frames: those of live scoring, or those of the daily table.
+    """
+    seen, kept = with_live_features(ticks, LONGEST_LAG, convention), joined_columns(ticks)
+    return seen.df.where(F.col(COMPLETE) & ~F.col(CARRIED)).select(
         *kept, *[c for c in FEATURE_COLS if c not in kept]
     )
+
+
+def with_live_features(ticks: Ordered, history: int, convention: str) -> Ordered:
+    """The ordered ticks with features and, in ``complete``, whether ten ticks came before."""
+    seen = ticks.with_history(history)
+    # A null price_lag_10 would not tell a missing tick from a missing price.
+    reach = seen.window.rowsBetween(-LONGEST_LAG, 0)
+    complete = F.count(F.lit(1)).over(reach) > LONGEST_LAG
+    added = tick_features(seen.window, CONVENTIONS[convention]) | {COMPLETE: complete}
+    return replace(seen, df=seen.df.withColumns(added))

@@ -1,6 +1,6 @@
 """Trades joined to order books: by time band, and to the latest book."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.numbers import whole_seconds
@@ -40,14 +40,15 @@ def band_join(
             *BOOK_MATCH_COLS,
         )
     )
-    wanted = left.select("symbol", "second").distinct()
-    covered = near.select("_symbol", "_second").distinct()
-    bare = wanted.join(
-        covered,
-        (F.col("symbol") == F.col("_symbol")) & (F.col("second") == F.col("_second")),
-        "left_anti",
+    seconds = (
+        left.select(F.col("symbol").alias("_symbol"), F.col("second").alias("_second"),
+                    F.lit(False).alias("_book"))
+        .unionByName(near.select("_symbol", "_second", F.lit(True).alias("_book")))
+    )
+    guards = (
+        seconds.groupBy("_symbol", "_second").agg(F.bool_or("_book").alias("_covered"))
+        .where("not _covered").drop("_covered")
     )
-    guards = bare.select(F.col("symbol").alias("_symbol"), F.col("second").alias("_second"))
     right = near.unionByName(guards, allowMissingColumns=True)
     joined = left.join(
         right,
@@ -85,7 +86,10 @@ def asof_join(
     tie = [f"_book.{c}" for c in BOOK_MATCH_COLS]
     order = ["timestamp", "_kind", *[c for c in ("trade_id",) if c in passed], *tie]
     ordered = lay_out(events, group, order, blocks).filled(["_book"])
-    known = lambda c: F.coalesce(F.col(f"_book.{c}"), F.lit(0.0))
+
+    def known(name: str) -> Column:
+        return F.coalesce(F.col(f"_book.{name}"), F.lit(0.0))
+
     return ordered.rows().where(F.col("_kind") == 1).select(
         "symbol", "timestamp", *passed,
         F.col("_book.book_timestamp").alias("book_timestamp"),

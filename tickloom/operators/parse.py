@@ -7,7 +7,7 @@ skipped, not dead-lettered: the contract has not seen them yet.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.numbers import text_to_double, text_to_long
+from tickloom.functions.numbers import computed_once, text_to_double, text_to_long
 
 _TRADE_MESSAGE = "data map<string,string>, _corrupt_record string"
 _DEPTH_MESSAGE = (
@@ -15,12 +15,19 @@ _DEPTH_MESSAGE = (
     " _corrupt_record string"
 )
 
+_LEVELS = "array<array<double>>"
+# Number texts in a list that only Java reads: "1.5d", "0x10".
+_JAVA_NUMBER = r'[\[,]\s*"\s*[+-]?(0[xX][^"]*|[0-9.][0-9.eE+-]*[dDfF])\s*"'
+
 
 def parse_trades(df: DataFrame, value: str = "value") -> DataFrame:
     """``symbol, price, size, timestamp, trade_id, parse_status`` beside the other columns."""
     # A map keeps "T" (trade time) and "t" (trade id) apart; struct fields ignore case.
     message = F.from_json(F.col(value), _TRADE_MESSAGE)
-    field = lambda name: F.try_element_at(F.col("_m.data"), F.lit(name))
+
+    def field(name: str) -> Column:
+        return F.try_element_at(F.col("_m.data"), F.lit(name))
+
     price, size = text_to_double(field("p")), text_to_double(field("q"))
     status = (
         F.when(F.col("_m._corrupt_record").isNotNull() | F.col("_m").isNull(), "unparseable")
@@ -29,7 +36,7 @@ def parse_trades(df: DataFrame, value: str = "value") -> DataFrame:
         .otherwise("ok")
     )
     kept = [c for c in df.columns if c != value]
-    return df.withColumn("_m", message).select(
+    return computed_once(df, "_m", message).select(
         *kept,
         field("s").alias("symbol"),
         price.alias("price"),
@@ -40,17 +47,12 @@ def parse_trades(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def _levels(side: Column) -> Column:
-    return F.transform(side, lambda level: F.transform(level, text_to_double))
-
-
 def _bad_levels(side: Column) -> Column:
     """Any level that is not two numbers."""
     return F.exists(
         side,
-        lambda level: ~F.coalesce(
-            (F.size(level) == 2) & F.forall(level, lambda x: x.isNotNull()), F.lit(False)
-        ),
+        lambda level: level.isNull() | (F.size(level) != 2)
+        | F.get(level, F.lit(0)).isNull() | F.get(level, F.lit(1)).isNull(),
     )
 
 
@@ -64,17 +66,29 @@ def parse_depth(df: DataFrame, value: str = "value", ingest_ts: str = "ingest_ts
     The top of book is the first level of a side, as the exchange sends them best-first.
     """
     kept = [c for c in df.columns if c not in (value, ingest_ts)]
-    parsed = df.withColumn("_m", F.from_json(F.col(value), _DEPTH_MESSAGE)).select(
+    message = computed_once(df, "_m", F.from_json(F.col(value), _DEPTH_MESSAGE))
+    sides = F.struct(
+        *[F.col(f"_m.data.{side}").try_cast(_LEVELS).alias(side) for side in ("bids", "asks")]
+    )
+    parsed = computed_once(message, "_sides", sides).select(
         *kept,
         F.upper(F.split_part(F.coalesce("_m.stream", F.lit("")), F.lit("@"), F.lit(1)))
         .alias("symbol"),
         F.col(ingest_ts).alias("timestamp"),
-        _levels(F.col("_m.data.bids")).alias("bid_depth"),
-        _levels(F.col("_m.data.asks")).alias("ask_depth"),
-        (F.col("_m._corrupt_record").isNotNull() | F.col("_m").isNull()).alias("_unreadable"),
+        F.col("_sides.bids").alias("bid_depth"),
+        F.col("_sides.asks").alias("ask_depth"),
+        (
+            F.col("_m._corrupt_record").isNotNull() | F.col("_m").isNull()
+            | F.col(value).rlike(_JAVA_NUMBER)
+        ).alias("_unreadable"),
     )
-    first = lambda side, i: F.get(F.get(F.col(side), F.lit(0)), F.lit(i))
-    has_levels = lambda side: F.coalesce(F.size(side) > 0, F.lit(False))
+
+    def first(side: str, i: int) -> Column:
+        return F.get(F.get(F.col(side), F.lit(0)), F.lit(i))
+
+    def has_levels(side: str) -> Column:
+        return F.coalesce(F.size(side) > 0, F.lit(False))
+
     totals = parsed.withColumns({
         "total_bid_volume": total_quantity(F.col("bid_depth")),
         "total_ask_volume": total_quantity(F.col("ask_depth")),

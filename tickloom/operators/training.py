@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions.numbers import finite_or_null, missing
+from tickloom.operators.features import COMPLETE, with_live_features
 from tickloom.operators.ordered import CARRIED, Ordered, lay_out
 from tickloom.operators.recent import most_recent
 from tickloom.schemas import (
-    BOOK_FILL_COLS, CORE_PRICE_COLS, FEATURE_COLS, JOINED_ORDER, MIN_TRAINING_ROWS,
-    ROWS_PER_SYMBOL, SEQUENCE_LENGTH, TRAIN_SHARE,
+    BOOK_FILL_COLS, CORE_PRICE_COLS, FEATURE_COLS, JOINED_ORDER, LONGEST_LAG,
+    MIN_TRAINING_ROWS, ROWS_PER_SYMBOL, SEQUENCE_LENGTH, TRAIN_SHARE,
 )
 
 TIE_BREAK = ["trade_id", "book_timestamp"]
@@ -179,17 +180,28 @@ def persistence_forecast(series: Ordered, length: int = SEQUENCE_LENGTH) -> Data
     )
 
 
-def live_windows(series: Ordered, length: int = SEQUENCE_LENGTH) -> DataFrame:
-    """``x``: the newest ``length`` feature rows at every tick that has them, itself included.
+def live_windows(
+    ticks: Ordered,
+    length: int = SEQUENCE_LENGTH,
+    convention: str = "serving",
+    scaler: DataFrame | None = None,
+) -> DataFrame:
+    """``x``: a symbol's newest ``length`` feature rows at every tick that has them all.
 
-    Other columns stay; add the unscaled price under a name of its own before scaling.
+    One pass over the ordered ticks: features, their scaling and the windows share one
+    partitioning, so the rows are shuffled and sorted once.
     """
-    seen = series.with_history(length - 1)
-    kept = [c for c in seen.rows().columns if c not in FEATURE_COLS]
+    kept = [c for c in ticks.rows().columns if c not in FEATURE_COLS]
+    seen = with_live_features(ticks, length - 1 + LONGEST_LAG, convention)
+    rows = seen.df.withColumn("current_price", F.col("price"))
+    if scaler is not None:
+        rows = scale(rows, scaler)
+    vector = F.when(F.col(COMPLETE), F.array(*[F.col(c) for c in FEATURE_COLS]))
+    x = F.collect_list(vector).over(seen.window.rowsBetween(-(length - 1), 0))
     return (
-        seen.df.withColumn("x", _frame_of_vectors(seen.window, -(length - 1), 0))
+        rows.withColumn("x", x)
         .where(~F.col(CARRIED) & (F.size("x") == length))
-        .select(*kept, "x")
+        .select(*kept, "current_price", "x")
     )
 
 

@@ -210,7 +210,7 @@ def feature_projection(spark, sf_dir):
 @query
 def serving_features(spark, sf_dir):
     ticks = features.order_ticks(market.latest_book_ticks(spark, sf_dir), features.CONTINUOUS)
-    return _rounded(features.serving_features(ticks))
+    return _rounded(features.live_features(ticks))
 
 
 # --- reports and gates ---
@@ -352,8 +352,7 @@ def train_test_split(spark, sf_dir):
 @query
 def live_windows(spark, sf_dir):
     ticks = features.order_ticks(market.latest_book_ticks(spark, sf_dir), features.CONTINUOUS)
-    rows = features.serving_features(ticks).withColumn("current_price", F.col("price"))
-    windows = training.live_windows(training.order_series(rows))
+    windows = training.live_windows(ticks)
     return _rounded(windows.select(
         "symbol", "timestamp", "trade_id", "current_price",
         F.size("x").alias("steps"),

@@ -2,6 +2,9 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Plain column building; the call-site capture costs a JVM round trip per expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -38,8 +43,32 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/tickloom-{context.applicationId}"
 
 
+_scope: ContextVar[str] = ContextVar("scratch scope", default="")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_folder(spark)}{_scope.get()}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside the block when it ends.
+
+    For jobs that write all their results before the block ends, such as one micro-batch.
+    """
+    name = f"/scope-{uuid.uuid4().hex[:12]}"
+    token = _scope.set(_scope.get() + name)
+    try:
+        yield
+    finally:
+        folder = shared_folder(spark) + _scope.get()
+        _scope.reset(token)
+        _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -56,6 +85,4 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch tables once no frame reads them any more."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_folder(spark))

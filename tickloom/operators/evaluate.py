@@ -5,15 +5,19 @@ from pyspark.sql import functions as F
 
 
 def forecast_errors(
-    predicted: DataFrame, actual: str = "actual", forecast: str = "predicted"
+    predicted: DataFrame, *more: Column, actual: str = "actual", forecast: str = "predicted"
 ) -> DataFrame:
-    """MAE, RMSE and MAPE (%) per symbol; rows whose actual is 0 are left out of MAPE."""
+    """MAE, RMSE and MAPE (%) per symbol; rows whose actual is 0 are left out of MAPE.
+
+    ``more`` aggregates are taken in the same pass.
+    """
     error = F.col(actual) - F.col(forecast)
     return predicted.groupBy("symbol").agg(
         F.avg(F.abs(error)).alias("mae"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
         (F.avg(F.abs(F.try_divide(error, F.col(actual)))) * 100).alias("mape"),
         F.count(F.lit(1)).alias("test_records"),
+        *more,
     )
 
 

@@ -73,17 +73,13 @@ def score(windows: DataFrame, models: dict[str, Model]) -> DataFrame:
 def evaluate(split: DataFrame, models: dict[str, Model], scaler: DataFrame) -> DataFrame:
     """One metrics row per symbol; symbols with a NaN prediction are skipped."""
     predicted = predict_test(split, models, scaler)
-    failed = predicted.groupBy("symbol").agg(
-        F.count_if(F.isnan("predicted") | F.col("predicted").isNull()).alias("bad")
-    ).where("bad > 0")
-    errors = forecast_errors(predicted)
+    unusable = F.isnan("predicted") | F.col("predicted").isNull()
+    errors = forecast_errors(predicted, F.count_if(unusable).alias("unusable"))
     trained = split.where(F.col("part") != "test").groupBy("symbol").agg(
         F.count(F.lit(1)).alias("train_records")
     )
-    return (
-        errors.join(failed, "symbol", "left_anti")
-        .join(trained, "symbol")
-        .select("symbol", "mae", "rmse", "mape", "train_records", "test_records")
+    return errors.where("unusable = 0").join(trained, "symbol").select(
+        "symbol", "mae", "rmse", "mape", "train_records", "test_records"
     )
 
 

@@ -135,6 +135,31 @@ _CTES = {
         from latest_book
         window w as (partition by symbol order by "timestamp", trade_id)
         qualify row_number() over w >= 11""",
+    "live": """
+        select *,
+               lag(price, 1) over w as price_lag_1,
+               lag(price, 5) over w as price_lag_5,
+               lag(price, 10) over w as price_lag_10,
+               price - lag(price, 1) over w as price_change,
+               case when lag(price, 1) over w = 0 then 0.0
+                    else (price - lag(price, 1) over w) / lag(price, 1) over w * 100 end
+                 as price_change_pct,
+               avg(price) over (w rows between 5 preceding and current row) as rolling_avg_5,
+               avg(price) over (w rows between 10 preceding and current row) as rolling_avg_10,
+               stddev_samp(price) over (w rows between 10 preceding and current row)
+                 as rolling_stddev_10,
+               size - lag(size, 1) over w as volume_change
+        from (select t.symbol, t."timestamp", t.price, t.size, t.trade_id,
+                     b."timestamp" as book_timestamp,
+                     coalesce(b.top_ask_price, 0.0) - coalesce(b.top_bid_price, 0.0) as spread,
+                     coalesce(b.bid_ask_ratio, 0.0) as bid_ask_ratio,
+                     coalesce(b.total_bid_volume, 0.0) as total_bid_volume,
+                     coalesce(b.total_ask_volume, 0.0) as total_ask_volume
+              from (select * from trades where symbol in ('BTCUSDT','ETHUSDT','SOLUSDT')) t
+              asof left join vbooks b
+                on t.symbol = b.symbol and t."timestamp" >= b."timestamp")
+        window w as (partition by symbol order by "timestamp", trade_id)
+        qualify row_number() over w >= 11""",
     "gappy": """
         select * replace (
           case when trade_id % 17 = 0 then null else size end as size,
@@ -460,5 +485,19 @@ def all_oracles() -> dict[str, str]:
                          arg_max(predicted_price, "timestamp") as predicted_price,
                          arg_max(diff, "timestamp") as diff,
                          arg_max(direction, "timestamp") as direction from preds group by 1)""",
+        "stream_contract_split": f"""
+            select zone, topic, count(*) as records from (
+              select case when {_TRADE_OK} then 'raw' else 'errors' end as zone,
+                     case when {_TRADE_OK} then 'crypto-prices' else 'crypto-prices-dlq' end
+                       as topic
+              from trade_faults) group by 1, 2""",
+        "stream_dedup": f"select {_TRADE_SCALARS} from trades",
+        "stream_interval_join": f"""
+            select {_KEY}, {_all_r([c for c in _JOINED[2:] if c not in _LONG_COLS])}
+            from joined""",
+        "stream_features": f"select {_KEY}, {_all_r(FEATURE_COLS)} from live",
+        "stream_latest_price": f"""
+            select symbol, {_r('arg_max(price, "timestamp")', "price")},
+                   max("timestamp") as "timestamp" from vtrades group by 1""",
     }
     return {name: _with(body) for name, body in bodies.items()}

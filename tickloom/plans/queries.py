@@ -10,10 +10,13 @@ from tickloom.functions.contracts import book_contract, trade_contract
 from tickloom.operators import (
     contract, dedup, evaluate, features, joins, models, parse, quality, recent, training, views,
 )
-from tickloom.plans import market
-from tickloom.schemas import FEATURE_COLS
-from tickloom.session import materialize
+from tickloom.plans import daily, market
+from tickloom.schemas import FEATURE_COLS, TRADE_TOPIC
+from tickloom.session import materialize, scratch_path
 from tickloom.sources import events as ev
+from tickloom.sources import registry
+from tickloom.streaming import events as stream_ops
+from tickloom.streaming import landing, live
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -429,3 +432,126 @@ def chart_outer_join(spark, sf_dir):
 @query
 def live_board(spark, sf_dir):
     return views.live_board(market.valid_trades(spark, sf_dir), _predictions(spark, sf_dir))
+
+
+# --- models ---
+
+RUN = "20240101_000000"
+
+
+def _trained_root(spark, sf_dir) -> str:
+    """Train on the derived features under a scratch root; returns the root."""
+    root = scratch_path(spark, "models")
+    rows = training.prepare_training(market.features(spark, sf_dir))
+    clean = materialize(training.clean_series(rows), "clean")
+    registry.save_metrics(daily.train_and_evaluate(spark, root, RUN, clean), root, RUN)
+    return root
+
+
+@query
+def fit_and_evaluate(spark, sf_dir):
+    return registry.read_metrics(spark, _trained_root(spark, sf_dir))
+
+
+@query
+def score_batch(spark, sf_dir):
+    fitted, scaler = registry.load_latest(spark, _trained_root(spark, sf_dir))
+    ticks = features.order_ticks(market.latest_book_ticks(spark, sf_dir), features.CONTINUOUS)
+    windows = training.live_windows(ticks, convention="batch", scaler=scaler)
+    scored = models.score_windows(windows, fitted, scaler)
+    return evaluate.prediction_records(scored, F.col("timestamp"))
+
+
+# --- streams, each run to the end of the available data ---
+
+AVAILABLE = {"availableNow": True}
+
+
+def _run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    out = scratch_path(spark, name)
+    (
+        stream.writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", scratch_path(spark, f"{name}-offsets"))
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@query
+def stream_contract_split(spark, sf_dir):
+    trades = ev.spoiled_trades(ev.trades_of(ev.stream_events(spark, sf_dir)))
+    root = scratch_path(spark, "lake")
+    landing.start_landing(
+        trades.select(F.to_json(F.struct("*")).alias("value")), TRADE_TOPIC, root,
+        scratch_path(spark, "landing"), AVAILABLE,
+    ).awaitTermination()
+    landed = spark.read.text(root)
+    return landed.groupBy("zone", "topic").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    trades = ev.with_copies(ev.trades_of(ev.stream_events(spark, sf_dir)), "trade_id")
+    unique = stream_ops.dedup_stream(trades).drop("event_ts")
+    return _rounded(_run_to_table(spark, unique, "stream-dedup"))
+
+
+@query
+def stream_interval_join(spark, sf_dir):
+    base = ev.stream_events(spark, sf_dir)
+    trades = contract.valid_records(contract.check(ev.trades_of(base), trade_contract()))
+    books = contract.valid_records(contract.check(ev.books_of(base), book_contract()))
+    far = 10_000_000_000
+
+    def flushed(stream: DataFrame) -> DataFrame:
+        """Late rows in both streams move the watermark past all others."""
+        later = stream.where(F.col("timestamp") % 4000 == 0)
+        return stream.unionByName(later.withColumn("timestamp", F.col("timestamp") + far))
+
+    pairs = stream_ops.interval_join(flushed(trades), flushed(books))
+    table = _run_to_table(spark, pairs, "stream-join")
+    return _rounded(table.where(F.col("timestamp") < ev.START_MS + far))
+
+
+@query
+def stream_features(spark, sf_dir):
+    base = ev.stream_events(spark, sf_dir)
+    out = scratch_path(spark, "live-features")
+    live.start_live(
+        ev.trades_of(base),
+        contract.valid_records(contract.check(ev.books_of(base), book_contract())),
+        live.feature_rows(), out, scratch_path(spark, "live"), AVAILABLE,
+    ).awaitTermination()
+    return _rounded(spark.read.parquet(out).drop("batch"))
+
+
+@query
+def stream_scoring(spark, sf_dir):
+    fitted, scaler = registry.load_latest(spark, _trained_root(spark, sf_dir))
+    base = ev.stream_events(spark, sf_dir)
+    out = scratch_path(spark, "live-predictions")
+    live.start_live(
+        ev.trades_of(base), ev.books_of(base),
+        live.prediction_rows(fitted, materialize(scaler, "scaler"), at=F.col("timestamp")),
+        out, scratch_path(spark, "live"), AVAILABLE,
+    ).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
+@query
+def stream_latest_price(spark, sf_dir):
+    trades = contract.valid_records(
+        contract.check(ev.trades_of(ev.stream_events(spark, sf_dir)), trade_contract())
+    )
+    out = scratch_path(spark, "latest")
+
+    def replace_view(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    (
+        stream_ops.latest_prices(trades).writeStream.outputMode("complete")
+        .foreachBatch(replace_view)
+        .option("checkpointLocation", scratch_path(spark, "latest-offsets"))
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    return _rounded(spark.read.parquet(out))

@@ -34,6 +34,14 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double," \
+             " props string"
+    return base_events(
+        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    )
+
+
 def trades_of(base: DataFrame) -> DataFrame:
     return base.where(~F.col("event_type").isin(*BOOK_EVENTS)).select(
         "symbol",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.evaluate import forecast_errors
 from tickloom.operators.training import has_missing, inverse_scale
 from tickloom.schemas import FEATURE_COLS
+from tickloom.session import materialize
 
 
 def next_price_regressor(reg_param: float = 0.01) -> Estimator:
@@ -35,7 +36,9 @@ def latest_runs(runs: DataFrame) -> DataFrame:
 
 def scaled_without_missing(scaled: DataFrame) -> DataFrame:
     """Symbols whose scaled features hold no missing value; the others are skipped."""
-    bad = scaled.where(has_missing(FEATURE_COLS)).select("symbol").distinct()
+    bad = materialize(
+        scaled.where(has_missing(FEATURE_COLS)).select("symbol").distinct(), "bad-symbols"
+    )
     return scaled.join(bad, "symbol", "left_anti")
 
 

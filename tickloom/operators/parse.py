@@ -4,6 +4,9 @@
 skipped, not dead-lettered: the contract has not seen them yet.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +19,10 @@ _DEPTH_MESSAGE = (
 )
 
 _LEVELS = "array<array<double>>"
-# Number texts in a list that only Java reads: "1.5d", "0x10".
+# Number texts in a list that only Java reads: "1.5d", "0x1p3". Messages without these letters
+# next to a quote or zero need no regular expression.
 _JAVA_NUMBER = r'[\[,]\s*"\s*[+-]?(0[xX][^"]*|[0-9.][0-9.eE+-]*[dDfF])\s*"'
+_JAVA_LETTERS = ('d"', 'D"', 'f"', 'F"', "0x", "0X")
 
 
 def parse_trades(df: DataFrame, value: str = "value") -> DataFrame:
@@ -48,12 +53,10 @@ def parse_trades(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _bad_levels(side: Column) -> Column:
-    """Any level that is not two numbers."""
-    return F.exists(
-        side,
-        lambda level: level.isNull() | (F.size(level) != 2)
-        | F.get(level, F.lit(0)).isNull() | F.get(level, F.lit(1)).isNull(),
-    )
+    """Any level that is not two numbers. Nulls are counted over the flat list, which is cheap."""
+    numbers = F.size(F.array_compact(F.flatten(side)))
+    all_numbers = F.coalesce(numbers == F.size(side) * 2, F.lit(False))
+    return ~all_numbers | F.exists(side, lambda level: F.size(level) != 2)
 
 
 def total_quantity(side: Column) -> Column:
@@ -70,6 +73,7 @@ def parse_depth(df: DataFrame, value: str = "value", ingest_ts: str = "ingest_ts
     sides = F.struct(
         *[F.col(f"_m.data.{side}").try_cast(_LEVELS).alias(side) for side in ("bids", "asks")]
     )
+    suspect = reduce(or_, [F.contains(F.col(value), F.lit(text)) for text in _JAVA_LETTERS])
     parsed = computed_once(message, "_sides", sides).select(
         *kept,
         F.upper(F.split_part(F.coalesce("_m.stream", F.lit("")), F.lit("@"), F.lit(1)))
@@ -79,7 +83,7 @@ def parse_depth(df: DataFrame, value: str = "value", ingest_ts: str = "ingest_ts
         F.col("_sides.asks").alias("ask_depth"),
         (
             F.col("_m._corrupt_record").isNotNull() | F.col("_m").isNull()
-            | F.col(value).rlike(_JAVA_NUMBER)
+            | (suspect & F.col(value).rlike(_JAVA_NUMBER))
         ).alias("_unreadable"),
     )
 

@@ -1,5 +1,7 @@
 """Counts, reports and pass/fail checks; every report is one aggregation over the table."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +12,9 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
-def _counts_by_column(df: DataFrame, columns: list[str], test, name: str) -> DataFrame:
+def _counts_by_column(
+    df: DataFrame, columns: list[str], test: Callable[[str], Column], name: str
+) -> DataFrame:
     return df.agg(*[F.count_if(test(c)).alias(c) for c in columns]).unpivot(
         [], columns, "column", name
     )
@@ -122,6 +126,20 @@ def observed(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     ), taken
 
 
+def observed_step(
+    df: DataFrame, step: Callable[[DataFrame], DataFrame], name: str
+) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``step(df)`` and, once that has been written, the rows before, after and dropped."""
+    counted_in, before = observed(df, f"{name} before")
+    counted_out, after = observed(step(counted_in), f"{name} after")
+
+    def counts() -> dict[str, int]:
+        rows_in, rows_out = before.get["rows"], after.get["rows"]
+        return {"rows_before": rows_in, "rows_after": rows_out, "dropped": rows_in - rows_out}
+
+    return counted_out, counts
+
+
 def layer_size(spark: SparkSession, path: str) -> DataFrame:
     """Number and total bytes of the parquet files below ``path``; file contents stay unread."""
     files = (

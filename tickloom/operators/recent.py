@@ -7,6 +7,7 @@ from tickloom.session import materialize
 
 SLICE_MS = 3_600_000
 SALTS = 32
+_NO_TIME = -(1 << 62)  # slice of rows without a time
 
 
 def _newest_first(order: list[str]) -> list[Column]:
@@ -24,7 +25,7 @@ def most_recent(
     """The ``n`` newest rows of every key, by ``order`` (its first column is epoch ms).
 
     1. Rows are counted per key and time slice; only slices that can hold one of the newest
-       ``n`` are read on.
+       ``n`` are read on, and the oldest of them is pushed down to the scan.
     2. What is left is ranked twice: within (key, salt), then within the key over at most
        ``salts * n`` rows. A key that holds most rows is thus spread over ``salts`` tasks.
     """
@@ -38,11 +39,16 @@ def most_recent(
         .withColumn("newer_rows", F.coalesce(F.sum("rows").over(newer), F.lit(0)))
         .where(F.col("newer_rows") < n)
         .groupBy(F.col(key).alias("_key"))
-        .agg(F.min(F.coalesce("_slice", F.lit(-(1 << 62)))).alias("from_slice")),
+        .agg(F.min(F.coalesce("_slice", F.lit(_NO_TIME))).alias("from_slice")),
         "slices",
     )
+    # One number, as a literal: the scan skips files and row groups older than any key needs.
+    oldest = cut.agg(F.min("from_slice")).first()[0]
+    if oldest is not None and oldest > _NO_TIME:
+        floor = oldest if oldest > 0 else oldest - 1  # division truncates towards zero
+        sliced = sliced.where(F.col(order[0]) >= floor * slice_ms)
     near = sliced.join(cut, F.col(key).eqNullSafe(F.col("_key"))).where(
-        F.coalesce("_slice", F.lit(-(1 << 62))) >= F.col("from_slice")
+        F.coalesce("_slice", F.lit(_NO_TIME)) >= F.col("from_slice")
     ).drop("_slice", "_key", "from_slice")
     # The task's partition number is the same when a lost task runs again.
     salted = near.withColumn("_salt", F.spark_partition_id() % salts)
@@ -59,11 +65,11 @@ def most_recent(
 def latest_value(
     df: DataFrame, value: str, key: str = "symbol", order: tuple[str, ...] = ("timestamp",)
 ) -> DataFrame:
-    """``value`` of the newest row per key; keys without rows do not appear."""
-    return df.groupBy(key).agg(
-        F.max_by(value, F.struct(*order)).alias(value),
-        F.max(order[0]).alias(order[0]),
-    )
+    """``value`` of the newest row per key; keys without rows do not appear.
+
+    Not ``max_by`` over (time, id): aggregating by a struct sorts all rows, this prunes them.
+    """
+    return most_recent(df, 1, key, order).select(key, value, order[0])
 
 
 def newest(df: DataFrame, n: int, order: tuple[str, ...] = ("timestamp",)) -> DataFrame:

@@ -12,7 +12,7 @@ from tickloom.operators.joins import band_join
 from tickloom.operators.models import (
     evaluate, fit_symbol, next_price_regressor, scaled_without_missing,
 )
-from tickloom.operators.quality import observed
+from tickloom.operators.quality import observed, observed_step
 from tickloom.operators.training import (
     build_sequences, clean_series, fit_scaler, order_series, prepare_training, scale,
     split_sequences, trainable_symbols, validation_part,
@@ -34,10 +34,11 @@ def merged_layer(topic: str) -> str:
 
 def merge_topic(spark: SparkSession, root: str, topic: str, date: str) -> dict[str, int]:
     """Raw records of a day without exact copies; row counts come from the write itself."""
-    raw, before = observed(lake.read_raw_day(spark, root, topic, date), f"raw {topic}")
-    merged, after = observed(drop_exact_duplicates(raw), f"merged {topic}")
+    merged, counts = observed_step(
+        lake.read_raw_day(spark, root, topic, date), drop_exact_duplicates, f"merge {topic}"
+    )
     lake.write_date(merged, root, merged_layer(topic), date)
-    return {"rows_before": before.get["rows"], "rows_after": after.get["rows"]}
+    return counts()
 
 
 def run_daily(spark: SparkSession, root: str, date: str) -> dict[str, dict[str, int]]:
@@ -82,12 +83,17 @@ def run_training(
     )
     gates.training_layer_usable(spark, root, TRAINING)
 
-    training = lake.read_layer(spark, root, TRAINING)
-    enough = training.join(trainable_symbols(training).select("symbol"), "symbol", "left_semi")
-    clean = materialize(clean_series(enough), "clean")
-    metrics = train_and_evaluate(spark, root, run, clean, estimator, fit_on)
+    clean = materialize(clean_series(_with_enough_rows(lake.read_layer(spark, root, TRAINING))),
+                        "clean")
+    metrics = train_and_evaluate(spark, root, run, _with_enough_rows(clean), estimator, fit_on)
     registry.save_metrics(metrics, root, run)
-    return registry.read_metrics(spark, root).where(F.col("run_id") == run)
+    return registry.read_metrics(spark, root).where(F.col("run_id") == run).orderBy("symbol")
+
+
+def _with_enough_rows(rows: DataFrame) -> DataFrame:
+    """Rows of the trainable symbols; their list is written, so the join broadcasts it."""
+    symbols = materialize(trainable_symbols(rows).select("symbol"), "trainable")
+    return rows.join(symbols, "symbol", "left_semi")
 
 
 def train_and_evaluate(

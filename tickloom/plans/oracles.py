@@ -485,6 +485,24 @@ def all_oracles() -> dict[str, str]:
                          arg_max(predicted_price, "timestamp") as predicted_price,
                          arg_max(diff, "timestamp") as diff,
                          arg_max(direction, "timestamp") as direction from preds group by 1)""",
+        "sample_rows": f"""
+            select {_TRADE_SCALARS} from vtrades order by "timestamp", trade_id limit 5""",
+        "missing_columns": " union all ".join(
+            f"""select '{c}' as "column", count(*) as rows_without from joined"""
+            for c in FEATURE_COLS if c not in _JOINED),
+        "dropped_rows": """
+            select symbol, count(*) filter (where trade_id % 13 <> 0) as kept,
+                   (select count(*) from feats) as rows_before,
+                   (select count(*) from feats where trade_id % 13 <> 0) as rows_after,
+                   (select count(*) from feats where trade_id % 13 = 0) as dropped
+            from feats group by symbol""",
+        "walk_forward": """
+            select symbol, least(cast(floor((rn - 61) * 5 / (n - 60)) as bigint), 4) as fold,
+                   count(*) as sequences, max(rn - 60) as last_seq
+            from series where rn > 60 group by 1, 2""",
+        "stream_last_points": f"""
+            select symbol, "timestamp", {_r("price")} from vtrades
+            qualify row_number() over (partition by symbol order by "timestamp" desc) <= 200""",
         "stream_contract_split": f"""
             select zone, topic, count(*) as records from (
               select case when {_TRADE_OK} then 'raw' else 'errors' end as zone,

@@ -240,9 +240,8 @@ def symbol_distribution(spark, sf_dir):
 
 @query
 def price_range(spark, sf_dir):
-    return _rounded(quality.price_range(training.prepare_training(
-        market.features(spark, sf_dir), TOP_N
-    )))
+    prepared = training.prepare_training(_series(spark, sf_dir), TOP_N)
+    return _rounded(quality.price_range(prepared))
 
 
 @query
@@ -250,6 +249,34 @@ def quality_expectations(spark, sf_dir):
     return _rounded(quality.expectations(market.features(spark, sf_dir)))
 
 
+@query
+def sample_rows(spark, sf_dir):
+    return _rounded(quality.sample_rows(
+        market.valid_trades(spark, sf_dir), ["timestamp", "trade_id"]
+    ))
+
+
+@query
+def missing_columns(spark, sf_dir):
+    """Required feature columns that the joined table does not have yet."""
+    joined = market.joined(spark, sf_dir)
+    absent = quality.missing_columns(joined, ["symbol", *FEATURE_COLS])
+    return joined.agg(*[F.count(F.lit(1)).alias(c) for c in absent]).unpivot(
+        [], absent, "column", "rows_without"
+    )
+
+
+@query
+def dropped_rows(spark, sf_dir):
+    """Rows a cleaning step drops, counted while its result is written."""
+    gappy = _with_gaps(_series(spark, sf_dir))
+    cleaned, counts = quality.observed_step(gappy, training.drop_incomplete, "dropped_rows")
+    written = materialize(cleaned, "cleaned")
+    return written.groupBy("symbol").agg(F.count(F.lit(1)).alias("kept")).withColumns(
+        {name: F.lit(rows).cast("long") for name, rows in counts().items()}
+    )
+
+
 # --- training rows ---
 
 def _with_gaps(table: DataFrame, infinite: bool = True) -> DataFrame:
@@ -269,8 +296,9 @@ def _with_gaps(table: DataFrame, infinite: bool = True) -> DataFrame:
 
 
 def _series(spark, sf_dir):
+    """Training columns of the feature table, stored once as the daily run does."""
     table = market.features(spark, sf_dir)
-    return table.select(*training.training_columns(table))
+    return materialize(table.select(*training.training_columns(table)), "features")
 
 
 @query
@@ -281,7 +309,7 @@ def top_n_recent(spark, sf_dir):
 
 @query
 def clean_training(spark, sf_dir):
-    gappy = _with_gaps(market.features(spark, sf_dir), infinite=False)
+    gappy = _with_gaps(_series(spark, sf_dir), infinite=False)
     return _rounded(training.prepare_training(gappy, TOP_N))
 
 
@@ -352,6 +380,15 @@ def train_test_split(spark, sf_dir):
     )
 
 
+@query
+def walk_forward(spark, sf_dir):
+    index = training.index_sequences(training.order_series(_series(spark, sf_dir)))
+    folds = training.walk_forward(index.rows().where("seq_no > 0"), 5)
+    return folds.groupBy("symbol", F.col("fold").cast("long").alias("fold")).agg(
+        F.count(F.lit(1)).alias("sequences"), F.max("seq_no").alias("last_seq")
+    )
+
+
 @query
 def live_windows(spark, sf_dir):
     ticks = features.order_ticks(market.latest_book_ticks(spark, sf_dir), features.CONTINUOUS)
@@ -442,7 +479,7 @@ RUN = "20240101_000000"
 def _trained_root(spark, sf_dir) -> str:
     """Train on the derived features under a scratch root; returns the root."""
     root = scratch_path(spark, "models")
-    rows = training.prepare_training(market.features(spark, sf_dir))
+    rows = training.prepare_training(_series(spark, sf_dir))
     clean = materialize(training.clean_series(rows), "clean")
     registry.save_metrics(daily.train_and_evaluate(spark, root, RUN, clean), root, RUN)
     return root
@@ -555,3 +592,15 @@ def stream_latest_price(spark, sf_dir):
         .trigger(availableNow=True).start().awaitTermination()
     )
     return _rounded(spark.read.parquet(out))
+
+
+@query
+def stream_last_points(spark, sf_dir):
+    trades = contract.valid_records(
+        contract.check(ev.trades_of(ev.stream_events(spark, sf_dir)), trade_contract())
+    )
+    view, types = scratch_path(spark, "view"), "symbol string, timestamp long, price double"
+    live.start_view(
+        trades, types, view, scratch_path(spark, "view-offsets"), trigger=AVAILABLE
+    ).awaitTermination()
+    return _rounded(spark.read.schema(types).option("recursiveFileLookup", "true").parquet(view))

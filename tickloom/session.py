@@ -19,6 +19,20 @@ DEFAULTS = {
 }
 
 
+def sized_for(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings that keep a shuffle or scan partition near ``partition_bytes``.
+
+    The ordered layout starts from ``spark.sql.shuffle.partitions`` ranges; AQE merges what turns
+    out small, so a generous number is safe and a small one is not.
+    """
+    partitions = min(max(200, input_bytes // partition_bytes), 200_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """Session for tests and the bench; on a cluster use the session spark-submit gives."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tickloom")

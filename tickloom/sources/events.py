@@ -7,6 +7,8 @@ for order-book snapshots, the others for trades. Unknown symbols stay in, for th
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.numbers import computed_once
+
 # --- fixed values: derivation of test streams ---
 START_MS = 1_704_067_200_000
 STEP_MS = 400
@@ -15,15 +17,20 @@ DERIVED_SYMBOLS = ("BTCUSDT", "ETHUSDT", "SOLUSDT", "XYZUSDT")
 BOOK_LEVELS = 20
 # --- end of fixed values ---
 
+EVENTS = (
+    "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+)
+
 
 def base_events(events: DataFrame) -> DataFrame:
     user = F.col("user_id")
     index = F.when(user % 20 == 19, 4).otherwise((user % 3 + 1).cast("int"))
-    return events.select(
+    number = F.get_json_object("props", "$.k").cast("long")
+    return computed_once(events, "k", number).select(
         "event_id",
         "event_type",
         "value",
-        F.get_json_object("props", "$.k").cast("long").alias("k"),
+        "k",
         F.element_at(F.array(*[F.lit(s) for s in DERIVED_SYMBOLS]), index).alias("symbol"),
         (F.col("event_id") * STEP_MS + START_MS).alias("ts_ms"),
         "ts",
@@ -31,14 +38,12 @@ def base_events(events: DataFrame) -> DataFrame:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return base_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return base_events(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double," \
-             " props string"
     return base_events(
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
 
 

@@ -115,3 +115,18 @@ def publish_or_keep(
             .alias("timestamp"),
         ).write.mode("append").parquet(errors)
         return False
+
+
+def start_publishing(
+    results: DataFrame, location: str, topic: str, errors: str, checkpoint: str,
+    connector: str = "kafka", trigger: dict | None = None,
+) -> StreamingQuery:
+    """Publish a stream of results, such as predictions, batch by batch."""
+    return (
+        results.writeStream.foreachBatch(
+            lambda batch, _: publish_or_keep(batch, location, topic, errors, connector)
+        )
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .start()
+    )

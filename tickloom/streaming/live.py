@@ -22,7 +22,7 @@ from tickloom.operators.models import score_windows
 from tickloom.operators.ordered import Ordered
 from tickloom.operators.recent import most_recent
 from tickloom.operators.training import live_windows
-from tickloom.schemas import BOOK_MATCH_COLS, LONGEST_LAG, SEQUENCE_LENGTH, SYMBOLS
+from tickloom.schemas import BOOK_MATCH_COLS, LONGEST_LAG, SEQUENCE_LENGTH, SYMBOLS, VIEW_POINTS
 from tickloom.session import materialize, scratch_scope
 
 TICK_COLS = [
@@ -99,6 +99,33 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+def advance_view(
+    points: DataFrame, batch_id: int, state: LiveState, types: str,
+    order: tuple[str, ...], n: int,
+) -> None:
+    """Fold a micro-batch of points into the view of the newest ``n`` per symbol."""
+    with scratch_scope(points.sparkSession):
+        old = state.read(batch_id - 1, "points", types)
+        both = materialize(old.unionByName(points.select(*old.columns)), "points")
+        state.write(batch_id, "points", most_recent(both, n, order=order))
+
+
+def start_view(
+    points: DataFrame, types: str, view: str, checkpoint: str,
+    order: tuple[str, ...] = ("timestamp",), n: int = VIEW_POINTS, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the newest ``n`` points per symbol of a stream under ``view``."""
+    state = LiveState(points.sparkSession, view)
+    return (
+        points.writeStream.foreachBatch(
+            lambda batch, batch_id: advance_view(batch, batch_id, state, types, order, n)
+        )
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .start()
+    )
+
+
 Emit = Callable[[Ordered], DataFrame]
 
 

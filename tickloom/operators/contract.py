@@ -1,5 +1,8 @@
 """Contract checks and dead-letter routing."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,26 +28,31 @@ def _coerced(column: Column, actual: T.DataType, declared: T.DataType) -> Column
     return column.try_cast(declared)
 
 
-def check(df: DataFrame, contract: Contract) -> DataFrame:
-    """Add ``typed`` (the coerced record), ``valid`` and ``violations`` (one per failed field).
-
-    ``valid`` is a plain boolean, so readers that only want valid rows never build violations.
-    """
+def _typed(df: DataFrame, contract: Contract) -> dict[str, Column]:
     present = {f.name: f.dataType for f in df.schema}
-    typed = {
+    return {
         f.name: _coerced(F.col(f.name), present[f.name], f.dataType)
         if f.name in present else F.lit(None).cast(f.dataType)
         for f in contract.schema
     }
-    found, passed = [], F.lit(True)
+
+
+def _passes(typed: dict[str, Column], contract: Contract) -> Column:
+    """True when every field has a value and no rule is broken; never null."""
+    tests = [column.isNotNull() for column in typed.values()]
+    for rules in contract.rules.values():
+        tests += [~F.coalesce(rule.broken(typed), F.lit(False)) for rule in rules]
+    return reduce(and_, tests)
+
+
+def _violations(df: DataFrame, typed: dict[str, Column], contract: Contract) -> Column:
+    found = []
     for field in contract.schema:
-        name, rules = field.name, contract.rules.get(field.name, ())
-        broken = [(rule.broken(typed), rule.message) for rule in rules]
-        absent = F.col(name).isNull() if name in present else F.lit(True)
+        name = field.name
         failures = [
-            (absent, "field required"),
+            (F.col(name).isNull() if name in df.columns else F.lit(True), "field required"),
             (typed[name].isNull(), f"not a valid {field.dataType.simpleString()}"),
-            *broken,
+            *[(rule.broken(typed), rule.message) for rule in contract.rules.get(name, ())],
         ]
         message = F.lit(None).cast("string")
         for condition, text in reversed(failures):
@@ -52,16 +60,30 @@ def check(df: DataFrame, contract: Contract) -> DataFrame:
         found.append(F.when(
             message.isNotNull(), F.struct(F.lit(name).alias("field"), message.alias("message"))
         ))
-        passed = passed & typed[name].isNotNull()
-        for condition, _ in broken:
-            passed = passed & ~F.coalesce(condition, F.lit(False))
+    return F.array_compact(F.array(*found))
+
+
+def check(df: DataFrame, contract: Contract) -> DataFrame:
+    """Add ``typed`` (the coerced record), ``valid`` and ``violations`` (one per failed field).
+
+    ``valid`` is a plain boolean, so readers that only want valid rows never build violations.
+    """
+    typed = _typed(df, contract)
     return df.withColumns({
         "typed": F.struct(*[typed[c].alias(c) for c in contract.columns]),
-        "valid": passed,
-        "violations": F.array_compact(F.array(*found)),
+        "valid": _passes(typed, contract),
+        "violations": _violations(df, typed, contract),
     })
 
 
+def conforming(df: DataFrame, contract: Contract) -> DataFrame:
+    """The valid records alone, coerced, when nobody asks for the others."""
+    typed = _typed(df, contract)
+    return df.where(_passes(typed, contract)).select(
+        *[typed[c].alias(c) for c in contract.columns]
+    )
+
+
 def check_json(df: DataFrame, contract: Contract, value: str = "value") -> DataFrame:
     """Check JSON text records. ``raw`` keeps the text as received, extra fields included."""
     as_text = T.StructType(

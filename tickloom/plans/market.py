@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.contracts import book_contract, trade_contract
 from tickloom.functions.numbers import event_date
-from tickloom.operators.contract import check, valid_records
+from tickloom.operators.contract import conforming
 from tickloom.operators.features import build_features, order_ticks
 from tickloom.operators.joins import asof_join, band_join
 from tickloom.operators.ordered import Ordered
@@ -13,11 +13,11 @@ from tickloom.sources.events import books_of, read_events, trades_of
 
 
 def valid_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return valid_records(check(trades_of(read_events(spark, sf_dir)), trade_contract()))
+    return conforming(trades_of(read_events(spark, sf_dir)), trade_contract())
 
 
 def valid_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return valid_records(check(books_of(read_events(spark, sf_dir)), book_contract()))
+    return conforming(books_of(read_events(spark, sf_dir)), book_contract())
 
 
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:

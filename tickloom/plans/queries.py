@@ -536,8 +536,8 @@ def stream_dedup(spark, sf_dir):
 @query
 def stream_interval_join(spark, sf_dir):
     base = ev.stream_events(spark, sf_dir)
-    trades = contract.valid_records(contract.check(ev.trades_of(base), trade_contract()))
-    books = contract.valid_records(contract.check(ev.books_of(base), book_contract()))
+    trades = contract.conforming(ev.trades_of(base), trade_contract())
+    books = contract.conforming(ev.books_of(base), book_contract())
     far = 10_000_000_000
 
     def flushed(stream: DataFrame) -> DataFrame:
@@ -556,7 +556,7 @@ def stream_features(spark, sf_dir):
     out = scratch_path(spark, "live-features")
     live.start_live(
         ev.trades_of(base),
-        contract.valid_records(contract.check(ev.books_of(base), book_contract())),
+        contract.conforming(ev.books_of(base), book_contract()),
         live.feature_rows(), out, scratch_path(spark, "live"), AVAILABLE,
     ).awaitTermination()
     return _rounded(spark.read.parquet(out).drop("batch"))
@@ -577,8 +577,8 @@ def stream_scoring(spark, sf_dir):
 
 @query
 def stream_latest_price(spark, sf_dir):
-    trades = contract.valid_records(
-        contract.check(ev.trades_of(ev.stream_events(spark, sf_dir)), trade_contract())
+    trades = contract.conforming(
+        ev.trades_of(ev.stream_events(spark, sf_dir)), trade_contract()
     )
     out = scratch_path(spark, "latest")
 
@@ -596,8 +596,8 @@ def stream_latest_price(spark, sf_dir):
 
 @query
 def stream_last_points(spark, sf_dir):
-    trades = contract.valid_records(
-        contract.check(ev.trades_of(ev.stream_events(spark, sf_dir)), trade_contract())
+    trades = contract.conforming(
+        ev.trades_of(ev.stream_events(spark, sf_dir)), trade_contract()
     )
     view, types = scratch_path(spark, "view"), "symbol string, timestamp long, price double"
     live.start_view(

@@ -36,7 +36,11 @@ def sized_for(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, s
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """Session for tests and the bench; on a cluster use the session spark-submit gives."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tickloom")
-    settings = DEFAULTS | {"spark.sql.shuffle.partitions": str(shuffle_partitions)} | conf
+    settings = DEFAULTS | {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        # Small test tables should still use all cores.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

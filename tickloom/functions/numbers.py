@@ -50,7 +50,8 @@ def event_time(timestamp_ms: Column) -> Column:
 
 
 def event_date(timestamp_ms: Column) -> Column:
-    return F.to_date(F.timestamp_millis(timestamp_ms))
+    """UTC date, whatever the session time zone."""
+    return F.date_from_unix_date(F.floor(timestamp_ms / 86_400_000).cast("int"))
 
 
 def whole_seconds(timestamp_ms: Column) -> Column:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.contracts import contract_for
+from tickloom.functions.numbers import event_date
 from tickloom.operators.contract import check_json, error_text
 from tickloom.sources.lake import ERRORS, RAW
 
@@ -46,12 +47,13 @@ def route(messages: DataFrame, topic: str) -> DataFrame:
 
 def write_routed(routed: DataFrame, root: str, batch: str) -> None:
     """One write for both zones. Writing a batch again replaces what it wrote before."""
+    day = event_date(F.unix_millis("ingested_at"))
     (
         routed.select(
             "value", "zone", "topic",
-            F.date_format("ingested_at", "yyyy").alias("year"),
-            F.date_format("ingested_at", "MM").alias("month"),
-            F.date_format("ingested_at", "dd").alias("day"),
+            F.date_format(day, "yyyy").alias("year"),
+            F.date_format(day, "MM").alias("month"),
+            F.date_format(day, "dd").alias("day"),
             F.lit(batch).alias("batch"),
         )
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -12,7 +12,7 @@ from tickloom.operators import (
 )
 from tickloom.plans import daily, market
 from tickloom.schemas import FEATURE_COLS, TRADE_TOPIC
-from tickloom.session import materialize, scratch_path
+from tickloom.session import materialize, scratch_path, state_partitions_for_cores
 from tickloom.sources import events as ev
 from tickloom.sources import registry
 from tickloom.streaming import events as stream_ops
@@ -506,11 +506,12 @@ AVAILABLE = {"availableNow": True}
 
 def _run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     out = scratch_path(spark, name)
-    (
-        stream.writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", scratch_path(spark, f"{name}-offsets"))
-        .trigger(availableNow=True).start().awaitTermination()
-    )
+    with state_partitions_for_cores(spark):
+        (
+            stream.writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", scratch_path(spark, f"{name}-offsets"))
+            .trigger(availableNow=True).start().awaitTermination()
+        )
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -585,12 +586,13 @@ def stream_latest_price(spark, sf_dir):
     def replace_view(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out)
 
-    (
-        stream_ops.latest_prices(trades).writeStream.outputMode("complete")
-        .foreachBatch(replace_view)
-        .option("checkpointLocation", scratch_path(spark, "latest-offsets"))
-        .trigger(availableNow=True).start().awaitTermination()
-    )
+    with state_partitions_for_cores(spark):
+        (
+            stream_ops.latest_prices(trades).writeStream.outputMode("complete")
+            .foreachBatch(replace_view)
+            .option("checkpointLocation", scratch_path(spark, "latest-offsets"))
+            .trigger(availableNow=True).start().awaitTermination()
+        )
     return _rounded(spark.read.parquet(out))
 
 

@@ -46,6 +46,23 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return builder.getOrCreate()
 
 
+@contextmanager
+def state_partitions_for_cores(spark: SparkSession) -> Iterator[None]:
+    """On a local master, start stateful streams with one state partition per core.
+
+    A stream keeps the number it starts with, and every partition writes state files in every
+    batch. On a cluster the session's setting stands.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 

@@ -4,12 +4,13 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.session import materialize
 
 __all__ = [
-    "BUCKETS", "WORD", "documents", "fresh_names", "materialize", "offsets_in_groups",
-    "small_batches", "text_key",
+    "BUCKETS", "WORD", "documents", "fresh_names", "materialize", "offsets_in_groups", "once",
+    "row_key", "small_batches", "text_key",
 ]
 
 #: A word is a run of anything but ASCII white space.
@@ -34,6 +35,22 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit("second"), text)]
 
 
+def row_key(df: DataFrame) -> list[Column]:
+    """128 bits of all of a row's columns (but maps, which have no order) as two longs."""
+    columns = [df[f"`{f.name}`"] for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    return [F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)]
+
+
+def once(df: DataFrame, keys: list[str], marker: str) -> DataFrame:
+    """One row for each value of ``keys``.
+
+    Spark limits each task's rows to the first of a key before the shuffle, so a row that repeats
+    without end costs no more than its copies in one task each.
+    """
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[0]))
+    return df.withColumn(marker, first).where(F.col(marker) == 1)
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Arrow batches of at most ``rows`` rows, so that very long texts fit a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

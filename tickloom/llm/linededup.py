@@ -95,39 +95,44 @@ def kept_text(text: Column, keep: Column) -> Column:
         F.get(F.transform(F.array(words), left), F.lit(0)))
 
 
+def _with_keep(docs: DataFrame, min_chars: int) -> tuple[DataFrame, str, str]:
+    """``docs`` with the keep bitmap and the number of dropped lines of each row, and these names."""
+    id_, t1, t2, keep, n = fresh_names(docs, "_id", "_t1", "_t2", "_keep", "_n_dropped")
+    text = docs["text"].cast("string")
+    narrow = docs.select(docs["doc_id"].cast("long").alias("id"), text.alias("text"))
+    maps = keep_bitmaps(narrow, min_chars).select(
+        F.col("id").alias(id_), F.col("t1").alias(t1), F.col("t2").alias(t2),
+        F.col("keep").alias(keep), F.col("n_dropped").alias(n))
+    k1, k2 = text_key(F.coalesce(text, F.lit("")))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(id_)) & (k1 == F.col(t1)) & (k2 == F.col(t2))
+    return docs.join(maps, same, "left").drop(id_, t1, t2), keep, n
+
+
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with ``text`` reduced to the kept lines, and ``n_lines`` and ``n_dropped`` added.
+    """``doc_id``, the kept ``text``, ``n_lines``, ``n_dropped`` and the ``keep`` bitmap of every row.
 
     A line's key is the line without ASCII white space at its ends and with A-Z in lower case. Keys
     of at least ``min_chars`` code points in two documents or more stay only in the document with the
     smallest id, there with all their lines. Null and empty texts have one empty line and stay
     empty; a null id counts as one document after all others; repeated rows of an id are one
-    document, each row keeps its lines; an empty table gives no rows; other columns pass through.
-    ``n_lines`` and ``n_dropped`` replace columns of these names.
+    document, each row keeps its lines; an empty table gives no rows; extra columns are ignored.
     """
-    id_, t1, t2, keep, n = fresh_names(docs, "_id", "_t1", "_t2", "_keep", "_n_dropped")
-    narrow = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    maps = keep_bitmaps(narrow, min_chars).select(
-        F.col("id").alias(id_), F.col("t1").alias(t1), F.col("t2").alias(t2),
-        F.col("keep").alias(keep), F.col("n_dropped").alias(n))
-    k1, k2 = text_key(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    joined = docs.join(
-        maps, docs["doc_id"].cast("long").eqNullSafe(F.col(id_)) & (k1 == F.col(t1)) & (k2 == F.col(t2)), "left")
-    text = docs["text"].cast("string")
-    return joined.withColumns({
-        "n_lines": F.size(lines_of(text)).cast("long"),
-        "n_dropped": F.coalesce(F.col(n), F.lit(0)).cast("long"),
-        "text": kept_text(text, F.col(keep)),
-    }).drop(id_, t1, t2, keep, n)
+    found, keep, n = _with_keep(docs, min_chars)
+    text = F.col("text").cast("string")
+    return found.select(
+        "doc_id", kept_text(text, F.col(keep)).alias("text"),
+        F.size(lines_of(text)).cast("long").alias("n_lines"),
+        F.coalesce(n, F.lit(0)).cast("long").alias("n_dropped"), F.col(keep).alias("keep"))
 
 
 def kept_documents(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with their own columns, ``text`` reduced to the kept lines.
 
     ``n_chars``, if there is one, counts the code points that are left. Documents stay even when all
-    their lines go.
+    their lines go. Null texts become empty; the rest is as for ``dedup_lines``.
     """
-    found = dedup_lines(docs, min_chars)
+    found, keep, _ = _with_keep(docs, min_chars)
+    kept = found.withColumn("text", kept_text(F.col("text").cast("string"), F.col(keep)))
     columns = [F.char_length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
                for c in docs.columns]
-    return found.select(*columns)
+    return kept.select(*columns)

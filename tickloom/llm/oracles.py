@@ -1,5 +1,22 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
+TOP_K = """
+with v as (
+  select vec_id, min(q) as v from (
+    select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as q
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)
+  group by vec_id),
+scores as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
+where rank <= 10
+"""
+
 LINE_DEDUP = r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -18,6 +35,18 @@ from keyed left join firsts using (key)
 group by doc_id
 """
 
+WARC = """
+with payloads as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+  from pages),
+firsts as (
+  select payload_digest, min(page_id) as first from payloads where payload_bytes >= 100 group by 1)
+select page_id, payload_bytes, payload_digest,
+  case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
+  case when first <> page_id then first end as refers_to
+from payloads left join firsts using (payload_digest)
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_line_dedup": LINE_DEDUP}
+    return {"op1_vector_file": TOP_K, "op2_line_dedup": LINE_DEDUP, "op8_warc": WARC}

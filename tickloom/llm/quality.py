@@ -66,13 +66,13 @@ def _matrix(texts: pd.Series) -> np.ndarray:
 
 def document_statistics(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the array ``statistics`` of every row."""
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "statistics": list(_matrix(batch["text"]))})
+    @F.pandas_udf("array<double>")
+    def measured(texts: pd.Series) -> pd.Series:
+        return pd.Series(list(_matrix(texts)))
 
     small_batches(docs.sparkSession)
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return picked.mapInPandas(rows, "doc_id long, statistics array<double>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       measured(F.col("text").cast("string")).alias("statistics"))
 
 
 @dataclass(frozen=True)
@@ -162,15 +162,12 @@ def from_moments(found: np.ndarray, shrinkage: float) -> Discriminant:
 
 def scored(statistics: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row."""
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            x = np.stack(batch["statistics"]) if len(batch) else np.zeros((0, _STATISTICS))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": model.scores(x)})
+    @F.pandas_udf("double")
+    def score(values: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(np.stack(values)) if len(values) else [], dtype=float)
 
-    result = statistics.mapInPandas(rows, "doc_id long, score double")
-    return result.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return statistics.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("statistics").alias("score")) \
+        .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -2,18 +2,37 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import linededup, quality, simhash
+from tickloom.llm import (
+    fingerprints, htmltext, linededup, mixing, packing, quality, sharding, simhash, topk, warc,
+)
 from tickloom.llm.common import documents
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op1_vector_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.kd_shards(documents(spark, sf_dir)).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -22,6 +41,26 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(documents(spark, sf_dir))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(documents(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_line_dedup, op5_quality_classifier, op6_simhash]
+    found = [
+        op1_vector_file, op2_line_dedup, op3_kd_shards, op4_packing, op5_quality_classifier,
+        op6_simhash, op7_html_text, op8_warc, op9_mixing, op10_fingerprints,
+    ]
     return {query.__name__: query for query in found}

@@ -14,10 +14,10 @@ from math import comb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import fresh_names, materialize, small_batches, text_key
+from tickloom.llm.common import fresh_names, materialize, once, small_batches, text_key
 
 SHINGLE = 4
 DISTANCE = 4
@@ -54,17 +54,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id``, the signed 64-bit ``fp`` and the text's key ``t1``, ``t2`` of every row."""
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = np.array([fingerprint(t, shingle) for t in batch["text"]], np.uint64)
-            yield batch.drop(columns="text").assign(fp=found.view(np.int64))
+    @F.pandas_udf("long")
+    def taken(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
 
     small_batches(docs.sparkSession)
     text = F.col("text").cast("string")
     t1, t2 = text_key(F.coalesce(text, F.lit("")))
-    picked = docs.select(
-        F.col("doc_id").cast("long"), text.alias("text"), t1.alias("t1"), t2.alias("t2"))
-    return picked.mapInPandas(rows, "doc_id long, t1 long, t2 long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), t1.alias("t1"), t2.alias("t2"),
+                       taken(text).alias("fp"))
 
 
 def _grouped_bits(bits: np.ndarray, parts: int) -> list[list[int]]:
@@ -221,6 +219,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE, block: int = BLOCK) ->
     is cut into pieces by a hash, and each pair of its pieces becomes a bucket of its own.
     """
     spark, total = distinct.sparkSession, distinct.count()
+    small_batches(spark, 10_000)
     sample = np.array([r.fp for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(PLAN_SAMPLE).collect()], np.int64)
     masks = _masks(plan(sample.view(np.uint64), total, distance))
 
@@ -313,9 +312,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     id_, t1, t2, n, i, a, b = fresh_names(docs, "_id", "_t1", "_t2", "_n", "_i", "_a", "_b")
     k1, k2 = text_key(F.coalesce(F.col("text").cast("string"), F.lit("")))
     # Repeated rows go before the shuffle; the join then finds its rows where they are.
-    rows = docs.withColumns({id_: F.col("doc_id").cast("long"), t1: k1, t2: k2})
-    once = rows.withColumn(n, F.row_number().over(Window.partitionBy(id_, t1, t2).orderBy(t1))) \
-        .where(F.col(n) == 1)
+    rows = once(docs.withColumns({id_: F.col("doc_id").cast("long"), t1: k1, t2: k2}), [id_, t1, t2], n)
     kept = first.select(F.col("r.doc_id").alias(i), F.col("r.t1").alias(a), F.col("r.t2").alias(b))
     same = F.col(id_).eqNullSafe(F.col(i)) & (F.col(t1) == F.col(a)) & (F.col(t2) == F.col(b))
-    return once.join(kept, same, "left_semi").select(*docs.columns)
+    return rows.join(kept, same, "left_semi").select(*docs.columns)

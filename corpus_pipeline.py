@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import linededup, quality, simhash
+from tickloom.llm import linededup, mixing, packing, quality, simhash
 from tickloom.llm.common import documents, materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,13 +26,25 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.keep_one(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents as often, and as much of them, as their source's target asks for."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each piece of each document and its place in a training sequence."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", reject_bad),
     ("line dedup", drop_repeated_lines),
     ("simhash near-dedup", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack_sequences),
 ]
 
-#: The classifier and the fingerprints are beyond SQL; tests compare the stages with brute force.
+#: Classifier, fingerprints and mix are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

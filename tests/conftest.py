@@ -13,8 +13,12 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8", **{"spark.driver.memory": "4g"})
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("8", **{
+        "spark.driver.memory": "4g", "spark.checkpoint.dir": folder,
+        "spark.ui.showConsoleProgress": "false",
+    })
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

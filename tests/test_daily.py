@@ -2,11 +2,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions.contracts import book_contract, trade_contract
+from tickloom.operators import models
 from tickloom.operators.contract import check, valid_records
 from tickloom.operators.features import BY_DATE, build_features, order_ticks
 from tickloom.operators.joins import band_join
 from tickloom.operators.quality import expectations, join_quality, layer_size, profile
 from tickloom.plans import daily, gates
+from tickloom.session import shared_folder
 from tickloom.schemas import BOOK_TOPIC, FEATURE_COLS, TRADE_TOPIC
 from tickloom.sources import lake, registry
 from tickloom.sources.events import books_of, read_events, trades_of, with_copies
@@ -64,12 +66,72 @@ def test_training_run_registers_models(spark, root, report):
     rows = metrics.orderBy("symbol").collect()
     assert rows and all(r["mae"] >= 0 and r["test_records"] > 0 for r in rows)
     daily.run_training(spark, root, "20240103_000000", rows_per_symbol=100, fit_on="train")
-    models, scaler = registry.load_latest(spark, root)
-    assert sorted(models) == [r["symbol"] for r in rows]
-    assert scaler.count() == len(models) * len(FEATURE_COLS)
+    fitted, scaler = registry.load_latest(spark, root)
+    assert sorted(fitted) == [r["symbol"] for r in rows]
+    assert scaler.count() == len(fitted) * len(FEATURE_COLS)
     assert registry.read_metrics(spark, root).count() == 2 * len(rows)
 
 
+def files_below(spark, folder):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(path).getFileCount()
+
+
+def test_runs_leave_no_scratch(spark, root, report):
+    before = files_below(spark, shared_folder(spark))
+    daily.run_daily(spark, root, DATE)
+    daily.run_training(spark, root, "20240104_000000")
+    assert files_below(spark, shared_folder(spark)) == before
+
+
+def test_joined_layer_has_its_columns_alone(spark, root, report):
+    columns = lake.read_layer(spark, root, daily.JOINED, DATE).columns
+    assert not {"block", "from_end", "carried"} & set(columns)
+
+
+def test_scaler_of_the_training_part_sees_what_sequences_see(spark):
+    rows = spark.range(160).select(
+        F.lit("BTCUSDT").alias("symbol"), F.col("id").alias("timestamp"),
+        *[F.col("id").cast("double").alias(c) for c in FEATURE_COLS])
+    # 100 sequences, 80 of them train; the last of these has its label in row 140.
+    assert daily._scaler_rows(rows, "train").agg(F.max("price")).first()[0] == 139.0
+
+
+def test_fit_bound_takes_the_newest_training_sequences(spark):
+    seen = []
+
+    class Estimator:
+        def fit(self, df):
+            seen.append(df.count())
+
+    split = spark.range(1, 101).select(
+        F.lit("BTCUSDT").alias("symbol"), F.col("id").alias("seq_no"), F.lit(100).alias("seq_total"),
+        F.array(F.array(F.lit(1.0))).alias("x"), F.lit(1.0).alias("y"),
+        F.when(F.col("id") <= 72, "train").otherwise("test").alias("part"))
+    for newest in (None, 10, 1000):
+        models.fit_symbol(split, "BTCUSDT", Estimator(), newest)
+    assert seen == [72, 10, 72]
+
+
+def test_text_numbers_and_cut_lines_reach_the_merged_layer(spark, tmp_path):
+    """Landing takes numbers sent as text; the merge must keep them, and count broken lines."""
+    at = F.timestamp_seconds(F.lit(1_704_067_200))
+    good = [
+        '{"symbol":"BTCUSDT","price":"100.5","size":1,"timestamp":1704067200001.0,"trade_id":"7"}',
+        '{"symbol":"ETHUSDT","price":2.5,"size":"0.25","timestamp":1704067200002,"trade_id":8,"venue":"x"}']
+    lines = spark.createDataFrame([(g,) for g in good], "value string").withColumn("ingested_at", at)
+    write_routed(route(lines, TRADE_TOPIC), str(tmp_path), "q-0")
+    cut = spark.createDataFrame([(good[0][:40],), ("",)], "value string").select(
+        "value", at.alias("ingested_at"), F.lit("raw").alias("zone"), F.lit(TRADE_TOPIC).alias("topic"))
+    write_routed(cut, str(tmp_path), "q-1")
+    counts = daily.merge_topic(spark, str(tmp_path), TRADE_TOPIC, DATE)
+    merged = lake.read_layer(spark, str(tmp_path), daily.merged_layer(TRADE_TOPIC), DATE).drop("date")
+    assert sorted(map(tuple, merged.collect())) == [
+        ("BTCUSDT", 100.5, 1.0, 1704067200001, 7), ("ETHUSDT", 2.5, 0.25, 1704067200002, 8)]
+    assert counts["unreadable"] >= 1 and counts["rows_after"] == 2
+
+
 def test_missing_raw_day_fails_the_gate(spark, root):
     with pytest.raises(gates.GateError, match="no raw files"):
         daily.run_daily(spark, root, "2020-05-05")

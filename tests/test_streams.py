@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tickloom.operators.features import CONTINUOUS, live_features, order_ticks
@@ -10,9 +11,10 @@ from tickloom.session import materialize
 from tickloom.sources.events import books_of, read_events, trades_of
 from tickloom.sources.lake import read_raw_day, read_topic
 from tickloom.streaming import live
-from tickloom.streaming.events import dedup_stream, interval_join, latest_prices
+from tickloom.streaming.events import dedup_stream, interval_join, late_rows, latest_prices
 from tickloom.streaming.landing import publish, publish_or_keep, route, start_landing, write_routed
-from tickloom.schemas import SYMBOLS, TRADE
+from tickloom.schemas import BOOK_TOPIC, FEATURE_COLS, PREDICTION_TOPIC, SYMBOLS, TRADE, TRADE_TOPIC
+from tickloom.streaming.predicting import start_predicting
 
 NOW = {"availableNow": True}
 COLS = ["symbol", "timestamp", "trade_id", "price_lag_10", "rolling_avg_10", "spread"]
@@ -113,11 +115,65 @@ def test_live_query_restarts_where_it_stopped(spark, market, tmp_path):
     run([1, 2])
     out = spark.read.parquet(f"{tmp_path}/out")
     assert 0 < first < out.count()
-    # Prices do not depend on which books had arrived when.
-    cols = COLS[:-1]
+    # All books come in the first micro-batch, far ahead of most trades.
+    cols = [*COLS, *FEATURE_COLS]
     assert rows(out, cols) == rows(batch_features(trades, books), cols)
 
 
+def tick(spark, times):
+    return spark.createDataFrame(
+        [("BTCUSDT", t, 1.0 + t, 1.0, t) for t in times],
+        "symbol string, timestamp long, price double, size double, trade_id long")
+
+
+def book(spark, times):
+    return spark.createDataFrame(
+        [("BTCUSDT", t, 10.0, 10.0 + t, 1.0, 2.0, 2.0) for t in times], live.BOOK_TYPES)
+
+
+def test_books_ahead_of_trades_are_kept_for_them(spark, tmp_path):
+    """Book 80, not the newest book 100, belongs to the trade at 90 of the next micro-batch."""
+    state = live.LiveState(spark, str(tmp_path / "state"))
+    merged = []
+    for i, (trades, books) in enumerate([(range(0, 81, 8), [5, 80, 100]), ([90, 100, 101], []), ([150], [120, 140, 160])]):
+        events = live.tagged_events(tick(spark, trades), book(spark, books))
+        live.advance(
+            events, i, state, f"{tmp_path}/out", f"{tmp_path}/late",
+            lambda ticks: ticks.rows(), lambda df, _: merged.extend(df.collect()))
+    spreads = {r["timestamp"]: (r["book_timestamp"], r["spread"]) for r in merged}
+    assert spreads[80] == (80, 80.0) and spreads[90] == (80, 80.0)
+    assert spreads[100] == (100, 100.0) and spreads[101] == (100, 100.0)
+    assert spreads[150] == (140, 140.0)
+    kept = [r["timestamp"] for r in state.read(2, "books", live.BOOK_TYPES).collect()]
+    assert sorted(kept) == [140, 160]
+
+
+def test_view_shows_the_last_finished_batch_alone(spark, tmp_path):
+    types, view = "symbol string, timestamp long, price double", str(tmp_path / "view")
+    state = live.LiveState(spark, view)
+    for i in range(3):
+        points = tick(spark, range(100 * i, 100 * i + 100))
+        live.advance_view(points, i, state, types, ("timestamp",), 150)
+        shown = sorted(r["timestamp"] for r in live.read_view(spark, view, types).collect())
+        assert shown == list(range(max(0, 100 * i - 50), 100 * i + 100))
+
+
+def test_late_rows_of_dedup_are_counted(spark, tmp_path):
+    first = tick(spark, [10_000_000, 10_000_001])
+    later = tick(spark, [20_000_000])
+    late = tick(spark, [1, 2, 3])
+    for i, part in enumerate([first, later, late]):
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(first.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    query = (
+        dedup_stream(stream, lateness="1 second").writeStream.format("parquet")
+        .option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/check")
+        .trigger(**NOW).start())
+    query.awaitTermination()
+    assert late_rows(query) == 3
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 3
+
+
 @pytest.mark.parametrize("n, expected", [(69, 0), (70, 1), (75, 6)])
 def test_windows_start_with_the_seventieth_tick(spark, n, expected):
     ticks = spark.range(n).select(
@@ -221,6 +277,36 @@ def test_publish_and_its_failure(spark, tmp_path):
     assert not publish_or_keep(df, "nowhere:1", "t", f"{tmp_path}/errors")  # no Kafka connector
     kept = spark.read.parquet(f"{tmp_path}/errors").first()
     assert json.loads(kept["original_payload"])["symbol"] == "BTCUSDT"
+    for _ in range(2):  # a batch that is sent or kept again replaces itself
+        publish(df, str(tmp_path), "again", "files", 7)
+        publish_or_keep(df, "nowhere:1", "t", f"{tmp_path}/kept", batch_id=7)
+    assert spark.read.text(f"{tmp_path}/again").count() == 1
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 1
+
+
+class LastPrice:
+    """Stands for a fitted model: the last scaled price of the window."""
+
+    def transform(self, df):
+        last = vector_to_array("features")[59 * len(FEATURE_COLS)]
+        return df.withColumn("y_hat", last)
+
+
+def test_topics_to_published_predictions(spark, tmp_path):
+    topics = tmp_path / "topics"
+    for topic in (TRADE_TOPIC, BOOK_TOPIC):
+        (topics / topic).mkdir(parents=True)
+    lines = [record(timestamp=1_704_067_200_000 + 10 * i, trade_id=i, price=str(1.0 + i)) for i in range(72)]
+    (topics / TRADE_TOPIC / "1.txt").write_text("\n".join([*lines, record(price=-1), "{cut"]) + "\n")
+    (topics / BOOK_TOPIC / "1.txt").write_text("{}\n")
+    bounds = [("BTCUSDT", c, 0.0, 100.0) for c in FEATURE_COLS]
+    scaler = spark.createDataFrame(bounds, "symbol string, feature string, min double, max double")
+    start_predicting(
+        spark, str(topics), {"BTCUSDT": LastPrice()}, scaler, f"{tmp_path}/out", f"{tmp_path}/check",
+        "files", F.col("timestamp"), NOW).awaitTermination()
+    sent = [json.loads(r["value"]) for r in spark.read.text(f"{topics}/{PREDICTION_TOPIC}").collect()]
+    assert sorted(round(s["current_price"], 6) for s in sent) == [70.0, 71.0, 72.0]
+    assert all(abs(s["current_price"] - s["predicted_price"]) < 1e-9 for s in sent)
 
 
 def test_latest_prices_stream(spark, market, tmp_path):

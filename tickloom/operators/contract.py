@@ -121,8 +121,14 @@ def valid_records(checked: DataFrame) -> DataFrame:
 
 
 def dead_letters(checked: DataFrame, topic: str, seen_at: Column | None = None) -> DataFrame:
-    """Envelopes of the failed records, in the superset layout of all dead-letter writers."""
-    raw = F.col("raw") if "raw" in checked.columns else F.to_json("typed")
+    """Envelopes of the failed records, in the superset layout of all dead-letter writers.
+
+    ``raw`` is the record as received: its text, or else its columns with the values that failed.
+    """
+    received = [c for c in checked.columns if c not in ("typed", "valid", "violations")]
+    raw = F.col("raw") if "raw" in received else F.to_json(
+        F.struct(*received), {"ignoreNullFields": "false"}
+    )
     return checked.where("not valid").select(
         error_text().alias("error"),
         F.lit(topic).alias("topic"),

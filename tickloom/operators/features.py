@@ -21,10 +21,9 @@ def order_ticks(
     joined: DataFrame,
     group: tuple[str, ...] = BY_DATE,
     blocks: int | None = None,
-    path: str | None = None,
 ) -> Ordered:
     """Lay joined ticks out in event order, per symbol and date or per symbol."""
-    return lay_out(joined, group, [c for c in JOINED_ORDER if c in joined.columns], blocks, path)
+    return lay_out(joined, group, [c for c in JOINED_ORDER if c in joined.columns], blocks)
 
 
 def build_features(ticks: Ordered) -> DataFrame:

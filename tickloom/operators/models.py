@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.evaluate import forecast_errors
-from tickloom.operators.training import has_missing, inverse_scale
+from tickloom.operators.training import has_missing, inverse_scale, last_trained
 from tickloom.schemas import FEATURE_COLS
 from tickloom.session import materialize
 
@@ -42,10 +42,14 @@ def scaled_without_missing(scaled: DataFrame) -> DataFrame:
     return scaled.join(bad, "symbol", "left_anti")
 
 
-def fit_symbol(split: DataFrame, symbol: str, estimator: Estimator | None = None) -> Model:
-    """Fit on the symbol's training part; validation and test rows stay out."""
-    train = as_vectors(split.where((F.col("symbol") == symbol) & (F.col("part") == "train")))
-    return (estimator or next_price_regressor()).fit(train.select("features", "y"))
+def fit_symbol(
+    split: DataFrame, symbol: str, estimator: Estimator | None = None, newest: int | None = None
+) -> Model:
+    """Fit on the symbol's training part, or its ``newest`` sequences; the other parts stay out."""
+    train = split.where((F.col("symbol") == symbol) & (F.col("part") == "train"))
+    if newest is not None:
+        train = train.where(F.col("seq_no") > last_trained() - newest)
+    return (estimator or next_price_regressor()).fit(as_vectors(train).select("features", "y"))
 
 
 def predict_test(split: DataFrame, models: dict[str, Model], scaler: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ row-group statistics, and only a block's last group can continue in the next blo
 """
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -116,8 +118,16 @@ class Ordered:
 
     def filled(self, cols: list[str]) -> "Ordered":
         """Replace nulls by the last non-null value of the group, as an ordered scan would."""
-        latest = self.df.groupBy(*self.group, BLOCK).agg(*[
-            F.min_by(c, F.when(F.col(c).isNotNull(), F.col(FROM_END))).alias(c) for c in cols
+        # Where each column's last value of a block stands; a long, so this is a hash aggregate.
+        # Only those rows, at most one for each column, are then looked up.
+        at = self.df.groupBy(*self.group, BLOCK).agg(*[
+            F.min(F.when(F.col(c).isNotNull(), F.col(FROM_END))).alias(f"_at_{c}") for c in cols
+        ])
+        is_last = {c: F.col(FROM_END) == F.col(f"_at_{c}") for c in cols}
+        latest = self.join_blocks(materialize(at, "last-values")).where(
+            reduce(or_, [F.coalesce(hit, F.lit(False)) for hit in is_last.values()])
+        ).groupBy(*self.group, BLOCK).agg(*[
+            F.max(F.when(is_last[c], F.col(c))).alias(c) for c in cols
         ])
         earlier = (
             Window.partitionBy(*self.group).orderBy(BLOCK)
@@ -150,7 +160,6 @@ def lay_out(
     group: list[str] | tuple[str, ...],
     order: list[str],
     blocks: int | None = None,
-    path: str | None = None,
 ) -> Ordered:
     """Cut ``df`` into ordered blocks and write them.
 
@@ -170,6 +179,5 @@ def lay_out(
         .withColumn(BLOCK, F.spark_partition_id())
         .withColumn(FROM_END, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)),
         "ordered",
-        path,
     )
     return Ordered(written, tuple(group), written)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tickloom.session import materialize
 
 SLICE_MS = 3_600_000
-SALTS = 32
 _NO_TIME = -(1 << 62)  # slice of rows without a time
 
 
@@ -20,15 +19,17 @@ def most_recent(
     key: str = "symbol",
     order: tuple[str, ...] = ("timestamp",),
     slice_ms: int = SLICE_MS,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """The ``n`` newest rows of every key, by ``order`` (its first column is epoch ms).
 
     1. Rows are counted per key and time slice; only slices that can hold one of the newest
        ``n`` are read on, and the oldest of them is pushed down to the scan.
     2. What is left is ranked twice: within (key, salt), then within the key over at most
-       ``salts * n`` rows. A key that holds most rows is thus spread over ``salts`` tasks.
+       ``salts * n`` rows. A key that holds most rows is thus spread over ``salts`` tasks, by
+       default as many as a shuffle has.
     """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     time_slice = F.call_function("div", F.col(order[0]), F.lit(slice_ms))
     sliced = df.withColumn("_slice", time_slice)
     newer = Window.partitionBy(key).orderBy(F.col("_slice").desc_nulls_last()).rowsBetween(

@@ -13,10 +13,11 @@ from tickloom.operators.ordered import CARRIED, Ordered, lay_out
 from tickloom.operators.recent import most_recent
 from tickloom.schemas import (
     BOOK_FILL_COLS, CORE_PRICE_COLS, FEATURE_COLS, JOINED_ORDER, LONGEST_LAG,
-    MIN_TRAINING_ROWS, ROWS_PER_SYMBOL, SEQUENCE_LENGTH, TRAIN_SHARE,
+    MIN_TRAINING_ROWS, SEQUENCE_LENGTH, TRAIN_SHARE,
 )
 
 TIE_BREAK = ["trade_id", "book_timestamp"]
+VALIDATION_SHARE = 0.1
 
 
 def training_columns(df: DataFrame) -> list[str]:
@@ -45,12 +46,16 @@ def fill_book_values(df: DataFrame) -> DataFrame:
 
 
 def prepare_training(
-    features: DataFrame, rows_per_symbol: int = ROWS_PER_SYMBOL, days: int | None = None
+    features: DataFrame, rows_per_symbol: int | None = None, days: int | None = None
 ) -> DataFrame:
-    """Newest rows per symbol, then rows without core prices dropped, then book values filled."""
+    """Rows without core prices dropped, then book values filled.
+
+    With ``rows_per_symbol`` only the newest rows of each symbol are taken, before the drop.
+    """
     chosen = recent_days(features, days).select(*training_columns(features))
-    newest = most_recent(chosen, rows_per_symbol, order=tuple(tick_order(chosen)))
-    return fill_book_values(drop_incomplete(newest))
+    if rows_per_symbol is not None:
+        chosen = most_recent(chosen, rows_per_symbol, order=tuple(tick_order(chosen)))
+    return fill_book_values(drop_incomplete(chosen))
 
 
 def trainable_symbols(df: DataFrame, at_least: int = MIN_TRAINING_ROWS) -> DataFrame:
@@ -213,12 +218,17 @@ def split_sequences(sequences: DataFrame, train_share: float = TRAIN_SHARE) -> D
     )
 
 
+def last_trained(share: float = VALIDATION_SHARE, train_share: float = TRAIN_SHARE) -> Column:
+    """Number of the last sequence that trains, before those that validate and test."""
+    trained = F.floor(F.col("seq_total") * F.lit(train_share))
+    return F.floor(trained * F.lit(1.0 - share))
+
+
 def validation_part(
-    split: DataFrame, share: float = 0.1, train_share: float = TRAIN_SHARE
+    split: DataFrame, share: float = VALIDATION_SHARE, train_share: float = TRAIN_SHARE
 ) -> DataFrame:
     """Mark the last ``share`` of the training part as validation."""
-    trained = F.floor(F.col("seq_total") * F.lit(train_share))
-    kept = F.floor(trained * F.lit(1.0 - share))
+    kept = last_trained(share, train_share)
     return split.withColumn(
         "part",
         F.when((F.col("part") == "train") & (F.col("seq_no") > kept), "validation")

@@ -1,11 +1,12 @@
 """Serving views over prices and predictions."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.joins import outer_join_points
 from tickloom.operators.recent import latest_value, most_recent
 from tickloom.schemas import VIEW_POINTS
+from tickloom.session import materialize
 
 
 def last_points(df: DataFrame, order: tuple[str, ...], n: int = VIEW_POINTS) -> DataFrame:
@@ -21,18 +22,22 @@ def chart(
 ) -> DataFrame:
     """``symbol, t, actual_price, predicted_price``: the last points of both series, outer joined.
 
-    Symbols without a price have no chart. Each side is cut to ``n`` points per symbol first, so
-    the join is small whatever the history.
+    Symbols without a price have no chart. Each side is cut to ``n`` points per symbol first and
+    stored, so the join and the last cut are small whatever the history.
     """
-    actual = last_points(prices, price_order, n).select(
+    actual = materialize(last_points(prices, price_order, n).select(
         "symbol", F.col("timestamp").alias("t"), F.col("price").alias("actual_price")
-    )
-    expected = last_points(predictions, prediction_order, n).select(
+    ), "chart-prices")
+    expected = materialize(last_points(predictions, prediction_order, n).select(
         "symbol", F.col("timestamp").alias("t"), "predicted_price"
-    )
+    ), "chart-predictions")
     charted = expected.join(actual.select("symbol").distinct(), "symbol", "left_semi")
     points = outer_join_points(actual, charted, ["symbol", "t"])
-    return most_recent(points, n, order=("t", "actual_price", "predicted_price"))
+    newest = Window.partitionBy("symbol").orderBy(
+        *[F.col(c).desc() for c in ("t", "actual_price", "predicted_price")]
+    )
+    return points.withColumn("_rank", F.row_number().over(newest)) \
+        .where(F.col("_rank") <= n).drop("_rank")
 
 
 def recent_predictions(predictions: DataFrame, order: tuple[str, ...], n: int = 10) -> DataFrame:
@@ -52,18 +57,15 @@ def live_board(
     prices: DataFrame, predictions: DataFrame, order: tuple[str, ...] = ("timestamp",)
 ) -> DataFrame:
     """Headline texts per symbol that has a price; prediction texts are null without one."""
-    record = F.struct("predicted_price", "diff", "direction")
     price = latest_value(prices, "price", order=order).select("symbol", "price")
-    forecast = (
-        predictions.select("symbol", *order, record.alias("record"))
-        .groupBy("symbol").agg(F.max_by("record", F.struct(*order)).alias("record"))
-    )
+    forecast = most_recent(predictions, 1, order=order) \
+        .select("symbol", "predicted_price", "diff", "direction")
     return price.join(forecast, "symbol", "left").select(
         "symbol",
         F.concat(F.lit("$"), F.format_number("price", 4)).alias("live_price"),
-        F.concat(F.lit("$"), F.format_number("record.predicted_price", 4))
+        F.concat(F.lit("$"), F.format_number("predicted_price", 4))
         .alias("predicted_next"),
-        F.when(F.col("record.diff").isNotNull(), F.format_string("%+.4f", "record.diff"))
+        F.when(F.col("diff").isNotNull(), F.format_string("%+.4f", "diff"))
         .alias("delta"),
-        F.col("record.direction").alias("direction"),
+        "direction",
     )

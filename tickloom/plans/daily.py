@@ -1,31 +1,36 @@
 """The two batch runs: one date from raw to features, and features to evaluated models."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.ml import Estimator, Pipeline
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.operators.contract import valid_records
 from tickloom.operators.dedup import drop_exact_duplicates
 from tickloom.operators.features import CONTINUOUS, build_features, order_ticks
 from tickloom.operators.joins import band_join
 from tickloom.operators.models import (
     evaluate, fit_symbol, next_price_regressor, scaled_without_missing,
 )
-from tickloom.operators.quality import observed, observed_step
+from tickloom.operators.quality import expectations, observed, observed_step
 from tickloom.operators.training import (
     build_sequences, clean_series, fit_scaler, order_series, prepare_training, scale,
     split_sequences, trainable_symbols, validation_part,
 )
 from tickloom.plans import gates
-from tickloom.schemas import BOOK_TOPIC, ROWS_PER_SYMBOL, TRADE_TOPIC
-from tickloom.session import materialize
+from tickloom.schemas import (
+    BOOK_TOPIC, ROWS_PER_SYMBOL, SEQUENCE_LENGTH, SYMBOLS, TRADE_TOPIC, TRAIN_SHARE,
+)
+from tickloom.session import materialize, scratch_scope
 from tickloom.sources import lake, registry
 
 MERGED = "merged"
 JOINED = "joined"
 FEATURES = "daily"
 TRAINING = "training"
+FITS_AT_ONCE = 8
 
 
 def merged_layer(topic: str) -> str:
@@ -33,16 +38,25 @@ def merged_layer(topic: str) -> str:
 
 
 def merge_topic(spark: SparkSession, root: str, topic: str, date: str) -> dict[str, int]:
-    """Raw records of a day without exact copies; row counts come from the write itself."""
-    merged, counts = observed_step(
-        lake.read_raw_day(spark, root, topic, date), drop_exact_duplicates, f"merge {topic}"
-    )
+    """Raw records of a day without exact copies; row counts come from the write itself.
+
+    ``unreadable`` counts the landed lines that are no record, such as lines cut short.
+    """
+    lines = lake.checked_lines(lake.read_raw_lines(spark, root, topic, date), topic)
+    seen = Observation(f"lines {topic}")
+    lines = lines.observe(seen, F.count_if(~F.col("valid")).alias("unreadable"))
+    merged, counts = observed_step(valid_records(lines), drop_exact_duplicates, f"merge {topic}")
     lake.write_date(merged, root, merged_layer(topic), date)
-    return counts()
+    return counts() | {"unreadable": seen.get["unreadable"]}
 
 
 def run_daily(spark: SparkSession, root: str, date: str) -> dict[str, dict[str, int]]:
     """Raw to features for one date. Rerunning a date replaces it in every layer."""
+    with scratch_scope(spark):
+        return _run_daily(spark, root, date)
+
+
+def _run_daily(spark: SparkSession, root: str, date: str) -> dict[str, dict[str, int]]:
     report = {}
     for topic in (TRADE_TOPIC, BOOK_TOPIC):
         gates.raw_files_exist(spark, root, topic, date)
@@ -53,11 +67,8 @@ def run_daily(spark: SparkSession, root: str, date: str) -> dict[str, dict[str,
 
     trades = lake.read_layer(spark, root, merged_layer(TRADE_TOPIC), date)
     books = lake.read_layer(spark, root, merged_layer(BOOK_TOPIC), date)
-    # The joined layer is stored in event order, which is what the feature windows need.
-    ticks = order_ticks(
-        band_join(trades, books), CONTINUOUS,
-        path=f"{lake.layer_path(root, JOINED)}/date={date}",
-    )
+    ticks = order_ticks(band_join(trades, books), CONTINUOUS)
+    lake.write_date(ticks.rows(), root, JOINED, date)
     features, counted = observed(build_features(ticks), "features")
     gates.feature_columns_present(features)
     lake.write_date(features, root, FEATURES, date)
@@ -70,23 +81,30 @@ def run_training(
     spark: SparkSession,
     root: str,
     run: str,
-    rows_per_symbol: int = ROWS_PER_SYMBOL,
+    rows_per_symbol: int | None = None,
     days: int | None = None,
     estimator: Estimator | None = None,
     fit_on: str = "all",
+    fit_rows: int | None = ROWS_PER_SYMBOL,
+    expect: bool = False,
 ) -> DataFrame:
-    """Features to models: returns the stored metrics of this run, one row per trained symbol."""
+    """Features to models: returns the stored metrics of this run, one row per trained symbol.
+
+    All rows are prepared, scaled and tested on; a regressor is fitted on the newest ``fit_rows``
+    training sequences of its symbol (None: all). ``rows_per_symbol`` and ``days`` limit the
+    training layer itself. ``expect`` stops the run if the features miss the documented bounds.
+    """
     gates.layer_has_rows(spark, root, FEATURES)
-    lake.write_table(
-        prepare_training(lake.read_layer(spark, root, FEATURES), rows_per_symbol, days),
-        root, TRAINING,
-    )
-    gates.training_layer_usable(spark, root, TRAINING)
-
-    clean = materialize(clean_series(_with_enough_rows(lake.read_layer(spark, root, TRAINING))),
-                        "clean")
-    metrics = train_and_evaluate(spark, root, run, _with_enough_rows(clean), estimator, fit_on)
-    registry.save_metrics(metrics, root, run)
+    features = lake.read_layer(spark, root, FEATURES).where(F.col("symbol").isin(*SYMBOLS))
+    if expect:
+        gates.expectations_met(expectations(features))
+    with scratch_scope(spark):
+        lake.write_table(prepare_training(features, rows_per_symbol, days), root, TRAINING)
+        gates.training_layer_usable(spark, root, TRAINING)
+        rows = _with_enough_rows(lake.read_layer(spark, root, TRAINING))
+        clean = _with_enough_rows(materialize(clean_series(rows), "clean"))
+        metrics = train_and_evaluate(spark, root, run, clean, estimator, fit_on, fit_rows)
+        registry.save_metrics(metrics, root, run)
     return registry.read_metrics(spark, root).where(F.col("run_id") == run).orderBy("symbol")
 
 
@@ -103,17 +121,22 @@ def train_and_evaluate(
     clean: DataFrame,
     estimator: Estimator | None = None,
     fit_on: str = "all",
+    fit_rows: int | None = ROWS_PER_SYMBOL,
 ) -> DataFrame:
-    """Scale, cut sequences, fit one model per symbol and measure it on the last sequences."""
+    """Scale, cut sequences, fit one model per symbol and measure it on the last sequences.
+
+    The symbols are those of the contract, a few; their fits run side by side.
+    """
     scaler = registry.save_scaler(fit_scaler(_scaler_rows(clean, fit_on)), root, run)
     scaled = scaled_without_missing(scale(clean, scaler))
     sequences = build_sequences(order_series(scaled))
     # Sequences repeat every row 60 times, so they are cut anew for each fit and never stored.
     split = validation_part(split_sequences(sequences))
-    # At most the symbols of the contract.
     symbols = [r["symbol"] for r in trainable_symbols(clean).toLocalIterator()]
     pipeline = Pipeline(stages=[estimator or next_price_regressor()])
-    models = {symbol: fit_symbol(split, symbol, pipeline) for symbol in sorted(symbols)}
+    with ThreadPoolExecutor(max_workers=FITS_AT_ONCE) as pool:
+        fits = {s: pool.submit(fit_symbol, split, s, pipeline, fit_rows) for s in sorted(symbols)}
+        models = {symbol: fit.result() for symbol, fit in fits.items()}
     registry.save_models(models, root, run)
     return evaluate(split, models, scaler).withColumns({
         "epochs_trained": F.lit(1).cast("long"),
@@ -126,4 +149,5 @@ def _scaler_rows(clean: DataFrame, fit_on: str) -> DataFrame:
     if fit_on == "all":
         return clean
     ranked = order_series(clean).ranked()
-    return ranked.rows().where(F.col("rn") <= F.floor(F.col("group_rows") * 0.8))
+    trained = F.floor((F.col("group_rows") - SEQUENCE_LENGTH) * F.lit(TRAIN_SHARE))
+    return ranked.rows().where(F.col("rn") <= trained + SEQUENCE_LENGTH)

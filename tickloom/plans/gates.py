@@ -52,10 +52,10 @@ def training_layer_usable(spark: SparkSession, root: str, layer: str) -> None:
     if size["files"] == 0:
         raise GateError(f"layer {layer} has no files")
     if size["bytes"] < MIN_TRAINING_BYTES:
-        raise GateError(f"layer {layer} is suspiciously small: {size['bytes']} bytes")
+        raise GateError(f"layer {layer} has only {size['bytes']} bytes, too small to train on")
 
 
 def expectations_met(report: DataFrame) -> None:
-    failed = [r["name"] for r in report.where(~F.col("passed")).limit(100).collect()]
+    failed = report.where(~F.col("passed")).agg(F.sort_array(F.collect_list("name"))).first()[0]
     if failed:
         raise GateError(f"expectations failed: {failed}")

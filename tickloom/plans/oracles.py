@@ -177,6 +177,21 @@ _CTES = {
         from feats
         window w as (partition by symbol
                      order by "timestamp", trade_id, book_timestamp nulls first)""",
+    "scaled_pairs": """
+        select *, lag(y) over (partition by symbol order by rn) as x,
+               floor((n - 60) * 0.8::double) as cut
+        from (select *, (price - low) / width as y
+              from (select *, min(price) over p as low,
+                           case when max(price) over p = min(price) over p then 1.0
+                                else max(price) over p - min(price) over p end as width
+                    from series window p as (partition by symbol)))""",
+    "fitted": """
+        select symbol, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept,
+               min(low) as low, min(width) as width
+        from scaled_pairs
+        where rn > 60 and rn - 60 <= floor(cut * 0.9::double)
+          and rn - 60 > floor(cut * 0.9::double) - 10000
+        group by symbol having max(n) >= 70""",
     "scaler": "\n        " + "\n        union all ".join(
         f"select symbol, '{c}' as feature, min({c}) as min, max({c}) as max"
         " from feats group by symbol"
@@ -209,6 +224,13 @@ def _all_r(columns: list[str]) -> str:
 
 
 _KEY = 'symbol, "timestamp", trade_id, book_timestamp'
+
+
+def _depth(price: str, step: str, quantity: str, side: str) -> str:
+    """A book side of 20 levels as the sums of its prices and quantities, weighted by level."""
+    prices = f"list_sum(list_transform(range(20), lambda i: ({price} + i * ({step})) * (i + 1)))"
+    return (f"20 as {side}_levels, " + _r(prices, f"{side}_prices", 3) + ", "
+            + _r(f"210 * ({quantity})", f"{side}_quantities", 3))
 _TOP = ["top_bid_price", "top_ask_price"]
 _EXTRA = [c for c in FEATURE_COLS if c not in ("price", "size")]
 _ORDERED = '"timestamp", trade_id, book_timestamp nulls first'
@@ -234,6 +256,14 @@ _BOOK_SCALARS = [
     "top_bid_price", "top_bid_qty", "top_ask_price", "top_ask_qty",
     "total_bid_volume", "total_ask_volume", "bid_ask_ratio",
 ]
+# Depth arrays are built before any value is spoiled.
+_DEPTHS = (_depth("value", "-0.01", "(k + 1) * 20.0::double / 20.0::double", "bid_depth") + ", "
+           + _depth("value + (k - 5) / 100.0::double", "0.01",
+                    "((k * 7) % 100 + 1) * 20.0::double / 20.0::double", "ask_depth"))
+_WITH_DEPTH = f"""(select ts_ms as "timestamp", {_DEPTHS} from base
+    where event_type in ('purchase', 'signup'))"""
+_DEPTH_COLS = ", ".join(
+    f"{s}_depth_{c}" for s in ("bid", "ask") for c in ("levels", "prices", "quantities"))
 _TRADE_SCALARS = f'symbol, {_all_r(["price", "size"])}, "timestamp", trade_id'
 
 
@@ -282,6 +312,18 @@ def _scaled(column: str) -> str:
     return _r(f"({column} - {low}) / ({width})", column, 4)
 
 
+def _scored(trades: str) -> str:
+    """The fitted lines applied to every tick that ends a window, from the seventieth on."""
+    return f"""
+        select symbol, {_r("price", "current_price")}, {_r("predicted", "predicted_price", 3)},
+               case when predicted > price then 'UP' else 'DOWN' end as direction,
+               {_r("round_even(predicted - price, 4)", "diff", 3)}, "timestamp"
+        from (select t.*, (slope * (price - low) / width + intercept) * width + low as predicted,
+                     row_number() over (partition by symbol order by "timestamp", trade_id) as rn
+              from {trades} t join fitted using (symbol))
+        where rn >= 70"""
+
+
 def _infinite_sum(table: str) -> str:
     return " + ".join(f"count(*) filter (where isinf({c}))" for c in FEATURE_COLS)
 
@@ -304,8 +346,9 @@ def all_oracles() -> dict[str, str]:
                            as status
                   from (select *, trade_id as event_id from trades))""",
         "parse_depth": f"""
-            select symbol, "timestamp", {_all_r(_BOOK_SCALARS)}
-            from books where ("timestamp" // 400) % 53 not in (3, 5, 7)""",
+            select symbol, "timestamp", {_all_r(_BOOK_SCALARS)}, {_DEPTH_COLS}
+            from books join {_WITH_DEPTH} using ("timestamp")
+            where ("timestamp" // 400) % 53 not in (3, 5, 7)""",
         "parse_depth_status": """
             select symbol, case ("timestamp" // 400) % 53 when 3 then 'empty_book'
                      when 5 then 'unparseable' when 7 then 'unparseable' else 'ok' end
@@ -317,16 +360,18 @@ def all_oracles() -> dict[str, str]:
                    {_r("total_ask_volume", "ask_total")} from books""",
         "contract_trade_valid": f"select {_TRADE_SCALARS} from trade_faults where {_TRADE_OK}",
         "contract_trade_dlq": f"""
-            select symbol, "timestamp", 'crypto-prices-dlq' as topic,
-                   {_faults(_TRADE_FAULTS)} as error
+            select {_TRADE_SCALARS}, 'crypto-prices-dlq' as topic,
+                   {_faults(_TRADE_FAULTS)} as error, cast(null as varchar) as seen_at,
+                   cast(null as varchar) as original_payload
             from trade_faults where not ({_TRADE_OK})""",
         "contract_orderbook_valid": f"""
-            select symbol, "timestamp", {_all_r(_BOOK_SCALARS)} from book_faults
-            where {_BOOK_OK}""",
+            select symbol, "timestamp", {_all_r(_BOOK_SCALARS)}, {_DEPTH_COLS}
+            from book_faults join {_WITH_DEPTH} using ("timestamp") where {_BOOK_OK}""",
         "contract_orderbook_dlq": f"""
-            select symbol, "timestamp", 'crypto-orderbook-dlq' as topic,
-                   {_faults(_BOOK_FAULTS)} as error
-            from book_faults where not ({_BOOK_OK})""",
+            select symbol, "timestamp", {_all_r(_BOOK_SCALARS)}, {_DEPTH_COLS},
+                   'crypto-orderbook-dlq' as topic, {_faults(_BOOK_FAULTS)} as error,
+                   cast(null as varchar) as seen_at, cast(null as varchar) as original_payload
+            from book_faults join {_WITH_DEPTH} using ("timestamp") where not ({_BOOK_OK})""",
         "contract_violation_counts":
             _fault_counts("trade_faults", _TRADE_FAULTS, "trade") + " union all "
             + _fault_counts("book_faults", _BOOK_FAULTS, "book"),
@@ -335,9 +380,10 @@ def all_oracles() -> dict[str, str]:
               (select distinct * from (select * from trades union all
                  select * from trades where trade_id % 10 = 0))""",
         "dedup_books": f"""
-            select symbol, "timestamp", {_all_r(_BOOK_SCALARS)} from
+            select symbol, "timestamp", {_all_r(_BOOK_SCALARS)}, {_DEPTH_COLS} from
               (select distinct * from (select * from books union all
-                 select * from books where "timestamp" % 4000 = 0))""",
+                 select * from books where "timestamp" % 4000 = 0))
+              join {_WITH_DEPTH} using ("timestamp")""",
         "dedup_report": """
             select count(*) + count(*) filter (where trade_id % 10 = 0) as rows_before,
                    count(*) as rows_after,
@@ -377,7 +423,7 @@ def all_oracles() -> dict[str, str]:
         "symbol_distribution": "select symbol, count(*) as rows from trades group by 1",
         "price_range": f"""
             select symbol, {_r("min(price)", "min_price")}, {_r("max(price)", "max_price")},
-                   {_r("avg(price)", "avg_price")} from newest group by symbol""",
+                   {_r("avg(price)", "avg_price")} from feats group by symbol""",
         "quality_expectations": f"""
             select name, {_r("observed")}, {_r("bound")}, passed from (
               select 'btc_rows_at_least' as name,
@@ -397,7 +443,7 @@ def all_oracles() -> dict[str, str]:
                    {_r("case when trade_id % 19 = 0 then 0.0 else spread end", "spread")},
                    {_r("case when trade_id % 7 = 0 then 0.0 else bid_ask_ratio end",
                        "bid_ask_ratio")}
-            from newest where trade_id % 13 <> 0 and trade_id % 11 <> 0""",
+            from feats where trade_id % 13 <> 0 and trade_id % 11 <> 0""",
         "ffill_features": f"""
             select {_KEY}, {", ".join(_ffill(c) for c in FEATURE_COLS)} from gappy
             window w as (partition by symbol order by {_ORDERED}
@@ -407,10 +453,7 @@ def all_oracles() -> dict[str, str]:
                    'before' as stage from gappy
             union all select 0, 0, 'after'""",
         "scaler_fit": f"""
-            select symbol, feature,
-              case when feature like '%stddev%' then floor(min * 1e6 + 0.5) / 1e6
-                   else floor(min * 1e6 + 0.5) / 1e6 end as min,
-              floor(max * 1e6 + 0.5) / 1e6 as max from scaler""",
+            select symbol, feature, {_r("min")}, {_r("max")} from scaler""",
         "scaled_features": f"""
             select {_KEY}, {", ".join(_scaled(c) for c in FEATURE_COLS)} from feats
             window p as (partition by symbol)""",
@@ -419,8 +462,12 @@ def all_oracles() -> dict[str, str]:
             select symbol, count(*) as rows from feats group by 1 having count(*) >= 70""",
         "sequences": f"""
             select symbol, rn - 60 as seq_no, n - 60 as seq_total, "timestamp", {_r("price", "y")},
-                   60 as steps, {_r("first_price")}, {_r("last_price")}, {_r("middle_ask_volume")}
-            from (select *, lag(price, 60) over w as first_price, lag(price, 1) over w as last_price,
+                   60 as steps, {_r("first_price")}, {_r("last_price")}, {_r("middle_ask_volume")},
+                   {_r("price_sum", digits=3)}, {_r("total_ask_volume_sum", digits=3)}
+            from (select *, sum(price) over (w rows between 60 preceding and 1 preceding)
+                           as price_sum,
+                         sum(total_ask_volume) over (w rows between 60 preceding and 1 preceding)
+                           as total_ask_volume_sum, lag(price, 60) over w as first_price, lag(price, 1) over w as last_price,
                          lag(total_ask_volume, 30) over w as middle_ask_volume
                   from series window w as (partition by symbol order by rn))
             where rn > 60""",
@@ -434,8 +481,13 @@ def all_oracles() -> dict[str, str]:
                   from series where rn > 60) group by 1, 2""",
         "live_windows": f"""
             select symbol, "timestamp", trade_id, {_r("price", "current_price")}, 60 as steps,
-                   {_r("first_price")}, {_r("price", "last_price")}
-            from (select *, lag(price, 59) over w as first_price, row_number() over w as rn
+                   {_r("first_price")}, {_r("price", "last_price")},
+                   {_r("price_sum", digits=3)}, {_r("total_bid_volume_sum", digits=3)}
+            from (select *, lag(price, 59) over w as first_price, row_number() over w as rn,
+                         sum(price) over (w rows between 59 preceding and current row)
+                           as price_sum,
+                         sum(total_bid_volume) over (w rows between 59 preceding and current row)
+                           as total_bid_volume_sum
                   from served window w as (partition by symbol order by "timestamp", trade_id))
             where rn >= 60""",
         "eval_metrics": f"""
@@ -504,15 +556,56 @@ def all_oracles() -> dict[str, str]:
             select symbol, "timestamp", {_r("price")} from vtrades
             qualify row_number() over (partition by symbol order by "timestamp" desc) <= 200""",
         "stream_contract_split": f"""
-            select zone, topic, count(*) as records from (
-              select case when {_TRADE_OK} then 'raw' else 'errors' end as zone,
-                     case when {_TRADE_OK} then 'crypto-prices' else 'crypto-prices-dlq' end
-                       as topic
-              from trade_faults) group by 1, 2""",
+            select case when {_TRADE_OK} then 'raw' else 'errors' end as zone,
+                   case when {_TRADE_OK} then 'crypto-prices' else 'crypto-prices-dlq' end
+                     as topic,
+                   case when not ({_TRADE_OK}) then {_faults(_TRADE_FAULTS)} end as error,
+                   case when not ({_TRADE_OK}) then 'crypto-prices' end as from_topic,
+                   {_TRADE_SCALARS}
+            from trade_faults""",
         "stream_dedup": f"select {_TRADE_SCALARS} from trades",
         "stream_interval_join": f"""
             select {_KEY}, {_all_r([c for c in _JOINED[2:] if c not in _LONG_COLS])}
             from joined""",
+        "features_by_date": f"""
+            select {_KEY}, cast(day as varchar) as date, {_all_r(["price", "price_lag_1",
+                "price_lag_10", "rolling_avg_5", "rolling_avg_10", "volume_change"])}
+            from (select *, lag(price, 1) over w as price_lag_1,
+                         lag(price, 10) over w as price_lag_10,
+                         avg(price) over (w rows between 5 preceding and current row)
+                           as rolling_avg_5,
+                         avg(price) over (w rows between 10 preceding and current row)
+                           as rolling_avg_10,
+                         size - lag(size, 1) over w as volume_change
+                  from (select *, cast(date as date) + case when "timestamp" < 1704067300000
+                                    then 0 else 1 end as day from joined)
+                  window w as (partition by symbol, day order by {_ORDERED}))
+            where price_lag_10 is not null""",
+        "fit_and_evaluate": f"""
+            select symbol, {_r("avg(abs(price - predicted))", "mae", 4)},
+                   {_r("sqrt(avg((price - predicted) * (price - predicted)))", "rmse", 4)},
+                   {_r("avg(abs((price - predicted) / price)) * 100", "mape", 4)},
+                   cast(max(cut) as bigint) as train_records, count(*) as test_records,
+                   1 as epochs_trained, '20240101_000000' as run_id
+            from (select p.*, (slope * x + intercept) * p.width + p.low as predicted
+                  from scaled_pairs p join fitted using (symbol))
+            where rn > 60 and rn - 60 > cut group by symbol""",
+        "score_batch": _scored("vtrades"),
+        "stream_scoring": _scored(
+            "(select * from trades where symbol in ('BTCUSDT','ETHUSDT','SOLUSDT'))"),
+        "merge_raw_day": f"""
+            select {_TRADE_SCALARS},
+                   (select count(*) + count(*) filter (where trade_id % 10 = 0) from trades
+                    where trade_id % 29 = 0) as unreadable
+            from vtrades""",
+        "daily_layers": """
+            select 'merged/crypto-prices' as layer, count(*) as rows from vtrades
+            union all select 'merged/crypto-orderbook', count(*) from vbooks
+            union all select 'joined', count(*) from joined
+            union all select 'daily', count(*) from feats""",
+        "stream_publish": f"""
+            select symbol, {_all_r(["current_price", "predicted_price"])}, direction,
+                   {_r("diff")}, "timestamp" from preds""",
         "stream_features": f"select {_KEY}, {_all_r(FEATURE_COLS)} from live",
         "stream_latest_price": f"""
             select symbol, {_r('arg_max(price, "timestamp")', "price")},

@@ -1,7 +1,11 @@
 """One query per operator over the driver's tables: ``name -> (spark, sf_dir) -> DataFrame``."""
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorSlicer
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,10 +15,12 @@ from tickloom.operators import (
     contract, dedup, evaluate, features, joins, models, parse, quality, recent, training, views,
 )
 from tickloom.plans import daily, market
-from tickloom.schemas import FEATURE_COLS, TRADE_TOPIC
-from tickloom.session import materialize, scratch_path, state_partitions_for_cores
+from tickloom.schemas import (
+    BOOK, BOOK_TOPIC, FEATURE_COLS, PREDICTION_TOPIC, SEQUENCE_LENGTH, TRADE, TRADE_TOPIC,
+)
+from tickloom.session import materialize, scratch_path
 from tickloom.sources import events as ev
-from tickloom.sources import registry
+from tickloom.sources import lake, registry
 from tickloom.streaming import events as stream_ops
 from tickloom.streaming import landing, live
 
@@ -51,6 +57,19 @@ def _rounded(df: DataFrame) -> DataFrame:
     ])
 
 
+def _depth_sums(df: DataFrame) -> DataFrame:
+    """Each depth array as its number of levels and its prices and quantities, weighted by level."""
+    def weighted(side: str, field: int) -> Column:
+        parts = F.transform(side, lambda level, i: level[field] * (i + 1))
+        return fixed(F.aggregate(parts, F.lit(0.0), lambda total, x: total + x), 3)
+
+    sums = {}
+    for side in ("bid_depth", "ask_depth"):
+        sums |= {f"{side}_levels": F.size(side), f"{side}_prices": weighted(side, 0),
+                 f"{side}_quantities": weighted(side, 1)}
+    return df.withColumns(sums).drop("bid_depth", "ask_depth")
+
+
 def _date_text(df: DataFrame) -> DataFrame:
     return df.withColumn("date", F.col("date").cast("string"))
 
@@ -65,7 +84,7 @@ def parse_trades(spark, sf_dir):
 @query
 def parse_depth(spark, sf_dir):
     books = parse.parse_depth(ev.depth_messages(ev.read_events(spark, sf_dir)))
-    return _rounded(parse.parsed_ok(books).drop("bid_depth", "ask_depth"))
+    return _rounded(_depth_sums(parse.parsed_ok(books)))
 
 
 @query
@@ -97,6 +116,14 @@ def _checked_books(spark, sf_dir):
     return contract.check(books, book_contract())
 
 
+def _letters(letters: DataFrame, schema: T.StructType) -> DataFrame:
+    """Envelopes with the received record, which is in ``raw``, in its fields."""
+    read = letters.select(
+        "topic", "error", F.col("timestamp").alias("seen_at"), "original_payload",
+        F.from_json("raw", schema).alias("r"))
+    return _rounded(read.select("topic", "error", "seen_at", "original_payload", "r.*"))
+
+
 @query
 def contract_trade_valid(spark, sf_dir):
     return _rounded(contract.valid_records(_checked_trades(spark, sf_dir)))
@@ -105,31 +132,18 @@ def contract_trade_valid(spark, sf_dir):
 @query
 def contract_trade_dlq(spark, sf_dir):
     checked = _checked_trades(spark, sf_dir)
-    letters = contract.dead_letters(checked, "crypto-prices-dlq")
-    return letters.select(
-        F.get_json_object("raw", "$.symbol").alias("symbol"),
-        F.get_json_object("raw", "$.timestamp").cast("long").alias("timestamp"),
-        "topic",
-        "error",
-    )
+    return _letters(contract.dead_letters(checked, "crypto-prices-dlq"), TRADE)
 
 
 @query
 def contract_orderbook_valid(spark, sf_dir):
-    valid = contract.valid_records(_checked_books(spark, sf_dir))
-    return _rounded(valid.drop("bid_depth", "ask_depth"))
+    return _rounded(_depth_sums(contract.valid_records(_checked_books(spark, sf_dir))))
 
 
 @query
 def contract_orderbook_dlq(spark, sf_dir):
     checked = _checked_books(spark, sf_dir)
-    letters = contract.dead_letters(checked, "crypto-orderbook-dlq")
-    return letters.select(
-        F.get_json_object("raw", "$.symbol").alias("symbol"),
-        F.get_json_object("raw", "$.timestamp").cast("long").alias("timestamp"),
-        "topic",
-        "error",
-    )
+    return _depth_sums(_letters(contract.dead_letters(checked, "crypto-orderbook-dlq"), BOOK))
 
 
 @query
@@ -152,7 +166,7 @@ def dedup_exact(spark, sf_dir):
 @query
 def dedup_books(spark, sf_dir):
     books = ev.with_copies(ev.books_of(ev.read_events(spark, sf_dir)), "timestamp", every=4000)
-    return _rounded(dedup.drop_exact_duplicates(books).drop("bid_depth", "ask_depth"))
+    return _rounded(_depth_sums(dedup.drop_exact_duplicates(books)))
 
 
 @query
@@ -197,6 +211,18 @@ def lag_features(spark, sf_dir):
     ))
 
 
+@query
+def features_by_date(spark, sf_dir):
+    """The windows begin anew on each date: here the date changes after 100 seconds of data."""
+    joined = market.joined(spark, sf_dir).withColumn("date", F.when(
+        F.col("timestamp") < ev.START_MS + 100_000, F.col("date")).otherwise(F.date_add("date", 1)))
+    table = features.build_features(features.order_ticks(joined))
+    return _rounded(_date_text(table.select(
+        *TICK_KEY, "date", "price", "price_lag_1", "price_lag_10", "rolling_avg_5",
+        "rolling_avg_10", "volume_change",
+    )))
+
+
 @query
 def rolling_features(spark, sf_dir):
     table = market.features(spark, sf_dir)
@@ -240,8 +266,7 @@ def symbol_distribution(spark, sf_dir):
 
 @query
 def price_range(spark, sf_dir):
-    prepared = training.prepare_training(_series(spark, sf_dir), TOP_N)
-    return _rounded(quality.price_range(prepared))
+    return _rounded(quality.price_range(training.prepare_training(_series(spark, sf_dir))))
 
 
 @query
@@ -310,7 +335,7 @@ def top_n_recent(spark, sf_dir):
 @query
 def clean_training(spark, sf_dir):
     gappy = _with_gaps(_series(spark, sf_dir), infinite=False)
-    return _rounded(training.prepare_training(gappy, TOP_N))
+    return _rounded(training.prepare_training(gappy))
 
 
 @query
@@ -364,9 +389,18 @@ def sequences(spark, sf_dir):
         F.col("x")[0][0].alias("first_price"),
         F.col("x")[59][0].alias("last_price"),
         F.col("x")[30][14].alias("middle_ask_volume"),
+        *_window_sums("price", "total_ask_volume"),
     ))
 
 
+def _window_sums(*names: str) -> list[Column]:
+    """The sum of a feature over all rows of a window, to 3 digits."""
+    def total(name: str) -> Column:
+        at = FEATURE_COLS.index(name)
+        return F.aggregate("x", F.lit(0.0), lambda s, row: s + row[at])
+    return [fixed(total(n), 3).alias(f"{n}_sum") for n in names]
+
+
 @query
 def train_test_split(spark, sf_dir):
     index = training.index_sequences(training.order_series(_series(spark, sf_dir)))
@@ -398,6 +432,7 @@ def live_windows(spark, sf_dir):
         F.size("x").alias("steps"),
         F.col("x")[0][0].alias("first_price"),
         F.col("x")[59][0].alias("last_price"),
+        *_window_sums("price", "total_bid_volume"),
     ))
 
 
@@ -476,18 +511,37 @@ def live_board(spark, sf_dir):
 RUN = "20240101_000000"
 
 
+def _last_price_regressor() -> Pipeline:
+    """A line through the last scaled price of a window, which SQL can fit too."""
+    last = VectorSlicer(
+        inputCol="features", outputCol="last_price",
+        indices=[(SEQUENCE_LENGTH - 1) * len(FEATURE_COLS)])
+    line = LinearRegression(
+        featuresCol="last_price", labelCol="y", predictionCol="y_hat", regParam=0.0)
+    return Pipeline(stages=[last, line])
+
+
 def _trained_root(spark, sf_dir) -> str:
     """Train on the derived features under a scratch root; returns the root."""
     root = scratch_path(spark, "models")
     rows = training.prepare_training(_series(spark, sf_dir))
     clean = materialize(training.clean_series(rows), "clean")
-    registry.save_metrics(daily.train_and_evaluate(spark, root, RUN, clean), root, RUN)
+    metrics = daily.train_and_evaluate(spark, root, RUN, clean, _last_price_regressor())
+    registry.save_metrics(metrics, root, RUN)
     return root
 
 
+def _coarse(predictions: DataFrame) -> DataFrame:
+    """Predictions to 3 digits: two fits of one line differ in the last bits."""
+    return predictions.withColumns({
+        "current_price": fixed("current_price"), "predicted_price": fixed("predicted_price", 3),
+        "diff": fixed("diff", 3)})
+
+
 @query
 def fit_and_evaluate(spark, sf_dir):
-    return registry.read_metrics(spark, _trained_root(spark, sf_dir))
+    metrics = registry.read_metrics(spark, _trained_root(spark, sf_dir)).drop("trained_at")
+    return metrics.withColumns({c: fixed(c, 4) for c in ("mae", "rmse", "mape")})
 
 
 @query
@@ -496,7 +550,59 @@ def score_batch(spark, sf_dir):
     ticks = features.order_ticks(market.latest_book_ticks(spark, sf_dir), features.CONTINUOUS)
     windows = training.live_windows(ticks, convention="batch", scaler=scaler)
     scored = models.score_windows(windows, fitted, scaler)
-    return evaluate.prediction_records(scored, F.col("timestamp"))
+    return _coarse(evaluate.prediction_records(scored, F.col("timestamp")))
+
+
+# --- the lake ---
+
+DATE = "2024-01-01"
+
+
+def _landed_day(spark, sf_dir) -> str:
+    """A lake with the derived topics landed on one day, copies included; returns its root.
+
+    Some trades send numbers as text or have a field that no one declared, and some lines are
+    stored once more, cut short.
+    """
+    root = scratch_path(spark, "lake")
+    base = ev.read_events(spark, sf_dir)
+    day = F.timestamp_millis(F.lit(ev.START_MS))
+    trades = ev.with_copies(ev.trades_of(base), "trade_id")
+    text = F.to_json(F.struct(
+        "symbol", "size", "timestamp", "trade_id", F.lit("x").alias("venue"),
+        F.col("price").cast("string").alias("price")))
+    sent = trades.select("trade_id", F.when(F.col("trade_id") % 5 == 0, text).otherwise(
+        F.to_json(F.struct(*trades.columns))).alias("value"), day.alias("ingested_at"))
+    landing.write_routed(landing.route(sent.drop("trade_id"), TRADE_TOPIC), root, "q-0")
+    cut = sent.where(F.col("trade_id") % 29 == 0).select(
+        F.substring("value", 1, 30).alias("value"), "ingested_at",
+        F.lit("raw").alias("zone"), F.lit(TRADE_TOPIC).alias("topic"))
+    landing.write_routed(cut, root, "q-1")
+    books = ev.books_of(base).select(F.to_json(F.struct("*")).alias("value"), day.alias("ingested_at"))
+    landing.write_routed(landing.route(books, BOOK_TOPIC), root, "q-0")
+    return root
+
+
+@query
+def merge_raw_day(spark, sf_dir):
+    """Landed text to the merged layer; ``unreadable`` counts the lines that were cut short."""
+    root = _landed_day(spark, sf_dir)
+    report = daily.merge_topic(spark, root, TRADE_TOPIC, DATE)
+    merged = lake.read_layer(spark, root, daily.merged_layer(TRADE_TOPIC), DATE)
+    return _rounded(merged.select(*TRADE.names)).withColumn(
+        "unreadable", F.lit(report["unreadable"]).cast("long"))
+
+
+@query
+def daily_layers(spark, sf_dir):
+    """Rows of every layer after the daily run, which passed its gates."""
+    root = _landed_day(spark, sf_dir)
+    daily.run_daily(spark, root, DATE)
+    layers = [daily.merged_layer(TRADE_TOPIC), daily.merged_layer(BOOK_TOPIC), daily.JOINED, daily.FEATURES]
+    counts = [
+        lake.read_layer(spark, root, layer, DATE).agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("layer", F.lit(layer)) for layer in layers]
+    return reduce(DataFrame.unionByName, counts)
 
 
 # --- streams, each run to the end of the available data ---
@@ -506,54 +612,57 @@ AVAILABLE = {"availableNow": True}
 
 def _run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     out = scratch_path(spark, name)
-    with state_partitions_for_cores(spark):
-        (
-            stream.writeStream.format("parquet").option("path", out)
-            .option("checkpointLocation", scratch_path(spark, f"{name}-offsets"))
-            .trigger(availableNow=True).start().awaitTermination()
-        )
+    (
+        stream.writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", scratch_path(spark, f"{name}-offsets"))
+        .trigger(**AVAILABLE).start().awaitTermination()
+    )
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def _stream(spark, sf_dir, flush: bool = False) -> DataFrame:
+    return ev.stream_events(spark, sf_dir, scratch_path(spark, "arriving"), flush)
+
+
 @query
 def stream_contract_split(spark, sf_dir):
-    trades = ev.spoiled_trades(ev.trades_of(ev.stream_events(spark, sf_dir)))
+    """What lands where, by the routed text."""
+    trades = ev.spoiled_trades(ev.trades_of(_stream(spark, sf_dir)))
     root = scratch_path(spark, "lake")
     landing.start_landing(
         trades.select(F.to_json(F.struct("*")).alias("value")), TRADE_TOPIC, root,
         scratch_path(spark, "landing"), AVAILABLE,
     ).awaitTermination()
     landed = spark.read.text(root)
-    return landed.groupBy("zone", "topic").agg(F.count(F.lit(1)).alias("records"))
+    raw = F.when(F.col("zone") == "raw", F.col("value")) \
+        .otherwise(F.get_json_object("value", "$.raw"))
+    read = landed.select(
+        "zone", "topic", F.get_json_object("value", "$.error").alias("error"),
+        F.get_json_object("value", "$.topic").alias("from_topic"),
+        F.from_json(raw, TRADE).alias("r"))
+    return _rounded(read.select("zone", "topic", "error", "from_topic", "r.*"))
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    trades = ev.with_copies(ev.trades_of(ev.stream_events(spark, sf_dir)), "trade_id")
+    trades = ev.with_copies(ev.trades_of(_stream(spark, sf_dir)), "trade_id")
     unique = stream_ops.dedup_stream(trades).drop("event_ts")
     return _rounded(_run_to_table(spark, unique, "stream-dedup"))
 
 
 @query
 def stream_interval_join(spark, sf_dir):
-    base = ev.stream_events(spark, sf_dir)
+    base = _stream(spark, sf_dir, flush=True)
     trades = contract.conforming(ev.trades_of(base), trade_contract())
     books = contract.conforming(ev.books_of(base), book_contract())
-    far = 10_000_000_000
-
-    def flushed(stream: DataFrame) -> DataFrame:
-        """Late rows in both streams move the watermark past all others."""
-        later = stream.where(F.col("timestamp") % 4000 == 0)
-        return stream.unionByName(later.withColumn("timestamp", F.col("timestamp") + far))
-
-    pairs = stream_ops.interval_join(flushed(trades), flushed(books))
-    table = _run_to_table(spark, pairs, "stream-join")
-    return _rounded(table.where(F.col("timestamp") < ev.START_MS + far))
+    table = _run_to_table(spark, stream_ops.interval_join(trades, books), "stream-join")
+    far = ev.START_MS + ev.FAR_EVENTS * ev.STEP_MS
+    return _rounded(table.where(F.col("timestamp") < far))
 
 
 @query
 def stream_features(spark, sf_dir):
-    base = ev.stream_events(spark, sf_dir)
+    base = _stream(spark, sf_dir)
     out = scratch_path(spark, "live-features")
     live.start_live(
         ev.trades_of(base),
@@ -566,43 +675,44 @@ def stream_features(spark, sf_dir):
 @query
 def stream_scoring(spark, sf_dir):
     fitted, scaler = registry.load_latest(spark, _trained_root(spark, sf_dir))
-    base = ev.stream_events(spark, sf_dir)
+    base = _stream(spark, sf_dir)
     out = scratch_path(spark, "live-predictions")
     live.start_live(
         ev.trades_of(base), ev.books_of(base),
         live.prediction_rows(fitted, materialize(scaler, "scaler"), at=F.col("timestamp")),
         out, scratch_path(spark, "live"), AVAILABLE,
     ).awaitTermination()
-    return spark.read.parquet(out).drop("batch")
+    return _coarse(spark.read.parquet(out).drop("batch"))
 
 
 @query
-def stream_latest_price(spark, sf_dir):
-    trades = contract.conforming(
-        ev.trades_of(ev.stream_events(spark, sf_dir)), trade_contract()
-    )
-    out = scratch_path(spark, "latest")
+def stream_publish(spark, sf_dir):
+    """Predictions sent to a file topic and read back from it."""
+    trades = contract.conforming(ev.trades_of(_stream(spark, sf_dir)), trade_contract())
+    records = evaluate.prediction_records(market.derived_predictions(trades), F.col("timestamp"))
+    topics = scratch_path(spark, "topics")
+    landing.start_publishing(
+        records, topics, PREDICTION_TOPIC, scratch_path(spark, "errors"),
+        scratch_path(spark, "publishing"), "files", AVAILABLE,
+    ).awaitTermination()
+    sent = spark.read.text(f"{topics}/{PREDICTION_TOPIC}")
+    return _rounded(sent.select(F.from_json("value", records.schema).alias("r")).select("r.*"))
 
-    def replace_view(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
 
-    with state_partitions_for_cores(spark):
-        (
-            stream_ops.latest_prices(trades).writeStream.outputMode("complete")
-            .foreachBatch(replace_view)
-            .option("checkpointLocation", scratch_path(spark, "latest-offsets"))
-            .trigger(availableNow=True).start().awaitTermination()
-        )
-    return _rounded(spark.read.parquet(out))
+@query
+def stream_latest_price(spark, sf_dir):
+    trades = contract.conforming(ev.trades_of(_stream(spark, sf_dir)), trade_contract())
+    view = scratch_path(spark, "latest")
+    live.start_latest_prices(
+        trades, view, scratch_path(spark, "latest-offsets"), AVAILABLE).awaitTermination()
+    return _rounded(live.read_view(spark, view, "symbol string, price double, timestamp long"))
 
 
 @query
 def stream_last_points(spark, sf_dir):
-    trades = contract.conforming(
-        ev.trades_of(ev.stream_events(spark, sf_dir)), trade_contract()
-    )
+    trades = contract.conforming(ev.trades_of(_stream(spark, sf_dir)), trade_contract())
     view, types = scratch_path(spark, "view"), "symbol string, timestamp long, price double"
     live.start_view(
         trades, types, view, scratch_path(spark, "view-offsets"), trigger=AVAILABLE
     ).awaitTermination()
-    return _rounded(spark.read.schema(types).option("recursiveFileLookup", "true").parquet(view))
+    return _rounded(live.read_view(spark, view, types))

@@ -1,6 +1,5 @@
 """Session defaults and the shared folder for intermediate tables."""
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -19,20 +18,6 @@ DEFAULTS = {
 }
 
 
-def sized_for(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
-    """Settings that keep a shuffle or scan partition near ``partition_bytes``.
-
-    The ordered layout starts from ``spark.sql.shuffle.partitions`` ranges; AQE merges what turns
-    out small, so a generous number is safe and a small one is not.
-    """
-    partitions = min(max(200, input_bytes // partition_bytes), 200_000)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-    }
-
-
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """Session for tests and the bench; on a cluster use the session spark-submit gives."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tickloom")
@@ -46,36 +31,27 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return builder.getOrCreate()
 
 
-@contextmanager
-def state_partitions_for_cores(spark: SparkSession) -> Iterator[None]:
-    """On a local master, start stateful streams with one state partition per core.
-
-    A stream keeps the number it starts with, and every partition writes state files in every
-    batch. On a cluster the session's setting stands.
-    """
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    if spark.sparkContext.master.startswith("local"):
-        spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+_announced: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
+    """This application's folder for intermediate tables, which every executor can reach.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    It lies below ``spark.checkpoint.dir``, or where that is unset below the context's checkpoint
+    folder, or else below the warehouse, on every master alike. It goes when the application ends.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tickloom-")
-        context.setCheckpointDir(folder)
-    return f"{folder.rstrip('/')}/tickloom-{context.applicationId}"
+    above = (
+        spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    )
+    folder = f"{above.rstrip('/')}/tickloom-{context.applicationId}"
+    if folder not in _announced:
+        path, files = _hadoop(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _announced.add(folder)
+    return folder
 
 
 _scope: ContextVar[str] = ContextVar("scratch scope", default="")
@@ -101,23 +77,24 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         _delete(spark, folder)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def _hadoop(spark: SparkSession, folder: str):
+    """Hadoop's path and file system of a folder."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path, files = _hadoop(spark, folder)
+    files.delete(path, True)
 
 
-def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage with a table that outlives lost executors. The file sizes become the
     statistics of the returned frame, so Spark broadcasts it only when it is really small.
     """
     spark = df.sparkSession
-    path = path or scratch_path(spark, name)
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete this application's scratch tables once no frame reads them any more."""
-    _delete(spark, shared_folder(spark))

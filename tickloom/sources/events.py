@@ -15,6 +15,7 @@ STEP_MS = 400
 BOOK_EVENTS = ("purchase", "signup")
 DERIVED_SYMBOLS = ("BTCUSDT", "ETHUSDT", "SOLUSDT", "XYZUSDT")
 BOOK_LEVELS = 20
+FAR_EVENTS = 25_000_000
 # --- end of fixed values ---
 
 EVENTS = (
@@ -41,9 +42,30 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base_events(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_events(
+    spark: SparkSession, sf_dir: str, folder: str, flush: bool = False,
+    files: int = 5, ahead: int = 50,
+) -> DataFrame:
+    """All events as a stream that arrives in ``files`` files under ``folder``, one a micro-batch.
+
+    Books come ``ahead`` events before the trades of their time, as a topic that runs ahead. With
+    ``flush`` a last file repeats some events ``FAR_EVENTS`` later, which moves watermarks past
+    all others.
+    """
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    early = F.when(F.col("event_type").isin(*BOOK_EVENTS), F.lit(ahead)).otherwise(F.lit(0))
+    arrival = F.greatest(F.col("event_id") - early, F.lit(0))
+    part = F.least(F.floor(arrival * files / (last + 1)), F.lit(files - 1))
+    # A topic partition is in order, so each arrival is one file.
+    for i in range(files):
+        events.where(part == i).coalesce(1).write.mode("append").parquet(folder)
+    if flush:
+        events.where(F.col("event_id") % 10 == 0) \
+            .withColumn("event_id", F.col("event_id") + FAR_EVENTS) \
+            .coalesce(1).write.mode("append").parquet(folder)
     return base_events(
-        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
     )
 
 

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.schemas import TOPIC_SCHEMAS
+from tickloom.functions.contracts import contract_for
+from tickloom.operators.contract import check_json, valid_records
 
 RAW, ERRORS = "raw", "errors"
 
@@ -40,15 +41,28 @@ def raw_day_path(root: str, topic: str, date: str) -> str:
     return f"{root}/zone={RAW}/topic={topic}/year={year}/month={month}/day={day}"
 
 
-def read_raw_day(spark: SparkSession, root: str, topic: str, date: str) -> DataFrame:
-    """Landed JSON lines of one topic and day, with the declared schema; a missing day fails."""
+def read_raw_lines(spark: SparkSession, root: str, topic: str, date: str) -> DataFrame:
+    """Landed text ``value`` of one topic and day; a missing day fails."""
     return (
-        spark.read.schema(TOPIC_SCHEMAS[topic])
-        .option("recursiveFileLookup", "true")
-        .json(raw_day_path(root, topic, date))
+        spark.read.option("recursiveFileLookup", "true")
+        .text(raw_day_path(root, topic, date)).select("value")
     )
 
 
+def checked_lines(lines: DataFrame, topic: str) -> DataFrame:
+    """Landed lines read by the topic's contract, as the landing did.
+
+    A number that was sent as text is read as the number; a line that is no such record, cut short
+    for instance, has ``valid`` false.
+    """
+    return check_json(lines, contract_for(topic))
+
+
+def read_raw_day(spark: SparkSession, root: str, topic: str, date: str) -> DataFrame:
+    """Landed records of one topic and day with the declared schema."""
+    return valid_records(checked_lines(read_raw_lines(spark, root, topic, date), topic))
+
+
 def layer_path(root: str, layer: str) -> str:
     return f"{root}/{layer}"
 

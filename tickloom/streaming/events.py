@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.numbers import event_time, whole_seconds
 from tickloom.schemas import BOOK_MATCH_COLS
@@ -13,10 +14,21 @@ def with_event_time(stream: DataFrame, lateness: str) -> DataFrame:
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark and are in no result, as far as progress is kept."""
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress for operator in progress.stateOperators
+    )
+
+
 def dedup_stream(
     stream: DataFrame, keys: tuple[str, ...] = ("symbol", "trade_id"), lateness: str = "10 minutes"
 ) -> DataFrame:
-    """Drop redelivered records that come within ``lateness`` of the first."""
+    """Drop redelivered records that come within ``lateness`` of the first.
+
+    A record later than that is dropped too; ``late_rows`` counts them.
+    """
     return with_event_time(stream, lateness).dropDuplicatesWithinWatermark([*keys])
 
 
@@ -27,7 +39,7 @@ def interval_join(
 
     A book is repeated for the seconds it reaches, so the state is keyed by (symbol, second) and
     a busy symbol is not one task. The range on the event times only tells Spark how long rows
-    must stay in the state.
+    must stay in the state. Rows later than the watermark are dropped, ``late_rows`` counts them.
     """
     left = with_event_time(trades, lateness).withColumn("second", whole_seconds(F.col("timestamp")))
     second = whole_seconds(F.col("timestamp"))

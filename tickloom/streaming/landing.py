@@ -1,13 +1,13 @@
 """Topics to the raw zone of the lake, violations to its error zone."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.contracts import contract_for
 from tickloom.functions.numbers import event_date
 from tickloom.operators.contract import check_json, error_text
-from tickloom.sources.lake import ERRORS, RAW
+from tickloom.sources.lake import ERRORS, RAW, read_topic
 
 FLUSH_RECORDS = 1000
 FLUSH_INTERVAL = "60 seconds"
@@ -87,8 +87,23 @@ def start_landing(
     )
 
 
-def publish(records: DataFrame, location: str, topic: str, connector: str = "kafka") -> None:
-    """Write one batch of records to a topic as JSON values."""
+def start_topic_landing(
+    spark: SparkSession, location: str, topic: str, root: str, checkpoint: str,
+    connector: str = "kafka", trigger: dict | None = None,
+) -> StreamingQuery:
+    """Land a topic from its beginning, flushed when a batch is full or old enough."""
+    options = KAFKA_FLUSH if connector == "kafka" else None
+    stream = read_topic(spark, location, topic, "earliest", connector, options)
+    return start_landing(stream, topic, root, checkpoint, trigger)
+
+
+def publish(
+    records: DataFrame, location: str, topic: str, connector: str = "kafka", batch_id: int = 0
+) -> None:
+    """Write one batch of records to a topic as JSON values.
+
+    A file topic has a folder for each batch, so a batch that is sent again replaces itself.
+    """
     values = records.select(F.to_json(F.struct("*")).alias("value"))
     if connector == "kafka":
         (
@@ -97,25 +112,26 @@ def publish(records: DataFrame, location: str, topic: str, connector: str = "kaf
             .save()
         )
     else:
-        values.write.mode("append").text(f"{location}/{topic}")
+        values.write.mode("overwrite").text(f"{location}/{topic}/batch={batch_id}")
 
 
 def publish_or_keep(
-    records: DataFrame, location: str, topic: str, errors: str, connector: str = "kafka"
+    records: DataFrame, location: str, topic: str, errors: str, connector: str = "kafka",
+    batch_id: int = 0,
 ) -> bool:
     """Publish a batch; if that fails after Spark's task retries, keep it in an error table."""
     try:
-        publish(records, location, topic, connector)
+        publish(records, location, topic, connector, batch_id)
         return True
     except Exception as failure:  # noqa: BLE001 - any sink failure is dead-lettered
         records.select(
-            F.lit(str(failure)[:1000]).alias("error"),
+            F.lit(str(failure)).alias("error"),
             F.lit(topic).alias("topic"),
             F.lit(None).cast("string").alias("raw"),
             F.to_json(F.struct("*")).alias("original_payload"),
             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
             .alias("timestamp"),
-        ).write.mode("append").parquet(errors)
+        ).write.mode("overwrite").parquet(f"{errors}/batch={batch_id}")
         return False
 
 
@@ -126,7 +142,8 @@ def start_publishing(
     """Publish a stream of results, such as predictions, batch by batch."""
     return (
         results.writeStream.foreachBatch(
-            lambda batch, _: publish_or_keep(batch, location, topic, errors, connector)
+            lambda batch, batch_id: publish_or_keep(
+                batch, location, topic, errors, connector, batch_id)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))

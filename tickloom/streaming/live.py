@@ -1,8 +1,9 @@
 """Live features and predictions: micro-batches that carry a small state from one to the next.
 
-The state of a symbol is its newest ticks and its latest book, a fixed number of rows. A
-micro-batch prepends them to its own rows and runs the batch operators, so a symbol with most of
-the traffic is spread over blocks here too; keyed Python state would give it one task.
+The state of a symbol is its newest ticks, a fixed number, and the books that a later trade may
+still need: the last one up to its newest trade and all that are ahead of it. A micro-batch
+prepends them to its own rows and runs the batch operators, so a symbol with most of the traffic
+is spread over blocks here too; keyed Python state would give it one task.
 
 State and results are written under the batch number. A batch replayed after a failure finds the
 state of the batch before it and replaces its own first attempt.
@@ -24,6 +25,7 @@ from tickloom.operators.recent import most_recent
 from tickloom.operators.training import live_windows
 from tickloom.schemas import BOOK_MATCH_COLS, LONGEST_LAG, SEQUENCE_LENGTH, SYMBOLS, VIEW_POINTS
 from tickloom.session import materialize, scratch_scope
+from tickloom.streaming.events import latest_prices
 
 TICK_COLS = [
     "symbol", "timestamp", "price", "size", "trade_id", "book_timestamp", "spread",
@@ -37,6 +39,8 @@ TICK_TYPES = (
 BOOK_TYPES = "symbol string, timestamp long, " + ", ".join(f"{c} double" for c in BOOK_MATCH_COLS)
 CARRIED_TICKS = SEQUENCE_LENGTH + LONGEST_LAG - 1
 NEW = "is_new"
+BATCH = "_batch"
+POINTS = "points"
 
 
 def tagged_events(trades: DataFrame, books: DataFrame) -> DataFrame:
@@ -58,8 +62,8 @@ def merge_batch(
     """New ticks with their latest book, late events, and the books to carry on.
 
     A trade older than the newest tick already emitted for its symbol is late: it goes to a side
-    table and does not change what was emitted. The old state has a fixed number of rows per
-    listed symbol, so the joins with it are broadcast by its size.
+    table and does not change what was emitted. Book topics may run ahead of trade topics: books
+    newer than a symbol's last trade all stay, of the others the last.
     """
     seen = old_ticks.groupBy("symbol").agg(F.max("timestamp").alias("_seen"))
     dated = events.join(seen, "symbol", "left")
@@ -72,9 +76,14 @@ def merge_batch(
     merged = asof_join(
         trades.select("symbol", "timestamp", "price", "size", "trade_id"), books
     ).select(*TICK_COLS)
+    emitted = seen.unionByName(trades.select("symbol", F.col("timestamp").alias("_seen"))) \
+        .groupBy("symbol").agg(F.max("_seen").alias("_last"))
+    placed = books.join(emitted, "symbol", "left")
+    ahead = placed.where(F.col("_last").isNull() | (F.col("timestamp") > F.col("_last")))
     record = F.struct("timestamp", *BOOK_MATCH_COLS)
-    carried = books.groupBy("symbol").agg(F.max(record).alias("r")).select("symbol", "r.*")
-    return merged, late, carried
+    reached = placed.where(F.col("timestamp") <= F.col("_last")) \
+        .groupBy("symbol").agg(F.max(record).alias("r")).select("symbol", "r.*")
+    return merged, late, reached.unionByName(ahead.drop("_last"))
 
 
 class LiveState:
@@ -92,7 +101,15 @@ class LiveState:
         return self.spark.read.schema(types).parquet(self._path(batch_id, table))
 
     def write(self, batch_id: int, table: str, df: DataFrame) -> None:
-        df.coalesce(1).write.mode("overwrite").parquet(self._path(batch_id, table))
+        stamped = df.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        stamped.write.mode("overwrite").parquet(self._path(batch_id, table))
+
+    def newest(self, table: str, types: str) -> DataFrame:
+        """The table after the last finished batch, for readers outside the stream."""
+        both = self.spark.read.schema(f"{types}, {BATCH} long") \
+            .parquet(f"{self.folder}/slot=*/{table}")
+        last = both.agg(F.max(BATCH)).first()[0]
+        return both.where(F.col(BATCH) == F.lit(last)).drop(BATCH)
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -105,9 +122,9 @@ def advance_view(
 ) -> None:
     """Fold a micro-batch of points into the view of the newest ``n`` per symbol."""
     with scratch_scope(points.sparkSession):
-        old = state.read(batch_id - 1, "points", types)
+        old = state.read(batch_id - 1, POINTS, types)
         both = materialize(old.unionByName(points.select(*old.columns)), "points")
-        state.write(batch_id, "points", most_recent(both, n, order=order))
+        state.write(batch_id, POINTS, most_recent(both, n, order=order))
 
 
 def start_view(
@@ -126,13 +143,37 @@ def start_view(
     )
 
 
+def start_latest_prices(
+    trades: DataFrame, view: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep every symbol's latest price of a stream under ``view``."""
+    state = LiveState(trades.sparkSession, view)
+    return (
+        latest_prices(trades).writeStream.outputMode("complete")
+        .foreachBatch(lambda batch, batch_id: state.write(batch_id, POINTS, batch))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .start()
+    )
+
+
+def read_view(spark: SparkSession, view: str, types: str) -> DataFrame:
+    """What a view shows now: its points after the last finished micro-batch."""
+    return LiveState(spark, view).newest(POINTS, types)
+
+
 Emit = Callable[[Ordered], DataFrame]
+After = Callable[[DataFrame, int], object]
 
 
 def advance(
-    events: DataFrame, batch_id: int, state: LiveState, out: str, late_out: str, emit: Emit
+    events: DataFrame, batch_id: int, state: LiveState, out: str, late_out: str, emit: Emit,
+    after: After | None = None,
 ) -> None:
-    """Process one micro-batch: write its results and late events, then the state after it."""
+    """Process one micro-batch: write its results and late events, then the state after it.
+
+    ``after`` gets the written results and the batch number, before the state moves on.
+    """
     spark = events.sparkSession
     with scratch_scope(spark):
         events = materialize(events, "events")
@@ -148,6 +189,8 @@ def advance(
         results = emit(order_ticks(ticks, CONTINUOUS)).where(NEW).drop(NEW)
         _write_batch(results, out, batch_id)
         _write_batch(late, late_out, batch_id)
+        if after is not None:
+            after(spark.read.schema(results.schema).parquet(f"{out}/batch={batch_id}"), batch_id)
         newest = most_recent(
             ticks.drop(NEW), CARRIED_TICKS, order=("timestamp", "trade_id")
         )
@@ -181,13 +224,14 @@ def start_live(
     out: str,
     checkpoint: str,
     trigger: dict | None = None,
+    after: After | None = None,
 ) -> StreamingQuery:
     """Run ``emit`` on every micro-batch of both streams; results go to ``out/batch=<n>``."""
     spark = trades.sparkSession
     state = LiveState(spark, f"{checkpoint}/live-state")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        advance(batch, batch_id, state, out, f"{out}-late", emit)
+        advance(batch, batch_id, state, out, f"{out}-late", emit, after)
 
     return (
         tagged_events(trades, books)

@@ -131,7 +131,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(down - 1).cast("long"))).alias("row"))
     spread = chunks.withColumn("row", F.pmod(F.xxhash64("ids"), F.lit(down))).withColumn(
         "column", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(across - 1).cast("long"))))
-    pairs = spread.join(dealt, ["row", "column"]).select("q_ids", "q_data", "ids", "data")
+    # Spark's estimate misses the copies that explode makes, so it must not choose a broadcast.
+    pairs = spread.join(dealt.hint("merge"), ["row", "column"]).select("q_ids", "q_data", "ids", "data")
     small_batches(spark, 16)  # a row holds a block and a chunk
     found = materialize(candidates(pairs, low, wide, k), "bounds")
     by_lower = Window.partitionBy("query_id").orderBy(F.col("lower").desc(), "vec_id")

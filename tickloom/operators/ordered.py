@@ -120,15 +120,19 @@ class Ordered:
         """Replace nulls by the last non-null value of the group, as an ordered scan would."""
         # Where each column's last value of a block stands; a long, so this is a hash aggregate.
         # Only those rows, at most one for each column, are then looked up.
-        at = self.df.groupBy(*self.group, BLOCK).agg(*[
+        keys = (*self.group, BLOCK)
+        at = materialize(self.df.groupBy(*keys).agg(*[
             F.min(F.when(F.col(c).isNotNull(), F.col(FROM_END))).alias(f"_at_{c}") for c in cols
-        ])
+        ]), "last-values")
         is_last = {c: F.col(FROM_END) == F.col(f"_at_{c}") for c in cols}
-        latest = self.join_blocks(materialize(at, "last-values")).where(
+        found = self.join_blocks(at).where(
             reduce(or_, [F.coalesce(hit, F.lit(False)) for hit in is_last.values()])
-        ).groupBy(*self.group, BLOCK).agg(*[
+        ).groupBy(*[F.col(k).alias(f"_f_{k}") for k in keys]).agg(*[
             F.max(F.when(is_last[c], F.col(c))).alias(c) for c in cols
         ])
+        # Blocks without any value pass on what came before them.
+        same = [F.col(k).eqNullSafe(F.col(f"_f_{k}")) for k in keys]
+        latest = at.select(*keys).join(found, same, "left")
         earlier = (
             Window.partitionBy(*self.group).orderBy(BLOCK)
             .rowsBetween(Window.unboundedPreceding, -1)

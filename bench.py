@@ -9,6 +9,7 @@ also the same join left to the planner.
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -51,7 +52,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "1"))
-    spark = local_session(cpus, **{"spark.driver.memory": "8g"})
+    folder = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-")
+    spark = local_session(cpus, **{
+        "spark.driver.memory": "8g", "spark.checkpoint.dir": folder,
+        "spark.ui.showConsoleProgress": "false",
+    })
     spark.sparkContext.setLogLevel("ERROR")
     available = all_queries()
     chosen = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")

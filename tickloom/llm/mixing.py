@@ -123,7 +123,8 @@ def spans(rows: DataFrame, plan: DataFrame, block: int = BLOCK, shards: int = SH
     taken = slots(plan, block, shards).select(
         F.col("source").alias("s"), F.col("index").alias("i"), "slot", "epoch", "use", "shard")
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("index") == F.col("i"))
-    mix = blocks.join(taken, same).withColumn("n", F.least(F.col("n"), F.col("use") - F.col("at"))) \
+    # Spark's estimate misses the rows that explode makes, so it must not choose a broadcast.
+    mix = blocks.join(taken.hint("merge"), same).withColumn("n", F.least(F.col("n"), F.col("use") - F.col("at"))) \
         .where("n > 0").drop("s", "i", "use", "index")
     return placed, mix
 

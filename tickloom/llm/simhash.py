@@ -281,7 +281,8 @@ def _marked(docs: DataFrame, shingle: int, distance: int) -> DataFrame:
     found = materialize(fingerprints(docs, shingle), "fingerprints")
     distinct = materialize(found.groupBy("fp").agg(F.min("doc_id").alias("id")).select(
         "fp", F.struct(F.coalesce("id", F.lit(_NO_ID)).alias("id"), "fp").alias("label")), "distinct-fingerprints")
-    named = components(distinct, links(distinct, distance)) \
+    # Stored, so that the last join stands alone and Spark can split a fingerprint that many share.
+    named = materialize(components(distinct, links(distinct, distance)), "components") \
         .select(F.col("fp").alias("f"), "label")
     return found.join(named, F.col("fp") == F.col("f")).drop("f")
 

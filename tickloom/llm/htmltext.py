@@ -25,7 +25,7 @@ MIN_PAGES = 3
 #: A block is boilerplate if this share of its words lies in repeated runs.
 COVERED = 0.5
 #: Bytes of html that a group has about; a host with more has several.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 
 _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -41,7 +41,7 @@ _NEVER = frozenset(("html", "body", "article", "main"))
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 #: Parts of class names and ids that mark what is not the article.
 _NAMES = frozenset(
-    "ad ads adv advert adverts advertisement adsense banner breadcrumb breadcrumbs comment comments commentlist consent "
+    "ad adbox ads adslot adunit adv advert adverts advertisement adsense banner breadcrumb breadcrumbs comment comments commentlist consent "
     "cookie cookies copyright disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice "
     "notification pager pagination popup promo promotion related reply replies respond share sharing sidebar signup "
     "skyscraper social sponsor sponsored subscribe toolbar topbar widget".split())

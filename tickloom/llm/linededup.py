@@ -7,8 +7,6 @@ from tickloom.llm.common import fresh_names, materialize, text_key
 
 #: Lines whose key is shorter than this many code points always stay.
 MIN_CHARS = 10
-#: A key's rows are first ranked in this many parts, so that one line may fill a third of all rows.
-SALTS = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WHITE = "\t\n\x0b\x0c\r "
 
@@ -40,7 +38,12 @@ def _later(row_id: str, first_id: str) -> Column:
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(id, text key, pos) of every line that a smaller document holds already."""
+    """(id, text key, pos) of every line that a smaller document holds already.
+
+    A key's rows are first ranked in as many parts as a shuffle has, so that one line may fill a
+    third of all rows. The number of parts changes nothing in the result.
+    """
+    salts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     k1, k2 = text_key(F.coalesce(F.col("text"), F.lit("")))
     lines = docs.select("id", k1.alias("t1"), k2.alias("t2"),
                         F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
@@ -49,7 +52,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     h1, h2 = text_key(F.col("key"))
     stored = materialize(keyed.select(
         h1.alias("h1"), h2.alias("h2"),
-        F.pmod(F.xxhash64("id", "t1"), F.lit(SALTS)).cast("int").alias("salt"),
+        F.pmod(F.xxhash64("id", "t1"), F.lit(salts)).cast("int").alias("salt"),
         "id", "t1", "t2", "pos"), "line-keys")
     parts = _first_of(stored, "h1", "h2", "salt")
     late = _later("id", "first_id")

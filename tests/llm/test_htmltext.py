@@ -75,3 +75,14 @@ def test_edge_rows(spark):
     assert sorted((repr(r.page_id), r.url, r.n_chars) for r in found if r.url) == [("3", "no url at all", 0), ("4", "http://H/b", 399_999), ("None", "http://h/a", 0)]
     assert [r.text for r in found if r.page_id == 1] == ["x", "x"]
     assert htmltext.extract(pages.limit(0)).count() == 0
+
+
+def test_runs_are_counted_over_the_whole_host_whatever_its_size(spark):
+    top = " ".join(f"top{j}" for j in range(20))
+    rows = [(i, f"http://{host}/{i}", f"<div>{top}</div><div>" * (i % 20 == 0) + " ".join(f"{host}{i}x{j}" for j in range(40)))
+            for host in ("a", "b") for i in range(80 if host == "a" else 20)]
+    pages = spark.createDataFrame([(*r[:2], r[2]) for r in rows], "page_id long, url string, html string")
+    texts = [{(r.url, r.text) for r in htmltext.extract(pages, size).collect()} for size in (1 << 20, 2000, 300)]
+    assert texts[0] == texts[1] == texts[2] and len(texts[0]) == 100
+    # Four pages of host a hold the passage, one page of host b.
+    assert [u for u, t in sorted(texts[0]) if "top0" in t] == ["http://b/0"]

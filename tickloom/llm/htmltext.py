@@ -1,8 +1,8 @@
 """Main text of web pages, with the help of a suffix array over the pages of a host.
 
-The pages of a host are cut into groups of bounded size. A group's pages become streams of words and
-tags; a suffix array over the joined streams shows which long runs stand on several pages, that is the
-host's boilerplate. What markup names as a menu, header, footer, sidebar, notice, advert, form or
+A host's pages become streams of words and tags. Long runs that stand on several pages are the host's
+boilerplate: a suffix array over the joined streams shows them. The pages of a large host are cut into
+groups of bounded size, whose runs are counted by their hashes over the whole host. What markup names as a menu, header, footer, sidebar, notice, advert, form or
 comment goes. Of the rest, text inside an article or main element stays; text of pages without one
 stays where it is in no repeated run.
 """
@@ -20,12 +20,14 @@ from tickloom.llm.common import materialize
 
 #: Words and tags that a run must have to count as repeated.
 RUN = 16
-#: Pages of a group that must hold a run.
+#: Pages of a host that must hold a run.
 MIN_PAGES = 3
 #: A block is boilerplate if this share of its words lies in repeated runs.
 COVERED = 0.5
 #: Bytes of html that a group has about; a host with more has several.
 GROUP_BYTES = 1 << 20
+#: Bytes of html whose runs are counted in one bucket, as long as there are no more than so many buckets.
+_BUCKET_BYTES, _MOST_BUCKETS = 1 << 24, 4096
 
 _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -155,9 +157,8 @@ def repeated(ids: np.ndarray, pages: np.ndarray, run: int = RUN, min_pages: int
     return np.cumsum(covered[:n]) > 0
 
 
-def main_texts(pages: list[str | None]) -> list[str]:
-    """The main text of each page of a group from one host."""
-    parsed = [blocks_of(page) for page in pages]
+def _tokens(parsed: list[tuple[list[Block], list[str]]]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The pages' tags and words as numbers, the page of each, and what the numbers stand for."""
     words: dict[str, int] = {}
     ids, owner = [], []
     for i, (blocks, tags) in enumerate(parsed):
@@ -165,11 +166,27 @@ def main_texts(pages: list[str | None]) -> list[str]:
             ids.append(words.setdefault(tag, len(words)))
             ids.extend([words.setdefault(w, len(words)) for w in block])
             owner.append((i, len(block) + 1))
-    pages_of = np.repeat([i for i, _ in owner], [n for _, n in owner]) if owner else np.zeros(0, np.int64)
-    covered = np.concatenate([[0], np.cumsum(repeated(np.array(ids, np.int64), pages_of))])
+    pages = np.repeat([i for i, _ in owner], [n for _, n in owner]) if owner else np.zeros(0, np.int64)
+    return np.array(ids, np.int64), pages, [*words]
+
+
+def _hashes(ids: np.ndarray, pages: np.ndarray, words: list[str], host: str, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of ``run`` tokens begin, and 64 bits of each run and its host."""
+    count = max(0, len(ids) - run + 1)
+    known = pd.util.hash_array(np.array([host, *words], object), categorize=False)
+    tokens, mixed = known[1:][ids], np.full(count, known[0])
+    for j in range(run):
+        mixed = (mixed ^ tokens[j:j + count]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    at = np.flatnonzero(pages[:count] == pages[len(pages) - count:])
+    return at, mixed[at]
+
+
+def _texts(parsed: list[tuple[list[Block], list[str]]], repeats: np.ndarray) -> list[str]:
+    covered = np.concatenate([[0], np.cumsum(repeats)])
     texts, at = [], 0
     for blocks, _ in parsed:
-        has_main = any(in_main and not unwanted for _, in_main, unwanted in blocks)
+        has_main = _has_main(blocks)
         kept = []
         for block, in_main, unwanted in blocks:
             share = (covered[at + 1 + len(block)] - covered[at + 1]) / len(block)
@@ -180,9 +197,73 @@ def main_texts(pages: list[str | None]) -> list[str]:
     return texts
 
 
+def _has_main(blocks: list[Block]) -> bool:
+    return any(in_main and not unwanted for _, in_main, unwanted in blocks)
+
+
+def main_texts(pages: list[str | None], host: str = "", known: np.ndarray | None = None) -> list[str]:
+    """The main text of each page of a group from one host.
+
+    ``known`` has the hashes of the runs that are repeated on the host; without it the pages are all
+    that the host has.
+    """
+    parsed = [blocks_of(page) for page in pages]
+    ids, owner, words = _tokens(parsed)
+    if known is None:
+        return _texts(parsed, repeated(ids, owner))
+    at, hashes = _hashes(ids, owner, words, host)
+    at = at[np.isin(hashes, known)]
+    covered = np.zeros(len(ids) + 1, np.int64)
+    np.add.at(covered, at, 1)
+    np.add.at(covered, at + RUN, -1)
+    return _texts(parsed, np.cumsum(covered[:-1]) > 0)
+
+
+def runs_of(pages: list[str | None], host: str, part: int) -> tuple[np.ndarray, np.ndarray]:
+    """The group's runs by their hashes, sorted, each with the pages that hold it, ``MIN_PAGES`` at most."""
+    ids, owner, words = _tokens([blocks_of(page) for page in pages])
+    at, hashes = _hashes(ids, owner, words, host)
+    names = pd.util.hash_array(np.array([f"{host} {part} {i}" for i in range(len(pages))], object), categorize=False)
+    holders = (names >> np.uint64(32)).astype(np.uint32)[owner[at]]
+    order = np.lexsort((holders, hashes))
+    hashes, holders = hashes[order], holders[order]
+    first = np.ones(len(hashes), bool)
+    first[1:] = (hashes[1:] != hashes[:-1]) | (holders[1:] != holders[:-1])
+    hashes, holders = hashes[first], holders[first]
+    few = np.ones(len(hashes), bool)
+    few[MIN_PAGES:] = hashes[MIN_PAGES:] != hashes[:-MIN_PAGES]
+    return hashes[few], holders[few]
+
+
+def repeated_runs(groups: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """Of each group's runs, as from ``runs_of``, those that ``MIN_PAGES`` pages of all groups hold."""
+    hashes = np.concatenate([h for h, _ in groups])
+    _, number = np.unique(hashes, return_inverse=True)
+    pairs = np.unique(number.astype(np.uint64) << np.uint64(32) | np.concatenate([p for _, p in groups]))
+    many = np.bincount((pairs >> np.uint64(32)).astype(np.int64))[number] >= MIN_PAGES
+    ends = np.cumsum([len(h) for h, _ in groups])[:-1]
+    return [np.unique(h[m]) for (h, _), m in zip(groups, np.split(many, ends))]
+
+
+def _hosts(rows: DataFrame) -> DataFrame:
+    """Each host's bytes of html and whether any of its pages has no article or main element."""
+
+    def facts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"h": frame["host"], "size": [len((page or "").encode()) for page in frame["html"]],
+                                "plain": [not _has_main(blocks_of(page)[0]) for page in frame["html"]]})
+
+    return rows.select("host", "html").mapInPandas(facts, "h string, size long, plain boolean") \
+        .groupBy("h").agg(F.sum("size").alias("size"), F.max("plain").alias("plain"))
+
+
 def extract(pages: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row.
 
+    A host with more than ``group_bytes`` of html has several groups. If it has a page without an
+    article or main element, the groups send the hashes of all their runs to buckets, which count the
+    pages of the whole host and send back the repeated ones; other hosts need no runs.
+
     Null and empty html give an empty text; a null url is a host of its own; null ids and repeated rows
     are pages like any other; an empty table gives no rows; extra columns are ignored. Repeated rows
     show repeated runs like any pages do, so of pages without an article or main element copies keep
@@ -191,17 +272,49 @@ def extract(pages: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
     host = F.lower(F.coalesce(F.regexp_extract(F.col("url").cast("string"), r"^[^:/?#]+://([^/?#]*)", 1), F.lit("")))
     rows = pages.select(F.col("page_id").cast("long").cast("string").alias("page_id"),
                         F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"))
-    size = F.coalesce(F.octet_length("html"), F.lit(0))
-    large = materialize(rows.groupBy(F.col("host").alias("h")).agg(F.sum(size).alias("size"))
-                        .where(F.col("size") > group_bytes), "large-hosts")
+    large = materialize(_hosts(rows).where(F.col("size") > group_bytes), "large-hosts")
     groups = F.coalesce(F.ceil(F.col("size") / group_bytes), F.lit(1)).cast("long")
     dealt = rows.join(large, F.col("host") == F.col("h"), "left") \
-        .withColumn("part", F.pmod(F.xxhash64("page_id", "url", "html"), groups)).drop("h", "size")
+        .withColumn("part", F.pmod(F.xxhash64("page_id", "url", "html"), groups)) \
+        .withColumn("shared", F.coalesce("plain", F.lit(False))).drop("h", "size", "plain")
+    keys, shape = ["host", "part"], "page_id string, url string, text string"
+
+    def texts(frame: pd.DataFrame, known: np.ndarray | None = None) -> pd.DataFrame:
+        found = main_texts(list(frame["html"]), frame["host"].iloc[0] if len(frame) else "", known)
+        return pd.DataFrame({"page_id": frame["page_id"], "url": frame["url"], "text": found})
+
+    shared_bytes = large.where("plain").agg(F.sum("size")).first()[0]
+    if shared_bytes:
+        # All uses of a group read the same rows of all columns, so Spark shuffles the pages once.
+        buckets = min(_MOST_BUCKETS, -(-shared_bytes // _BUCKET_BYTES))
+
+        def runs(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+            out = []
+            if frame["shared"].iloc[0]:
+                hashes, holders = runs_of(list(frame["html"]), *key)
+                bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                ends = np.cumsum(np.bincount(bucket, minlength=buckets))[:-1]
+                for b, (h, p) in enumerate(zip(np.split(hashes[order], ends), np.split(holders[order], ends))):
+                    if len(h):
+                        out.append((b, *key, h.tobytes(), p.tobytes()))
+            return pd.DataFrame(out, columns=["bucket", *keys, "hashes", "holders"])
+
+        def counted(frame: pd.DataFrame) -> pd.DataFrame:
+            found = repeated_runs([(np.frombuffer(h, np.uint64), np.frombuffer(p, np.uint32))
+                                   for h, p in zip(frame["hashes"], frame["holders"])])
+            answer = frame[keys].assign(hashes=[h.tobytes() for h in found])
+            return answer[[len(h) > 0 for h in found]]
 
-    def texts(frames: pd.DataFrame) -> pd.DataFrame:
-        found = main_texts(list(frames["html"]))
-        return pd.DataFrame({"page_id": frames["page_id"], "url": frames["url"], "text": found})
+        def shared_texts(frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+            if len(frame) and frame["shared"].iloc[0]:
+                return texts(frame, np.frombuffer(b"".join(answers["hashes"]), np.uint64))
+            return texts(frame)
 
-    done = dealt.groupBy("host", "part").applyInPandas(texts, "page_id string, url string, text string")
+        sent = dealt.groupBy(*keys).applyInPandas(runs, "bucket long, host string, part long, hashes binary, holders binary")
+        answers = sent.groupBy("bucket").applyInPandas(counted, "host string, part long, hashes binary")
+        done = dealt.groupBy(*keys).cogroup(answers.groupBy(*keys)).applyInPandas(shared_texts, shape)
+    else:
+        done = dealt.groupBy(*keys).applyInPandas(lambda frame: texts(frame), shape)
     return done.select(F.col("page_id").cast("long").alias("page_id"), "url", "text",
                        F.char_length("text").cast("long").alias("n_chars"))

@@ -86,3 +86,23 @@ def test_runs_are_counted_over_the_whole_host_whatever_its_size(spark):
     assert texts[0] == texts[1] == texts[2] and len(texts[0]) == 100
     # Four pages of host a hold the passage, one page of host b.
     assert [u for u, t in sorted(texts[0]) if "top0" in t] == ["http://b/0"]
+
+
+def test_copies_do_not_count_as_pages_with_a_run(spark):
+    body = " ".join(f"w{j}" for j in range(40))
+    copies = [f"<p>{body}</p><!-- {i} -->" for i in range(6)]
+    assert htmltext.main_texts(copies) == [body] * 6
+    pages = spark.createDataFrame([(i, f"http://a/{i}", p) for i, p in enumerate(copies)], "page_id long, url string, html string")
+    assert [r.text for r in htmltext.extract(pages, 200).collect()] == [body] * 6
+
+
+def test_whole_blocks_at_the_edge_of_pages_may_be_short(spark):
+    own = [" ".join(f"p{i}x{j}" for j in range(30)) for i in range(5)]
+    pages = [f"<p>Daily news</p><p>{t}</p><p>short line</p><p>{t} the end</p><div>(c) 2024 all rights are reserved here</div>" for t in own]
+    kept = [f"{t}\nshort line\n{t} the end" for t in own]
+    assert htmltext.main_texts(pages) == kept
+    rows = spark.createDataFrame([(i, f"http://a/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    assert sorted(r.text for r in htmltext.extract(rows, 500).collect()) == kept
+    # The last words of a block are no whole block.
+    assert htmltext.main_texts([f"<p>{t} the end" for t in own]) == [f"{t} the end" for t in own]
+    assert htmltext.main_texts(["<p>a", "<p>a b", "<p>a c"]) == ["a", "a b", "a c"]

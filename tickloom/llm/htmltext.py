@@ -10,6 +10,7 @@ stays where it is in no repeated run.
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ from tickloom.llm.common import materialize
 
 #: Words and tags that a run must have to count as repeated.
 RUN = 16
-#: Pages of a host that must hold a run.
+#: Pages with different contents that must hold a run, on one host.
 MIN_PAGES = 3
 #: A block is boilerplate if this share of its words lies in repeated runs.
 COVERED = 0.5
@@ -126,11 +127,13 @@ def blocks_of(page: str | None) -> tuple[list[Block], list[str]]:
     return blocks, starts
 
 
-def repeated(ids: np.ndarray, pages: np.ndarray, run: int = RUN, min_pages: int = MIN_PAGES) -> np.ndarray:
+def repeated(ids: np.ndarray, pages: np.ndarray, run: int = RUN, min_pages: int = MIN_PAGES,
+             starts: np.ndarray | None = None) -> np.ndarray:
     """Which tokens lie in a run of ``run`` tokens that stands on ``min_pages`` different pages.
 
     The suffix array is sorted by the first ``run`` tokens, doubling the sorted length each time; longer
-    repeats are the union of their runs. Runs do not reach from one page into the next.
+    repeats are the union of their runs. Runs do not reach from one page into the next, and begin only
+    at ``starts``, if given.
     """
     n = len(ids)
     covered = np.zeros(n + 1, np.int64)
@@ -145,6 +148,8 @@ def repeated(ids: np.ndarray, pages: np.ndarray, run: int = RUN, min_pages: int
         length += step
     whole = np.zeros(n, bool)
     whole[:n - run + 1] = pages[:n - run + 1] == pages[run - 1:]
+    if starts is not None:
+        whole &= starts
     suffix = np.lexsort((pages, rank))
     suffix = suffix[whole[suffix]]
     r, p = rank[suffix], pages[suffix]
@@ -157,36 +162,73 @@ def repeated(ids: np.ndarray, pages: np.ndarray, run: int = RUN, min_pages: int
     return np.cumsum(covered[:n]) > 0
 
 
-def _tokens(parsed: list[tuple[list[Block], list[str]]]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """The pages' tags and words as numbers, the page of each, and what the numbers stand for."""
-    words: dict[str, int] = {}
-    ids, owner = [], []
-    for i, (blocks, tags) in enumerate(parsed):
+class _Stream(NamedTuple):
+    """The different contents of pages, one after the other, as numbers of tags and words."""
+
+    ids: np.ndarray
+    #: The content of each number.
+    owner: np.ndarray
+    #: Where runs may begin.
+    starts: np.ndarray
+    #: What the numbers stand for.
+    words: list[str]
+    #: Where each content's first block begins.
+    begins: list[int]
+    contents: list[str]
+    #: The content of each page.
+    which: list[int]
+
+
+def _stream(parsed: list[tuple[list[Block], list[str]]], run: int = RUN) -> _Stream:
+    """Copies of a page are one content, so that they show no repeated runs.
+
+    Each content has ``run - 1`` marks before and behind it. A run holds some of them if whole blocks at
+    the edge of the page make it up, so these may be shorter than a run.
+    """
+    words: dict[str, int] = {"": 0, " ": 1}
+    contents: dict[str, int] = {}
+    ids, lengths, begins, starts, which = [], [], [], [], []
+    for blocks, tags in parsed:
+        content = "\n".join([f"{tag} {' '.join(block)}" for (block, _, _), tag in zip(blocks, tags)])
+        which.append(contents.setdefault(content, len(contents)))
+        if which[-1] < len(begins):
+            continue
+        before = len(ids)
+        ids.extend([0] * (run - 1))
+        begins.append(len(ids))
+        may = np.zeros(sum(len(block) + 1 for block, _, _ in blocks) + 2 * (run - 1), bool)
+        may[run - 1:max(run - 1, len(may) - 2 * (run - 1))] = True
         for (block, _, _), tag in zip(blocks, tags):
+            may[len(ids) - before] = True
             ids.append(words.setdefault(tag, len(words)))
             ids.extend([words.setdefault(w, len(words)) for w in block])
-            owner.append((i, len(block) + 1))
-    pages = np.repeat([i for i, _ in owner], [n for _, n in owner]) if owner else np.zeros(0, np.int64)
-    return np.array(ids, np.int64), pages, [*words]
+            may[max(0, len(ids) - before - run)] |= len(ids) - before < 2 * run - 1
+        ids.extend([1] * (run - 1))
+        lengths.append(len(ids) - before)
+        starts.append(may)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    return _Stream(np.array(ids, np.int64), owner, np.concatenate(starts) if starts else np.zeros(0, bool),
+                   [*words], begins, [*contents], which)
 
 
-def _hashes(ids: np.ndarray, pages: np.ndarray, words: list[str], host: str, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+def _hashes(stream: _Stream, host: str, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
     """Where runs of ``run`` tokens begin, and 64 bits of each run and its host."""
-    count = max(0, len(ids) - run + 1)
-    known = pd.util.hash_array(np.array([host, *words], object), categorize=False)
-    tokens, mixed = known[1:][ids], np.full(count, known[0])
+    count = max(0, len(stream.ids) - run + 1)
+    known = pd.util.hash_array(np.array([host, *stream.words], object), categorize=False)
+    tokens, mixed = known[1:][stream.ids], np.full(count, known[0])
     for j in range(run):
         mixed = (mixed ^ tokens[j:j + count]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
-    at = np.flatnonzero(pages[:count] == pages[len(pages) - count:])
+    owner = stream.owner
+    at = np.flatnonzero((owner[:count] == owner[len(owner) - count:]) & stream.starts[:count])
     return at, mixed[at]
 
 
-def _texts(parsed: list[tuple[list[Block], list[str]]], repeats: np.ndarray) -> list[str]:
+def _texts(parsed: list[tuple[list[Block], list[str]]], stream: _Stream, repeats: np.ndarray) -> list[str]:
     covered = np.concatenate([[0], np.cumsum(repeats)])
-    texts, at = [], 0
-    for blocks, _ in parsed:
-        has_main = _has_main(blocks)
+    texts = []
+    for (blocks, _), content in zip(parsed, stream.which):
+        has_main, at = _has_main(blocks), stream.begins[content]
         kept = []
         for block, in_main, unwanted in blocks:
             share = (covered[at + 1 + len(block)] - covered[at + 1]) / len(block)
@@ -208,23 +250,23 @@ def main_texts(pages: list[str | None], host: str = "", known: np.ndarray | None
     that the host has.
     """
     parsed = [blocks_of(page) for page in pages]
-    ids, owner, words = _tokens(parsed)
+    stream = _stream(parsed)
     if known is None:
-        return _texts(parsed, repeated(ids, owner))
-    at, hashes = _hashes(ids, owner, words, host)
+        return _texts(parsed, stream, repeated(stream.ids, stream.owner, starts=stream.starts))
+    at, hashes = _hashes(stream, host)
     at = at[np.isin(hashes, known)]
-    covered = np.zeros(len(ids) + 1, np.int64)
+    covered = np.zeros(len(stream.ids) + 1, np.int64)
     np.add.at(covered, at, 1)
     np.add.at(covered, at + RUN, -1)
-    return _texts(parsed, np.cumsum(covered[:-1]) > 0)
+    return _texts(parsed, stream, np.cumsum(covered[:-1]) > 0)
 
 
-def runs_of(pages: list[str | None], host: str, part: int) -> tuple[np.ndarray, np.ndarray]:
-    """The group's runs by their hashes, sorted, each with the pages that hold it, ``MIN_PAGES`` at most."""
-    ids, owner, words = _tokens([blocks_of(page) for page in pages])
-    at, hashes = _hashes(ids, owner, words, host)
-    names = pd.util.hash_array(np.array([f"{host} {part} {i}" for i in range(len(pages))], object), categorize=False)
-    holders = (names >> np.uint64(32)).astype(np.uint32)[owner[at]]
+def runs_of(pages: list[str | None], host: str) -> tuple[np.ndarray, np.ndarray]:
+    """The group's runs by their hashes, sorted, each with the contents that hold it, ``MIN_PAGES`` at most."""
+    stream = _stream([blocks_of(page) for page in pages])
+    at, hashes = _hashes(stream, host)
+    names = pd.util.hash_array(np.array(stream.contents, object), categorize=False)
+    holders = (names >> np.uint64(32)).astype(np.uint32)[stream.owner[at]]
     order = np.lexsort((holders, hashes))
     hashes, holders = hashes[order], holders[order]
     first = np.ones(len(hashes), bool)
@@ -236,7 +278,7 @@ def runs_of(pages: list[str | None], host: str, part: int) -> tuple[np.ndarray,
 
 
 def repeated_runs(groups: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
-    """Of each group's runs, as from ``runs_of``, those that ``MIN_PAGES`` pages of all groups hold."""
+    """Of each group's runs, as from ``runs_of``, those that ``MIN_PAGES`` contents of all groups hold."""
     hashes = np.concatenate([h for h, _ in groups])
     _, number = np.unique(hashes, return_inverse=True)
     pairs = np.unique(number.astype(np.uint64) << np.uint64(32) | np.concatenate([p for _, p in groups]))
@@ -262,12 +304,11 @@ def extract(pages: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
 
     A host with more than ``group_bytes`` of html has several groups. If it has a page without an
     article or main element, the groups send the hashes of all their runs to buckets, which count the
-    pages of the whole host and send back the repeated ones; other hosts need no runs.
+    contents of the whole host and send back the repeated ones; other hosts need no runs.
 
     Null and empty html give an empty text; a null url is a host of its own; null ids and repeated rows
-    are pages like any other; an empty table gives no rows; extra columns are ignored. Repeated rows
-    show repeated runs like any pages do, so of pages without an article or main element copies keep
-    nothing that ``MIN_PAGES`` of them share.
+    are pages like any other; an empty table gives no rows; extra columns are ignored. Copies, that is
+    pages with the same words and tags, count as one page when repeated runs are looked for.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col("url").cast("string"), r"^[^:/?#]+://([^/?#]*)", 1), F.lit("")))
     rows = pages.select(F.col("page_id").cast("long").cast("string").alias("page_id"),
@@ -291,7 +332,7 @@ def extract(pages: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
         def runs(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
             out = []
             if frame["shared"].iloc[0]:
-                hashes, holders = runs_of(list(frame["html"]), *key)
+                hashes, holders = runs_of(list(frame["html"]), key[0])
                 bucket = (hashes % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 ends = np.cumsum(np.bincount(bucket, minlength=buckets))[:-1]

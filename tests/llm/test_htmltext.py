@@ -106,3 +106,24 @@ def test_whole_blocks_at_the_edge_of_pages_may_be_short(spark):
     # The last words of a block are no whole block.
     assert htmltext.main_texts([f"<p>{t} the end" for t in own]) == [f"{t} the end" for t in own]
     assert htmltext.main_texts(["<p>a", "<p>a b", "<p>a c"]) == ["a", "a b", "a c"]
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p class=notice>x<p>real text<p>more</article>", "real text\nmore"),
+    ("<article><ul><li class=ad>x<li>real</ul><p>more</article>", "real\nmore"),
+    ("<dl><dt class=ad>x<dd>real</dl><table><tr class=promo><td>no<tr><td class=ad>no<td>yes</table>", "real\nyes"),
+    ("<div><div class=ad>buy</div><section><div class=ad>buy<div>more</div></section><p>real</p></div>", "real"),
+    ("<body><div class=ad>buy <b>it</b><p>real</p></body>", "real"), ("<form action=x><input>find<p>real<p>text", "real\ntext"),
+    ("<nav><ul><li>a<li>b</ul><h1>real</h1><p>text", "real\ntext"), ("<p>real</p><footer><p>no<p>no", "real"),
+    ("<ul><li class=menu>no<ul><li>no</ul><li>real</ul>", "real"), ("<p>a <span class=ad>no</span> b</p>", "a\nb"),
+    ("<div class=ad><p>no</div></div></p><p>real</p></span>", "real"), ("<p><span class=ad>no<p>real", "real"),
+    ("<article><h2 id=related>R</h2><h2 id=related-work>W</h2><section id=social-history>s</section><p id=reply-to-critics>r</p></article>",
+     "R\nW\ns\nr"),
+    ("<div class='page-with-sidebar'><p>x</p><div class='related-posts widget_area'>no</div><div class=shareButtons>no</div></div>", "x"),
+    ("<div class=entry-header><h1>T</h1></div><div class='site-header top'>no</div><p>x", "T\nx"),
+    ("<article><p>x</p></article><section id=comments><article><p>no</p></article><article>no</article></section>", "x"),
+    ("<article><p>x</p><section id=comments><article>no</article></section><p>y</p></article>", "x\ny"),
+    ("<article><p>x</p><div class=comment-list><article>no</div><p>y</p></article><p>z</p>", "x\ny"),
+    ("<div class=widget><article><p>x</p></article></div>", "x")])
+def test_what_is_dropped_ends_where_its_element_does(page, text):
+    assert htmltext.main_texts([page]) == [text]

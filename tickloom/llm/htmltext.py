@@ -42,12 +42,40 @@ _DROPPED = frozenset("nav footer aside form menu dialog button select fieldset l
 _MAIN = frozenset(("article", "main"))
 _NEVER = frozenset(("html", "body", "article", "main"))
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-#: Parts of class names and ids that mark what is not the article.
+#: Words of class names and ids that mark what is not the article.
 _NAMES = frozenset(
     "ad adbox ads adslot adunit adv advert adverts advertisement adsense banner breadcrumb breadcrumbs comment comments commentlist consent "
     "cookie cookies copyright disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice "
     "notification pager pagination popup promo promotion related reply replies respond share sharing sidebar signup "
     "skyscraper social sponsor sponsored subscribe toolbar topbar widget".split())
+#: Words that may stand beside them; a name with any other word, as related-work, marks nothing.
+_BESIDE = frozenset(
+    "area bar block body bottom box button buttons btn col column container content cta desktop fixed float form global google "
+    "group heading hidden holder icon icons id inline inner item items js label layer left link links list logo main media "
+    "message mobile module outer overlay panel placeholder policy primary right row secondary section site slot small social "
+    "space sticky strip sub tab text title toggle tools top unit ul view wrap wrapper x "
+    "article articles entry page post posts products reading stories story topics videos".split())
+#: With one of the first, one of the second names a part of the article or a layout.
+_OWN = (frozenset(("header", "banner", "sidebar")), frozenset("article content entry main page post section story".split()))
+_COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_CELLS, _BODIES = frozenset(("td", "th")), frozenset(("tbody", "thead", "tfoot"))
+_TABLE = _CELLS | _BODIES | {"table", "tr", "caption"}
+_SPECIAL = (_BLOCK | _CELLS | {"button", "select", "search"}) - _VOID
+#: Elements whose start ends an open paragraph.
+_ENDS_P = _BLOCK - {"body", "html", "br", "caption", "legend", "tr", "summary", "dialog"} - _BODIES | {"dialog", "summary", "search"}
+#: For an element, what of its kind its start ends, and where the search for that stops.
+_ENDS = {
+    **{n: (frozenset((n,)), _SPECIAL - {"address", "div", "p", "li"}) for n in ("li",)},
+    **{n: (frozenset(("dt", "dd")), _SPECIAL - {"address", "div", "p", "dt", "dd"}) for n in ("dt", "dd")},
+    **{n: (_CELLS, frozenset(("tr", "table"))) for n in _CELLS}, **{n: (_BODIES, frozenset(("table",))) for n in _BODIES},
+    "tr": (frozenset(("tr",)), frozenset(("table",))), "a": (frozenset(("a",)), _SPECIAL),
+    "option": (frozenset(("option",)), _SPECIAL),
+    **{n: (frozenset(("p",)), frozenset(("table", "td", "th", "caption", "button"))) for n in _ENDS_P - {"li", "dt", "dd"}},
+}
+_P = _ENDS["p"]
+#: Where prose does not begin; an element that is never closed is dropped up to another block.
+_LISTS = frozenset("ul ol li dl dt dd menu hr br fieldset legend".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?P<raw>{_RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
@@ -59,33 +87,97 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 Block = tuple[list[str], bool, bool]
 
 
-def _unwanted(name: str, attributes: str, in_main: bool) -> bool:
-    """Whether an element is named as something other than the article."""
+def _marked(value: str) -> frozenset[str]:
+    """The words of a class name or id, of one of its names that marks what is not the article."""
+    for name in _CAMEL.sub("-", value).lower().split():
+        parts = frozenset(_PARTS.findall(name))
+        names = parts & _NAMES
+        if names and parts <= _NAMES | _BESIDE and not (names <= _OWN[0] and parts & _OWN[1]):
+            return parts
+    return frozenset()
+
+
+def _unwanted(name: str, attributes: str, in_main: bool) -> int:
+    """Whether an element is named as something other than the article: 0 no, 1 yes, 2 as comments."""
     if name in _NEVER:
-        return False
-    if name in _DROPPED and not (name == "header" and in_main):
-        return True
+        return 0
+    found = int(name in _DROPPED and not (name == "header" and in_main))
     for kind, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         kind, value = kind.lower(), next((v for v in values if v), "")
         if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true":
-            return True
+            found = found or 1
         if kind == "role" and value.lower() in _ROLES:
-            return True
-        if kind in ("class", "id") and not _NAMES.isdisjoint(_PARTS.findall(_CAMEL.sub("-", value).lower())):
-            return True
-    return False
+            found = found or 1
+        if kind == "class" or kind == "id" and name not in _HEADINGS:
+            marks = _marked(value)
+            if marks:
+                found = max(found, 1 if _COMMENTS.isdisjoint(marks) else 2)
+    return found
+
+
+def _ends(tags: list[tuple[str, bool]]) -> list[int]:
+    """For each start tag the number of the tag that ends its element, -1 if none does.
+
+    It is the end tag, the end of a parent, or a start tag that HTML lets stand for the end tag.
+    """
+    ends = [-1] * len(tags)
+    stack: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+
+    def end(names: frozenset[str], stops: frozenset[str], i: int) -> None:
+        if not any(count.get(n) for n in names):
+            return
+        for at in range(len(stack) - 1, -1, -1):
+            name = stack[at][0]
+            if name in names:
+                for open_name, start in stack[at:]:
+                    ends[start] = i
+                    count[open_name] -= 1
+                del stack[at:]
+                return
+            if name in stops:
+                return
+
+    for i, (name, closing) in enumerate(tags):
+        if name in _VOID and not closing and name == "hr":
+            end(*_P, i)
+        if name in _VOID or name in ("html", "head", "body"):
+            continue
+        if closing:
+            if name in _HEADINGS:
+                end(_HEADINGS, _SPECIAL - _HEADINGS, i)
+            else:
+                stops = _SPECIAL if name not in _SPECIAL else frozenset(("table",)) if name in _TABLE else \
+                    _CELLS | {"table", "caption"} if name != "li" else _CELLS | {"table", "caption", "ul", "ol"}
+                end(frozenset((name,)), stops - {name}, i)
+            continue
+        if name in _ENDS:
+            end(*_ENDS[name], i)
+        if name in ("li", "dt", "dd"):
+            end(*_P, i)
+        if name in _BODIES:
+            end(*_ENDS["tr"], i)
+        if name in _HEADINGS and stack and stack[-1][0] in _HEADINGS:
+            end(_HEADINGS, _SPECIAL - _HEADINGS, i)
+        stack.append((name, i))
+        count[name] = count.get(name, 0) + 1
+    return ends
 
 
 def blocks_of(page: str | None) -> tuple[list[Block], list[str]]:
     """The page's blocks (words, inside an article or main element, unwanted) and its tags in order.
 
-    The tags are one for each block, the element that it begins with.
+    The tags are one for each block, the element that it begins with. An unwanted element that nothing
+    ends is dropped up to the next block that is no list, footers and comments to the end of the page.
     """
     page = page or ""
     blocks: list[Block] = []
     starts: list[str] = []
     text: list[str] = []
-    main, dropping, depth, last, tag = 0, "", 0, 0, "<>"
+    main, main_before, dropping, until, last, tag = 0, 0, 0, 0, 0, "<>"
+    tokens = list(_TOKEN.finditer(page))
+    tags = [(found["name"].lower(), bool(found["close"])) for found in tokens if found["name"]]
+    ends = _ends(tags)
 
     def end_block() -> None:
         words = "".join(text).split()
@@ -94,14 +186,28 @@ def blocks_of(page: str | None) -> tuple[list[Block], list[str]]:
             starts.append(tag)
         text.clear()
 
-    for found in _TOKEN.finditer(page):
+    def end_of(i: int, kind: int) -> int:
+        if ends[i] >= 0:
+            return ends[i]
+        if kind < 2 and tags[i][0] != "footer":
+            for j in range(i + 1, len(tags)):
+                name, closing = tags[j]
+                if not closing and name in _BLOCK and name not in _LISTS:
+                    return j
+        return len(tags)
+
+    i = -1
+    for found in tokens:
         if found.start() > last:
             text.append(html.unescape(page[last:found.start()]))
         last = found.end()
-        name = found["name"]
-        if name is None:
+        if found["name"] is None:
             continue
-        name, closing = name.lower(), bool(found["close"])
+        i += 1
+        name, closing = tags[i]
+        if dropping and i >= until:
+            end_block()
+            dropping, main = 0, main_before
         if name in _BLOCK:
             end_block()
             tag = f"<{name}>"
@@ -110,18 +216,19 @@ def blocks_of(page: str | None) -> tuple[list[Block], list[str]]:
         if name in _MAIN:
             if closing:
                 main = max(0, main - 1)
-            else:  # an element before it was never closed
-                main, dropping, depth = main + 1, "", 0
-        if dropping:
-            if name == dropping and name not in _VOID:
-                depth += -1 if closing else 1
-                if depth == 0:
+            else:
+                main += 1
+                # Readers' comments are articles too; around another article something unwanted is a mistake.
+                if not (dropping == 2 and name == "article" and until < len(tags)):
+                    dropping = 0
+        if not dropping and not closing and name not in _VOID:
+            dropping = _unwanted(name, found["attributes"], main > 0)
+            if dropping:
+                if text and name not in _BLOCK:
+                    dropped, dropping = dropping, 0
                     end_block()
-                    dropping = ""
-        elif not closing and name not in _VOID and _unwanted(name, found["attributes"], main > 0):
-            if text and name not in _BLOCK:
-                end_block()
-            dropping, depth = name, 1
+                    dropping = dropped
+                until, main_before = end_of(i, dropping), main
     text.append(html.unescape(page[last:]))
     end_block()
     return blocks, starts

@@ -105,3 +105,15 @@ def test_mixed_texts_come_from_their_documents(spark):
     for r in mixing.mixed_documents(docs).collect():
         whole = texts[r.doc_id]
         assert r.text == whole or set(WORD.findall(r.text)) <= set(WORD.findall(whole))
+
+
+def test_permutation_scatters_the_blocks_differently_in_each_pass(spark):
+    sizes = (2, 3, 6, 7, 14, 154, 2000)
+    plan = spark.createDataFrame([(f"s{n}", n * 64 - 5, 2.5 * (n * 64 - 5)) for n in sizes], "source string, source_size long, target double")
+    found = mixing.slots(plan, block=64, shards=4).toPandas().sort_values("slot")
+    for n in sizes:
+        own = [g["index"].to_numpy() for _, g in found[found.source == f"s{n}"].groupby("epoch")]
+        assert len(own) == 3 and all(sorted(g) == list(range(n)) for g in own[:2])
+        if n > 100:
+            assert not any(((g[1:] - g[:-1]) % n == (g[1] - g[0]) % n).mean() > 0.1 for g in own)
+            assert (own[0] == own[1]).mean() < 0.1 and abs(own[2].mean() / n - 0.5) < 0.15

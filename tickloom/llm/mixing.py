@@ -3,8 +3,8 @@
 The documents of a source, one after the other in a pseudorandom order, are cut into blocks of
 ``BLOCK`` words. The mix has slots: as many passes over a source's blocks as its target holds, and
 of the last pass as many slots as make up the rest. Within a pass a slot reads the block that the
-source's index permutation names, and it falls into an output shard at random. That makes the
-sources' counts in a shard multinomial, conditioned on the sources' totals, which are exact.
+index permutation of the source and pass names. Each slot draws its output shard, all alike, by a hash.
+So the sources' counts in a shard are multinomial, conditioned on the sources' totals, which are exact.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,8 +18,8 @@ SEED = 20240501
 WEIGHTS = (1, 2, 3)
 #: A source's words are used this many times at most.
 MOST = 3
-# Primes that step through the blocks; the first that does not divide their number is used.
-STEPS = (2147483647, 2147483629, 2147483587)
+#: Rounds of the index permutation.
+ROUNDS = 24
 #: Slots that one row stands for until it has been dealt to a task.
 _SPAN = 65536
 
@@ -55,10 +55,18 @@ def _hash(*parts: Column) -> Column:
     return F.xxhash64(F.lit(SEED), *parts)
 
 
-def _times(a: Column, b: Column, n: Column) -> Column:
-    """a * b mod n without overflow."""
-    wide = lambda c: c.cast("decimal(18,0)")
-    return F.pmod(wide(a) * wide(b), wide(n)).cast("long")
+def permuted(x: Column, key: Column, n: Column, back: bool = False) -> Column:
+    """``x`` mapped by the permutation of 0 to n - 1 that ``key`` picks, or ``back``.
+
+    A swap-or-not shuffle: in each round a number and its partner, whose sum is the round's, change
+    places or not by a bit of the hash of the larger. A round undoes itself.
+    """
+    def swapped(v: Column, r: Column) -> Column:
+        partner = F.pmod(F.pmod(_hash(F.lit("sum"), key, r), n) - v, n)
+        return F.when(_hash(F.lit("swap"), key, r, F.greatest(v, partner)).bitwiseAND(F.lit(1)) == 1, partner).otherwise(v)
+
+    rounds = reversed(range(ROUNDS)) if back else range(ROUNDS)
+    return F.aggregate(F.array(*map(F.lit, rounds)), x, swapped)
 
 
 def slots(plan: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
@@ -74,25 +82,23 @@ def slots(plan: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFram
         "passes": F.floor(F.col("target") / F.col("source_size")).cast("long"),
     }).withColumns({
         "rest": F.round(F.col("target") - F.col("passes") * F.col("source_size")).cast("long"),
-        "step": F.coalesce(*[F.when(n % s != 0, F.lit(s)) for s in STEPS], F.lit(1)).cast("long"),
         "short": n * block - F.col("source_size"),
     })
-    count = F.col("passes") * n + F.when(F.col("rest") > 0, F.least(n, F.ceil((F.col("rest") + F.col("short")) / block)))\
-        .otherwise(0)
-    parts = sized.withColumn("count", count.cast("long")).where("count > 0").withColumn(
+    last = F.when(F.col("rest") > 0, F.least(n, F.ceil((F.col("rest") + F.col("short")) / block))).otherwise(0)
+    passes = sized.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes")))).withColumns({
+        "count": F.when(F.col("epoch") < F.col("passes"), n).otherwise(last).cast("long"),
+        "key": _hash(F.col("source"), F.col("epoch"))})
+    parts = passes.where("count > 0").withColumn("met", permuted(n - 1, F.col("key"), n, back=True)).withColumn(
         "from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1, F.lit(_SPAN).cast("long"))))
-    spread = parts.repartition(int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source", "from")
-    each = spread.withColumn("slot", F.explode(F.sequence(
+    spread = parts.repartition(int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source", "epoch", "from")
+    each = spread.withColumn("j", F.explode(F.sequence(
         F.col("from"), F.least(F.col("from") + _SPAN, F.col("count")) - 1))).withColumns({
-            "epoch": (F.floor(F.col("slot") / n)).cast("long"), "j": F.col("slot") % n})
-    met = F.pmod(_hash(F.lit("met"), F.col("source"), F.col("epoch")), n)
-    index = F.pmod(n - 1 + _times(F.col("step") % n, F.pmod(F.col("j") - F.col("met"), n), n), n)
-    at = each.withColumn("met", met).withColumn("index", index.cast("long"))
+            "slot": F.col("epoch") * n + F.col("j"), "index": permuted(F.col("j"), F.col("key"), n)})
     held = F.when(F.col("j") == F.col("met"), block - F.col("short")).otherwise(block)
     before = F.col("j") * block - F.when(F.col("j") > F.col("met"), F.col("short")).otherwise(0)
     use = F.when(F.col("epoch") < F.col("passes"), held) \
         .otherwise(F.greatest(F.lit(0), F.least(held, F.col("rest") - before)))
-    return at.select(
+    return each.select(
         "source", "slot", "epoch", "index", use.cast("long").alias("use"),
         F.pmod(_hash(F.lit("shard"), F.col("source"), F.col("slot")), F.lit(shards)).cast("int").alias("shard"),
     ).where("use > 0")

@@ -17,4 +17,4 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_there_is_a_query_for_each_operator():
-    assert [name.split("_")[0] for name in llm_queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in llm_queries()] == [f"op{n}" for n in range(1, 14)]

@@ -1,7 +1,11 @@
 """Helpers that several training-data operators share."""
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +14,7 @@ from tickloom.session import materialize
 
 __all__ = [
     "BUCKETS", "WORD", "documents", "fresh_names", "materialize", "offsets_in_groups", "once",
-    "row_key", "small_batches", "text_key",
+    "row_key", "slices", "small_batches", "text_key",
 ]
 
 #: A word is a run of anything but ASCII white space.
@@ -56,6 +60,17 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> Iterator[pa.Table]:
+    """Pieces of an Arrow batch whose ``column`` holds about ``most`` bytes, or else a single row."""
+    table = pa.Table.from_batches([batch])
+    sizes = pc.fill_null(pc.binary_length(table[column]), 0).to_numpy()
+    part = np.cumsum(sizes, dtype=np.int64) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), table.num_rows]
+    for begin, end in zip(cuts, cuts[1:]):
+        if end > begin:
+            yield table.slice(begin, end - begin)
+
+
 def offsets_in_groups(
     df: DataFrame, groups: list[str], order: list[str], name: str, weight: Column | None = None,
     buckets: int = BUCKETS,

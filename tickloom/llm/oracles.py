@@ -47,6 +47,40 @@ select page_id, payload_bytes, payload_digest,
 from payloads left join firsts using (payload_digest)
 """
 
+DIVERGENCE = r"""
+with docs as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents),
+terms as (
+  select row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from docs),
+kept as (
+  select lang, term, count(*) as lang_n from terms group by lang, term having count(distinct row) >= 3),
+langs as (select lang, count(*) as v, sum(lang_n) as lang_total from kept group by lang),
+counts as (select lang, source, term, count(*) as n from terms semi join kept using (lang, term) group by all),
+totals as (select lang, source, sum(n) as total from counts group by all),
+sources as (
+  select distinct lang, source, coalesce(total, 0) as total from docs left join totals using (lang, source)),
+cells as (
+  select lang, s.source, term, coalesce(n, 0) as n, lang_n,
+    1 + (1000000000 * (coalesce(n, 0) + 1)::hugeint) // (s.total + v)::hugeint as p,
+    1 + (1000000000 * (lang_n + 1)::hugeint) // (lang_total + v)::hugeint as q
+  from sources s join kept using (lang) join langs using (lang) left join counts using (lang, source, term)),
+pair_sums as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from cells a join cells b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+found as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from sources a join sources b on a.lang = b.lang and a.source <> b.source
+    left join pair_sums x on x.lang = a.lang and x.source = a.source and x.item = b.source
+  union all
+  select lang, source, 'term', term, (p - q) * (p - q) // q from cells where n > 0 and p > q)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from (select *, row_number() over (partition by lang, source, part order by value desc, encode(item)) as rank from found)
+where part = 'pair' or rank <= 200
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_vector_file": TOP_K, "op2_line_dedup": LINE_DEDUP, "op8_warc": WARC}
+    return {"op1_vector_file": TOP_K, "op2_line_dedup": LINE_DEDUP, "op8_warc": WARC, "op11_source_divergence": DIVERGENCE}

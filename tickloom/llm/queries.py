@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
-    fingerprints, htmltext, linededup, mixing, packing, quality, sharding, simhash, topk, warc,
+    divergence, fingerprints, htmltext, linededup, mixing, packing, quality, sharding, simhash, topk, warc,
 )
 from tickloom.llm.common import documents
 
@@ -58,9 +58,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprinted(documents(spark, sf_dir))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_vector_file, op2_line_dedup, op3_kd_shards, op4_packing, op5_quality_classifier,
         op6_simhash, op7_html_text, op8_warc, op9_mixing, op10_fingerprints,
+        op11_source_divergence,
     ]
     return {query.__name__: query for query in found}

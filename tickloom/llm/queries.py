@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
-    divergence, fingerprints, htmltext, linededup, mixing, packing, quality, sharding, simhash, topk, warc,
+    alignment, divergence, fingerprints, htmltext, linededup, mixing, packing, quality, sharding, simhash, topk, warc,
 )
 from tickloom.llm.common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_vector_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,10 +63,15 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(
+        documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_vector_file, op2_line_dedup, op3_kd_shards, op4_packing, op5_quality_classifier,
         op6_simhash, op7_html_text, op8_warc, op9_mixing, op10_fingerprints,
-        op11_source_divergence,
+        op11_source_divergence, op12_tokenizer_alignment,
     ]
     return {query.__name__: query for query in found}

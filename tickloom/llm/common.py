@@ -2,6 +2,7 @@
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from tickloom.session import materialize
 
 __all__ = [
-    "BUCKETS", "WORD", "documents", "fresh_names", "materialize", "offsets_in_groups", "once",
+    "BUCKETS", "WORD", "arrow_rows", "documents", "fresh_names", "materialize", "offsets_in_groups", "once",
     "row_key", "slices", "small_batches", "text_key",
 ]
 
@@ -60,6 +61,18 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what is run inside the block."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> Iterator[pa.Table]:
     """Pieces of an Arrow batch whose ``column`` holds about ``most`` bytes, or else a single row."""
     table = pa.Table.from_batches([batch])

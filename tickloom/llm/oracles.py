@@ -81,6 +81,31 @@ from (select *, row_number() over (partition by lang, source, part order by valu
 where part = 'pair' or rank <= 200
 """
 
+REPEATS = """
+with docs as (
+  select row_number() over () as row, doc_id, encode(coalesce(text, '')) as raw from documents),
+starts as (select row, raw, unnest(range(octet_length(raw) - 399)) as i from docs),
+windows as (select row, i, md5(array_slice(raw, i + 1, i + 400)) as content from starts),
+repeated as (select row, i from (select row, i, count(*) over (partition by content) as n from windows) where n > 1),
+marked as (
+  select row, i, case when i <= lag(i) over (partition by row order by i) + 400 then 0 else 1 end as new from repeated),
+spans as (
+  select row, min(i) as a, max(i) + 400 as b
+  from (select row, i, sum(new) over (partition by row order by i) as span from marked) group by row, span),
+gaps as (
+  select row, b as a, lead(a) over (partition by row order by a) as b from spans
+  union all select row, 0, min(a) from spans group by row
+  union all select row, 0, null from docs where row not in (select row from spans)),
+kept as (
+  select row, string_agg(hex(array_slice(raw, a + 1, coalesce(b, octet_length(raw)))), '' order by a) as hex
+  from gaps join docs using (row) group by row),
+removed as (select row, sum(b - a) as n, count(*) as spans from spans group by row)
+select doc_id, cast(octet_length(raw) as bigint) as n_bytes, cast(coalesce(n, 0) as bigint) as n_removed,
+  coalesce(spans, 0) as n_spans, sha256(unhex(coalesce(hex, ''))) as kept_sha256
+from docs left join removed using (row) left join kept using (row)
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_vector_file": TOP_K, "op2_line_dedup": LINE_DEDUP, "op8_warc": WARC, "op11_source_divergence": DIVERGENCE}
+    return {"op1_vector_file": TOP_K, "op2_line_dedup": LINE_DEDUP, "op8_warc": WARC, "op11_source_divergence": DIVERGENCE,
+            "op13_suffix_dedup": REPEATS}

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
-    alignment, divergence, fingerprints, htmltext, linededup, mixing, packing, quality, sharding, simhash, topk, warc,
+    alignment, divergence, fingerprints, htmltext, linededup, mixing, packing, quality, repeats, sharding, simhash, topk,
+    warc,
 )
 from tickloom.llm.common import documents
 
@@ -68,10 +69,17 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return repeats.without_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_vector_file, op2_line_dedup, op3_kd_shards, op4_packing, op5_quality_classifier,
         op6_simhash, op7_html_text, op8_warc, op9_mixing, op10_fingerprints,
-        op11_source_divergence, op12_tokenizer_alignment,
+        op11_source_divergence, op12_tokenizer_alignment, op13_suffix_dedup,
     ]
     return {query.__name__: query for query in found}

@@ -288,9 +288,13 @@ def _block_repeats(least: int):
 
 
 def _recurring(rows: DataFrame) -> DataFrame:
-    """Rows whose anchor occurs more than once."""
-    often = rows.groupBy("anchor").agg(F.sum("n").alias("_n"), F.max("again").alias("_again")) \
-        .where("_n > 1 or _again").select("anchor")
+    """Rows of a stored table whose anchor occurs more than once.
+
+    The anchors are stored before the join, so that Spark can split a crowded one between tasks.
+    """
+    often = materialize(
+        rows.groupBy("anchor").agg(F.sum("n").alias("_n"), F.max("again").alias("_again"))
+        .where("_n > 1 or _again").select("anchor"), "recurring")
     return rows.join(often, "anchor", "left_semi")
 
 

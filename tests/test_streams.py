@@ -1,8 +1,13 @@
+import contextlib
 import json
+import os
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tickloom.operators.features import CONTINUOUS, live_features, order_ticks
 from tickloom.operators.joins import asof_join, band_join
@@ -10,11 +15,13 @@ from tickloom.operators.training import live_windows
 from tickloom.session import materialize
 from tickloom.sources.events import books_of, read_events, trades_of
 from tickloom.sources.lake import read_raw_day, read_topic
-from tickloom.streaming import live
+from tickloom.streaming import chart, live
 from tickloom.streaming.events import dedup_stream, interval_join, late_rows, latest_prices
 from tickloom.streaming.landing import publish, publish_or_keep, route, start_landing, write_routed
 from tickloom.schemas import BOOK_TOPIC, FEATURE_COLS, PREDICTION_TOPIC, SYMBOLS, TRADE, TRADE_TOPIC
+from tickloom.streaming.lateness import LateRows, total_late
 from tickloom.streaming.predicting import start_predicting
+from tickloom.streaming.reorder import Reorder
 
 NOW = {"availableNow": True}
 COLS = ["symbol", "timestamp", "trade_id", "price_lag_10", "rolling_avg_10", "spread"]
@@ -320,3 +327,165 @@ def test_latest_prices_stream(spark, market, tmp_path):
     assert got == {r["symbol"]: r["t"] for r in wanted}
 
 
+
+
+def live_run(spark, folder, trades, books, **more):
+    return live.start_live(
+        stream_of(spark, trades, f"{folder}/trades"), stream_of(spark, books, f"{folder}/books"),
+        live.feature_rows(), f"{folder}/out", f"{folder}/check", **more)
+
+
+def arriving(df, folder, bounds, order):
+    """Write one file per stretch of time, with modification times in the given order."""
+    for i in order:
+        part = df.where((F.col("timestamp") >= bounds[i]) & (F.col("timestamp") < bounds[i + 1]))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/part={i}")
+    now = time.time() - 1000
+    for place, i in enumerate(order):
+        for file in Path(f"{folder}/part={i}").glob("*.parquet"):
+            os.utime(file, (now + place, now + place))
+
+
+@pytest.mark.parametrize("lateness", [None, 500_000])
+def test_files_in_the_wrong_order_give_the_rows_of_the_batch_run(spark, market, tmp_path, lateness):
+    trades, books = market
+    start = trades.agg(F.min("timestamp")).first()[0]
+    bounds = [0, start + 30_000, start + 90_000, start + 200_000, 1 << 60]
+    arriving(trades, f"{tmp_path}/trades", bounds, [2, 0, 3, 1])
+    arriving(books, f"{tmp_path}/books", bounds, [3, 1, 0, 2])
+    live_run(spark, tmp_path, trades, books, trigger=NOW, lateness=lateness).awaitTermination()
+    cols = [*COLS, *FEATURE_COLS]
+    assert rows(spark.read.parquet(f"{tmp_path}/out"), cols) == rows(batch_features(trades, books), cols)
+    assert spark.read.parquet(f"{tmp_path}/out-late").count() == 0
+
+
+def test_only_what_comes_behind_the_watermark_is_late(spark, market, tmp_path):
+    trades, books = market
+    start = trades.agg(F.min("timestamp")).first()[0]
+    bounds = [0, start + 30_000, start + 90_000, start + 200_000, 1 << 60]
+    arriving(trades, f"{tmp_path}/trades", bounds, [0, 2, 1, 3])
+    arriving(books, f"{tmp_path}/books", [0, 1 << 60], [0])
+    live_run(spark, tmp_path, trades, books, trigger=NOW, lateness=20_000).awaitTermination()
+    # The third stretch comes second and takes the watermark past all of the second.
+    late = [r["timestamp"] for r in spark.read.parquet(f"{tmp_path}/out-late").collect()]
+    inside = trades.where((F.col("timestamp") >= bounds[1]) & (F.col("timestamp") < bounds[2])).count()
+    assert 0 < len(late) <= inside and all(bounds[1] <= t < bounds[2] for t in late)
+    on_time = trades.join(spark.read.parquet(f"{tmp_path}/out-late").select("trade_id"), "trade_id", "left_anti")
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(batch_features(on_time, books))
+
+
+def test_the_second_run_takes_what_the_first_has_left(spark, market, tmp_path):
+    """A trade of the last millisecond is not late, books ahead of the trades are kept."""
+    _, books = market
+    ticks = tick(spark, range(0, 200))
+    for i, (low, high) in enumerate([(0, 100), (99, 200)]):
+        part = ticks.where((F.col("timestamp") >= low) & (F.col("timestamp") < high))
+        part = part.withColumn("trade_id", F.col("trade_id") + 1000 * i)
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/trades")
+        if not i:
+            book(spark, [5, 80, 150]).coalesce(1).write.parquet(f"{tmp_path}/books")
+        live_run(spark, tmp_path, ticks, book(spark, [1]), trigger=NOW).awaitTermination()
+    both = spark.read.parquet(f"{tmp_path}/trades")
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(batch_features(both, book(spark, [5, 80, 150])))
+    assert spark.read.parquet(f"{tmp_path}/out-late").count() == 0
+
+
+def log_of(spark, folder):
+    return spark.read.option("basePath", f"{folder}/log").schema(live_schema(spark)).parquet(f"{folder}/log")
+
+
+def live_schema(spark):
+    return live.tagged_events(tick(spark, [1]), book(spark, [1])).schema
+
+
+def test_books_without_trades_leave_a_state_of_bounded_size(spark, tmp_path):
+    state = live.LiveState(spark, str(tmp_path / "state"))
+    order = Reorder(state, 1_000, retention=5_000)
+    sizes, kept = [], []
+    for i in range(50):
+        events = live.tagged_events(tick(spark, []), book(spark, range(1000 * i, 1000 * i + 1000, 100)))
+        ready, late, marks = order.take(events, i)
+        live.advance(ready, i, state, f"{tmp_path}/out", f"{tmp_path}/late", live.feature_rows(), None, late, marks.released)
+        order.commit(i, marks)
+        sizes.append(log_of(spark, tmp_path / "state").count())
+        kept.append(state.read(i, "books", live.BOOK_TYPES).count())
+    assert max(sizes[10:]) == max(sizes[40:]) < 120 and max(kept) <= 10
+    assert len(marks.parts) < 8
+
+
+def test_a_step_that_runs_again_changes_nothing(spark, market, tmp_path):
+    trades, books = market
+    start = trades.agg(F.min("timestamp")).first()[0]
+    state = live.LiveState(spark, str(tmp_path / "state"))
+    order = Reorder(state, 5_000)
+    cuts = [start - 1, start + 50_000, start + 120_000, start + 200_000, 1 << 60]
+    for i, (low, high) in enumerate(zip(cuts, cuts[1:])):
+        inside = (F.col("timestamp") >= low) & (F.col("timestamp") < high)
+        for _ in range(2):
+            ready, late, marks = order.take(live.tagged_events(trades.where(inside), books.where(inside)), i)
+            live.advance(
+                ready, i, state, f"{tmp_path}/out", f"{tmp_path}/late", live.feature_rows(), None, late, marks.released)
+            order.commit(i, marks)
+    ready, marks = order.drain(4, live_schema(spark))
+    live.advance(ready, 4, state, f"{tmp_path}/out", f"{tmp_path}/late", live.feature_rows(), None, ready.limit(0), marks.released)
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(batch_features(trades, books))
+
+
+def test_what_waits_comes_out_after_a_silence(spark, tmp_path):
+    ticks = tick(spark, range(0, 200, 10))
+    ticks.coalesce(1).write.parquet(f"{tmp_path}/trades")
+    book(spark, [5]).coalesce(1).write.parquet(f"{tmp_path}/books")
+    query = live_run(spark, tmp_path, ticks, book(spark, [1]), lateness=60_000, patience=3_000)
+    try:
+        deadline, found = time.time() + 90, 0
+        while found < 10 and time.time() < deadline:
+            time.sleep(1)
+            with contextlib.suppress(AnalysisException):
+                found = spark.read.parquet(f"{tmp_path}/out").count()
+        assert found == 10
+    finally:
+        query.stop()
+
+
+def test_late_rows_are_counted_over_more_batches_than_progress_is_kept_for(spark, tmp_path):
+    """Every file after the first is late."""
+    tick(spark, [10_000_000]).coalesce(1).write.parquet(f"{tmp_path}/in")
+    now = time.time() - 10_000
+    first = next((tmp_path / "in").glob("*.parquet"))
+    os.utime(first, (now, now))
+    tick(spark, [20_000_000]).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    late = tmp_path / "late"
+    tick(spark, [1, 2, 3]).coalesce(1).write.parquet(str(late))
+    body = next(late.glob("*.parquet")).read_bytes()
+    for i in range(110):
+        file = tmp_path / "in" / f"late-{i}.parquet"
+        file.write_bytes(body)
+        os.utime(file, (time.time() + i, time.time() + i))
+    listener = LateRows(spark, f"{tmp_path}/counts")
+    spark.streams.addListener(listener)
+    try:
+        stream = spark.readStream.schema(tick(spark, [1]).schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        query = dedup_stream(stream, lateness="1 second").writeStream.format("noop") \
+            .option("checkpointLocation", f"{tmp_path}/check").trigger(**NOW).start()
+        query.awaitTermination()
+        deadline = time.time() + 60
+        while total_late(spark, f"{tmp_path}/counts", query) < 330 and time.time() < deadline:
+            time.sleep(1)
+        assert total_late(spark, f"{tmp_path}/counts", query) == 330 > late_rows(query)
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def test_chart_points_without_a_partner_come_out_when_the_watermark_has_passed(spark, tmp_path):
+    prices = tick(spark, [1_000, 2_000, 2_000, 3_000, 90_000_000])
+    predictions = spark.createDataFrame(
+        [("BTCUSDT", 2_000, 5.0), ("BTCUSDT", 2_500, 6.0), ("ETHUSDT", 2_000, 7.0), ("BTCUSDT", 90_000_000, 8.0)],
+        "symbol string, timestamp long, predicted_price double")
+    for name, df in (("prices", prices), ("predictions", predictions)):
+        in_files(df, f"{tmp_path}/{name}", [0, 2_400, 1 << 60])
+    points = chart.chart_points(
+        stream_of(spark, prices, f"{tmp_path}/prices"), stream_of(spark, predictions, f"{tmp_path}/predictions"))
+    chart.start_chart(points, f"{tmp_path}/view", f"{tmp_path}/check", 4, NOW).awaitTermination()
+    found = sorted((r["t"], r["actual_price"], r["predicted_price"]) for r in chart.read_chart(spark, f"{tmp_path}/view").collect())
+    # The four newest of BTCUSDT; ETHUSDT has no price. Rows at the end still wait unless they met.
+    assert found == [(2_000, 2_001.0, 5.0), (2_500, None, 6.0), (3_000, 3_001.0, None), (90_000_000, 90_000_001.0, 8.0)]

@@ -1,5 +1,6 @@
 """Per-symbol regressors: fit, evaluate, score, and the registry of runs."""
 
+from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.ml import Estimator, Model
@@ -9,7 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.evaluate import forecast_errors
-from tickloom.operators.training import has_missing, inverse_scale, last_trained
+from tickloom.operators.ordered import Ordered
+from tickloom.operators.training import (
+    has_missing, inverse_scale, last_trained, trained_sequences,
+)
+from tickloom.operators.windows import WindowModels, predict_tests, score_with_table
 from tickloom.schemas import FEATURE_COLS
 from tickloom.session import materialize
 
@@ -52,18 +57,22 @@ def fit_symbol(
     return (estimator or next_price_regressor()).fit(as_vectors(train).select("features", "y"))
 
 
-def predict_test(split: DataFrame, models: dict[str, Model], scaler: DataFrame) -> DataFrame:
+def predict_test(split: DataFrame, models: Mapping[str, Model], scaler: DataFrame) -> DataFrame:
     """Actual and predicted test prices of every symbol with a model, in price units."""
     test = split.where(F.col("part") == "test")
     scored = score(test, models).select("symbol", "seq_no", "y", "y_hat")
     return inverse_scale(scored, scaler, {"y": "actual", "y_hat": "predicted"})
 
 
-def score(windows: DataFrame, models: dict[str, Model]) -> DataFrame:
+def score(windows: DataFrame, models: Mapping[str, Model]) -> DataFrame:
     """Apply each symbol's model to its windows; symbols without a model produce nothing.
 
-    One transform per model: the number of models is that of the contract's symbols.
+    Models in a table are joined to the windows, which are read once whatever their number. Other
+    models take one transform each; their number is that of the contract's symbols.
     """
+    if isinstance(models, WindowModels):
+        scored = score_with_table(windows, models.table)
+        return scored.unionByName(score(windows, models.others)) if models.others else scored
     vectors = as_vectors(windows)
     parts = [
         model.transform(vectors.where(F.col("symbol") == symbol))
@@ -77,7 +86,7 @@ def score(windows: DataFrame, models: dict[str, Model]) -> DataFrame:
     return scored.drop("features")
 
 
-def evaluate(split: DataFrame, models: dict[str, Model], scaler: DataFrame) -> DataFrame:
+def evaluate(split: DataFrame, models: Mapping[str, Model], scaler: DataFrame) -> DataFrame:
     """One metrics row per symbol; symbols with a NaN prediction are skipped."""
     predicted = predict_test(split, models, scaler)
     unusable = F.isnan("predicted") | F.col("predicted").isNull()
@@ -90,7 +99,18 @@ def evaluate(split: DataFrame, models: dict[str, Model], scaler: DataFrame) -> D
     )
 
 
-def score_windows(windows: DataFrame, models: dict[str, Model], scaler: DataFrame) -> DataFrame:
+def evaluate_series(series: Ordered, coefficients: DataFrame, scaler: DataFrame) -> DataFrame:
+    """``evaluate`` for models in a table, over the blocks of the scaled series."""
+    predicted = predict_tests(series, coefficients, scaler)
+    unusable = F.isnan("predicted") | F.col("predicted").isNull()
+    errors = forecast_errors(
+        predicted, F.count_if(unusable).alias("unusable"), F.max(trained_sequences()).alias("train_records"))
+    return errors.where("unusable = 0").select(
+        "symbol", "mae", "rmse", "mape", "train_records", "test_records"
+    )
+
+
+def score_windows(windows: DataFrame, models: Mapping[str, Model], scaler: DataFrame) -> DataFrame:
     """Score scaled live windows and return prices in price units."""
     scored = score(windows, models)
     return inverse_scale(scored, scaler, {"y_hat": "predicted_price"}).drop("y_hat")

@@ -212,16 +212,18 @@ def live_windows(
 
 def split_sequences(sequences: DataFrame, train_share: float = TRAIN_SHARE) -> DataFrame:
     """Chronological split: the first share of a symbol's sequences trains, the rest tests."""
-    cut = F.floor(F.col("seq_total") * F.lit(train_share))
-    return sequences.withColumn(
-        "part", F.when(F.col("seq_no") <= cut, "train").otherwise("test")
-    )
+    trained = F.col("seq_no") <= trained_sequences(train_share)
+    return sequences.withColumn("part", F.when(trained, "train").otherwise("test"))
+
+
+def trained_sequences(train_share: float = TRAIN_SHARE) -> Column:
+    """Number of the last sequence before those that test."""
+    return F.floor(F.col("seq_total") * F.lit(train_share))
 
 
 def last_trained(share: float = VALIDATION_SHARE, train_share: float = TRAIN_SHARE) -> Column:
     """Number of the last sequence that trains, before those that validate and test."""
-    trained = F.floor(F.col("seq_total") * F.lit(train_share))
-    return F.floor(trained * F.lit(1.0 - share))
+    return F.floor(trained_sequences(train_share) * F.lit(1.0 - share))
 
 
 def validation_part(

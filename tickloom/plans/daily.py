@@ -12,13 +12,15 @@ from tickloom.operators.dedup import drop_exact_duplicates
 from tickloom.operators.features import CONTINUOUS, build_features, order_ticks
 from tickloom.operators.joins import band_join
 from tickloom.operators.models import (
-    evaluate, fit_symbol, next_price_regressor, scaled_without_missing,
+    evaluate, evaluate_series, fit_symbol, scaled_without_missing,
 )
+from tickloom.operators.ordered import Ordered
 from tickloom.operators.quality import expectations, observed, observed_step
 from tickloom.operators.training import (
     build_sequences, clean_series, fit_scaler, order_series, prepare_training, scale,
     split_sequences, trainable_symbols, validation_part,
 )
+from tickloom.operators.windows import RIDGE, fit_windows
 from tickloom.plans import gates
 from tickloom.schemas import (
     BOOK_TOPIC, ROWS_PER_SYMBOL, SEQUENCE_LENGTH, SYMBOLS, TRADE_TOPIC, TRAIN_SHARE,
@@ -122,26 +124,41 @@ def train_and_evaluate(
     estimator: Estimator | None = None,
     fit_on: str = "all",
     fit_rows: int | None = ROWS_PER_SYMBOL,
+    ridge: float = RIDGE,
+    inputs: list[int] | None = None,
 ) -> DataFrame:
-    """Scale, cut sequences, fit one model per symbol and measure it on the last sequences.
+    """Scale, fit one model per symbol and measure it on the last sequences.
 
-    The symbols are those of the contract, a few; their fits run side by side.
+    By default the models are linear in a window's ``inputs`` with a ``ridge``, fitted for all symbols
+    in one pass over the series. An ``estimator`` is fitted symbol by symbol on cut sequences.
     """
     scaler = registry.save_scaler(fit_scaler(_scaler_rows(clean, fit_on)), root, run)
-    scaled = scaled_without_missing(scale(clean, scaler))
-    sequences = build_sequences(order_series(scaled))
+    series = order_series(scaled_without_missing(scale(clean, scaler)))
+    if estimator is None:
+        fitted = fit_windows(series, ridge, fit_rows, inputs)
+        metrics = evaluate_series(series, registry.save_coefficients(fitted, root, run), scaler)
+    else:
+        metrics = _with_estimator(series, clean, root, run, estimator, fit_rows, scaler)
+    return metrics.withColumns({
+        "epochs_trained": F.lit(1).cast("long"),
+        "trained_at": F.lit(datetime.now(timezone.utc).replace(tzinfo=None).isoformat()),
+    })
+
+
+def _with_estimator(
+    series: Ordered, clean: DataFrame, root: str, run: str, estimator: Estimator,
+    fit_rows: int | None, scaler: DataFrame,
+) -> DataFrame:
+    """The symbols are those of the contract, a few; their fits run side by side."""
     # Sequences repeat every row 60 times, so they are cut anew for each fit and never stored.
-    split = validation_part(split_sequences(sequences))
+    split = validation_part(split_sequences(build_sequences(series)))
     symbols = [r["symbol"] for r in trainable_symbols(clean).toLocalIterator()]
-    pipeline = Pipeline(stages=[estimator or next_price_regressor()])
+    pipeline = Pipeline(stages=[estimator])
     with ThreadPoolExecutor(max_workers=FITS_AT_ONCE) as pool:
         fits = {s: pool.submit(fit_symbol, split, s, pipeline, fit_rows) for s in sorted(symbols)}
         models = {symbol: fit.result() for symbol, fit in fits.items()}
     registry.save_models(models, root, run)
-    return evaluate(split, models, scaler).withColumns({
-        "epochs_trained": F.lit(1).cast("long"),
-        "trained_at": F.lit(datetime.now(timezone.utc).replace(tzinfo=None).isoformat()),
-    })
+    return evaluate(split, models, scaler)
 
 
 def _scaler_rows(clean: DataFrame, fit_on: str) -> DataFrame:

@@ -324,6 +324,29 @@ def _scored(trades: str) -> str:
         where rn >= 70"""
 
 
+def _lagged_moments() -> str:
+    """Sums over the training windows of each scaled term times each term 0 to 60 rows later."""
+    terms = ["one", *FEATURE_COLS]
+    scaled = ", ".join(
+        f"({c} - min({c}) over p) / case when max({c}) over p = min({c}) over p then 1.0"
+        f" else max({c}) over p - min({c}) over p end as {c}" for c in FEATURE_COLS)
+    sums = ", ".join(f"sum(a.{p} * b.{q}) as {p}__{q}" for p in terms for q in terms)
+    rows = "\n union all ".join(
+        f"select symbol, day, lag, '{p}' as term, " + ", ".join(_r(f"{p}__{q} + 0.0001234::double", q, 3) for q in terms) + " from sums"
+        for p in terms)
+    return f"""
+        , units as (
+            select symbol, rn, n, "timestamp", 1.0::double as one, {scaled}
+            from series window p as (partition by symbol)),
+        sums as (
+            select a.symbol, strftime(epoch_ms(l."timestamp"), '%Y-%m-%d') as day, (b.rn - a.rn)::integer as lag, {sums}
+            from units a join units l on a.symbol = l.symbol and l.rn = a.rn + 60
+              join units b on a.symbol = b.symbol and b.rn between a.rn and a.rn + 60
+            where a.n >= 70 and a.rn <= floor(floor((a.n - 60) * 0.8::double) * 0.9::double)
+            group by all)
+        {rows}"""
+
+
 def _infinite_sum(table: str) -> str:
     return " + ".join(f"count(*) filter (where isinf({c}))" for c in FEATURE_COLS)
 
@@ -590,6 +613,12 @@ def all_oracles() -> dict[str, str]:
             from (select p.*, (slope * x + intercept) * p.width + p.low as predicted
                   from scaled_pairs p join fitted using (symbol))
             where rn > 60 and rn - 60 > cut group by symbol""",
+        "window_moments": _lagged_moments(),
+        "fit_all_inputs": """
+            select symbol, 900 as inputs,
+                   cast(floor(floor((max(n) - 60) * 0.8::double) * 0.9::double) as bigint) as windows,
+                   0.0::double as residual, 0.0::double as gradient
+            from series group by symbol having max(n) >= 70""",
         "score_batch": _scored("vtrades"),
         "stream_scoring": _scored(
             "(select * from trades where symbol in ('BTCUSDT','ETHUSDT','SOLUSDT'))"),
@@ -611,4 +640,5 @@ def all_oracles() -> dict[str, str]:
             select symbol, {_r('arg_max(price, "timestamp")', "price")},
                    max("timestamp") as "timestamp" from vtrades group by 1""",
     }
+    bodies["stream_chart"] = bodies["chart_outer_join"]
     return {name: _with(body) for name, body in bodies.items()}

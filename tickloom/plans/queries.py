@@ -3,9 +3,6 @@
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +10,7 @@ from pyspark.sql import types as T
 from tickloom.functions.contracts import book_contract, trade_contract
 from tickloom.operators import (
     contract, dedup, evaluate, features, joins, models, parse, quality, recent, training, views,
+    windows,
 )
 from tickloom.plans import daily, market
 from tickloom.schemas import (
@@ -22,7 +20,7 @@ from tickloom.session import materialize, scratch_path
 from tickloom.sources import events as ev
 from tickloom.sources import lake, registry
 from tickloom.streaming import events as stream_ops
-from tickloom.streaming import landing, live
+from tickloom.streaming import chart, landing, live
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -490,15 +488,17 @@ def recent_predictions(spark, sf_dir):
     return _rounded(views.recent_predictions(_predictions(spark, sf_dir), ("timestamp",)))
 
 
+def _some_later(predictions: DataFrame) -> DataFrame:
+    """Predictions that go up come 100 ms after their price."""
+    up = F.col("direction") == "UP"
+    return predictions.withColumn(
+        "timestamp", F.when(up, F.col("timestamp") + 100).otherwise(F.col("timestamp")))
+
+
 @query
 def chart_outer_join(spark, sf_dir):
-    prices = market.valid_trades(spark, sf_dir)
-    predictions = _predictions(spark, sf_dir).withColumn(
-        "timestamp",
-        F.when(F.col("direction") == "UP", F.col("timestamp") + 100)
-        .otherwise(F.col("timestamp")),
-    )
-    return _rounded(views.chart(prices, predictions))
+    predictions = _some_later(_predictions(spark, sf_dir))
+    return _rounded(views.chart(market.valid_trades(spark, sf_dir), predictions))
 
 
 @query
@@ -511,14 +511,8 @@ def live_board(spark, sf_dir):
 RUN = "20240101_000000"
 
 
-def _last_price_regressor() -> Pipeline:
-    """A line through the last scaled price of a window, which SQL can fit too."""
-    last = VectorSlicer(
-        inputCol="features", outputCol="last_price",
-        indices=[(SEQUENCE_LENGTH - 1) * len(FEATURE_COLS)])
-    line = LinearRegression(
-        featuresCol="last_price", labelCol="y", predictionCol="y_hat", regParam=0.0)
-    return Pipeline(stages=[last, line])
+#: The last scaled price of a window; a line through it is what SQL can fit too.
+LAST_PRICE = [(SEQUENCE_LENGTH - 1) * len(FEATURE_COLS) + FEATURE_COLS.index("price")]
 
 
 def _trained_root(spark, sf_dir) -> str:
@@ -526,11 +520,42 @@ def _trained_root(spark, sf_dir) -> str:
     root = scratch_path(spark, "models")
     rows = training.prepare_training(_series(spark, sf_dir))
     clean = materialize(training.clean_series(rows), "clean")
-    metrics = daily.train_and_evaluate(spark, root, RUN, clean, _last_price_regressor())
+    metrics = daily.train_and_evaluate(spark, root, RUN, clean, ridge=0.0, inputs=LAST_PRICE)
     registry.save_metrics(metrics, root, RUN)
     return root
 
 
+def _scaled_series(spark, sf_dir):
+    rows = training.prepare_training(_series(spark, sf_dir))
+    clean = materialize(training.clean_series(rows), "clean")
+    scaler = materialize(training.fit_scaler(clean), "scaler")
+    return training.order_series(training.scale(clean, scaler))
+
+
+#: Added before rounding, so that sums that are exact halves don't stand on its edge.
+OFF_EDGE = 0.0001234
+
+
+@query
+def window_moments(spark, sf_dir):
+    """What all models are solved from: sums of lagged products over the training windows."""
+    moments = windows.window_moments(_scaled_series(spark, sf_dir))
+    return moments.select(
+        "symbol", F.col("day").cast("string").alias("day"), "lag", "term",
+        *[fixed(F.col(t) + OFF_EDGE, 3).alias(t) for t in windows.TERMS])
+
+
+@query
+def fit_all_inputs(spark, sf_dir):
+    """Models on all inputs of a window, with how far they are from the least squares: not at all."""
+    series = _scaled_series(spark, sf_dir)
+    fitted = materialize(windows.fit_windows(series), "fitted")
+    used = training.build_sequences(series).where(windows.trained_range(None))
+    return windows.optimality(used, fitted).select(
+        "symbol", "inputs", "windows", fixed("residual").alias("residual"),
+        fixed("gradient").alias("gradient"))
+
+
 def _coarse(predictions: DataFrame) -> DataFrame:
     """Predictions to 3 digits: two fits of one line differ in the last bits."""
     return predictions.withColumns({
@@ -548,8 +573,8 @@ def fit_and_evaluate(spark, sf_dir):
 def score_batch(spark, sf_dir):
     fitted, scaler = registry.load_latest(spark, _trained_root(spark, sf_dir))
     ticks = features.order_ticks(market.latest_book_ticks(spark, sf_dir), features.CONTINUOUS)
-    windows = training.live_windows(ticks, convention="batch", scaler=scaler)
-    scored = models.score_windows(windows, fitted, scaler)
+    complete = training.live_windows(ticks, convention="batch", scaler=scaler)
+    scored = models.score_windows(complete, fitted, scaler)
     return _coarse(evaluate.prediction_records(scored, F.col("timestamp")))
 
 
@@ -620,8 +645,9 @@ def _run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFram
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def _stream(spark, sf_dir, flush: bool = False) -> DataFrame:
-    return ev.stream_events(spark, sf_dir, scratch_path(spark, "arriving"), flush)
+def _stream(spark, sf_dir, flush: bool = False, disorder: int = 0) -> DataFrame:
+    return ev.stream_events(
+        spark, sf_dir, scratch_path(spark, "arriving"), flush, disorder=disorder)
 
 
 @query
@@ -660,14 +686,19 @@ def stream_interval_join(spark, sf_dir):
     return _rounded(table.where(F.col("timestamp") < far))
 
 
+#: Places that events arrive out of order, and the lateness in milliseconds that covers them.
+DISORDER, COVERED = 100, 60_000
+
+
 @query
 def stream_features(spark, sf_dir):
-    base = _stream(spark, sf_dir)
+    """From shuffled arrivals; the rows are those of the batch run."""
+    base = _stream(spark, sf_dir, disorder=DISORDER)
     out = scratch_path(spark, "live-features")
     live.start_live(
         ev.trades_of(base),
         contract.conforming(ev.books_of(base), book_contract()),
-        live.feature_rows(), out, scratch_path(spark, "live"), AVAILABLE,
+        live.feature_rows(), out, scratch_path(spark, "live"), AVAILABLE, lateness=COVERED,
     ).awaitTermination()
     return _rounded(spark.read.parquet(out).drop("batch"))
 
@@ -680,7 +711,7 @@ def stream_scoring(spark, sf_dir):
     live.start_live(
         ev.trades_of(base), ev.books_of(base),
         live.prediction_rows(fitted, materialize(scaler, "scaler"), at=F.col("timestamp")),
-        out, scratch_path(spark, "live"), AVAILABLE,
+        out, scratch_path(spark, "live"), AVAILABLE, lateness=COVERED,
     ).awaitTermination()
     return _coarse(spark.read.parquet(out).drop("batch"))
 
@@ -716,3 +747,16 @@ def stream_last_points(spark, sf_dir):
         trades, types, view, scratch_path(spark, "view-offsets"), trigger=AVAILABLE
     ).awaitTermination()
     return _rounded(live.read_view(spark, view, types))
+
+
+@query
+def stream_chart(spark, sf_dir):
+    """The chart as both topics have left it; the flush is no part of it."""
+    base = _stream(spark, sf_dir, flush=True)
+    trades = contract.conforming(ev.trades_of(base), trade_contract())
+    records = evaluate.prediction_records(market.derived_predictions(trades), F.col("timestamp"))
+    points = chart.chart_points(trades, _some_later(records)).where(
+        F.col("t") < ev.START_MS + ev.FAR_EVENTS * ev.STEP_MS)
+    view = scratch_path(spark, "chart")
+    chart.start_chart(points, view, scratch_path(spark, "chart-offsets"), trigger=AVAILABLE).awaitTermination()
+    return _rounded(chart.read_chart(spark, view))

@@ -74,7 +74,7 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         folder = shared_folder(spark) + _scope.get()
         _scope.reset(token)
-        _delete(spark, folder)
+        delete_folder(spark, folder)
 
 
 def _hadoop(spark: SparkSession, folder: str):
@@ -83,11 +83,56 @@ def _hadoop(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete_folder(spark: SparkSession, folder: str) -> None:
     path, files = _hadoop(spark, folder)
     files.delete(path, True)
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path, files = _hadoop(spark, folder)
+    files.mkdirs(path)
+
+
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder but drafts; none if there is no such folder."""
+    path, files = _hadoop(spark, folder)
+    found = [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+    return [name for name in found if not name.startswith(".")]
+
+
+def write_text(spark: SparkSession, file: str, text: str) -> None:
+    """Write a small file at once: it is there with all its text or not at all."""
+    path, files = _hadoop(spark, file)
+    draft, _ = _hadoop(spark, f"{path.getParent()}/.{path.getName()}-{uuid.uuid4().hex[:8]}")
+    out = files.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(path, False)
+    files.rename(draft, path)
+
+
+def read_text(spark: SparkSession, file: str) -> str:
+    path, files = _hadoop(spark, file)
+    stream = files.open(path)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def files_arrive_in_order(spark: SparkSession, folder: str, apart: int = 1000) -> None:
+    """Set a table's files ``apart`` milliseconds apart in the order of their partitions.
+
+    A file stream takes files by their modification time, which one write leaves to chance.
+    """
+    path, files = _hadoop(spark, folder)
+    found = sorted((s for s in files.listStatus(path) if s.getPath().getName().startswith("part-")),
+                   key=lambda s: s.getPath().getName())
+    start = min((s.getModificationTime() for s in found), default=0)
+    for i, status in enumerate(found):
+        files.setTimes(status.getPath(), start + (i - len(found)) * apart, -1)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

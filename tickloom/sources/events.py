@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.numbers import computed_once
+from tickloom.session import files_arrive_in_order
 
 # --- fixed values: derivation of test streams ---
 START_MS = 1_704_067_200_000
@@ -44,28 +45,29 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_events(
     spark: SparkSession, sf_dir: str, folder: str, flush: bool = False,
-    files: int = 5, ahead: int = 50,
+    batches: int = 5, ahead: int = 50, disorder: int = 0,
 ) -> DataFrame:
-    """All events as a stream that arrives in ``files`` files under ``folder``, one a micro-batch.
+    """All events as a stream that arrives under ``folder`` in about ``batches`` micro-batches.
 
-    Books come ``ahead`` events before the trades of their time, as a topic that runs ahead. With
-    ``flush`` a last file repeats some events ``FAR_EVENTS`` later, which moves watermarks past
-    all others.
+    Books come ``ahead`` events before the trades of their time, as a topic that runs ahead, and
+    with ``disorder`` every event up to so many places later than its time. The arrivals are
+    written in as many files as a shuffle has partitions, at least one for each micro-batch. With ``flush``
+    the last of them repeats some events ``FAR_EVENTS`` later, which moves watermarks past all others.
     """
     events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
-    last = events.agg(F.max("event_id")).first()[0] or 0
     early = F.when(F.col("event_type").isin(*BOOK_EVENTS), F.lit(ahead)).otherwise(F.lit(0))
-    arrival = F.greatest(F.col("event_id") - early, F.lit(0))
-    part = F.least(F.floor(arrival * files / (last + 1)), F.lit(files - 1))
-    # A topic partition is in order, so each arrival is one file.
-    for i in range(files):
-        events.where(part == i).coalesce(1).write.mode("append").parquet(folder)
+    held = F.pmod(F.xxhash64("event_id"), F.lit(disorder + 1)) if disorder else F.lit(0)
+    arriving = events.withColumn("arrival", F.col("event_id") - early + held)
     if flush:
-        events.where(F.col("event_id") % 10 == 0) \
-            .withColumn("event_id", F.col("event_id") + FAR_EVENTS) \
-            .coalesce(1).write.mode("append").parquet(folder)
+        far = events.where(F.col("event_id") % 10 == 0).withColumn("event_id", F.col("event_id") + FAR_EVENTS)
+        arriving = arriving.unionByName(far.withColumn("arrival", F.col("event_id")))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    each = -(-partitions // batches)
+    arriving.repartitionByRange(each * batches, "arrival").sortWithinPartitions("arrival") \
+        .drop("arrival").write.parquet(folder)
+    files_arrive_in_order(spark, folder)
     return base_events(
-        spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
+        spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", each).parquet(folder)
     )
 
 

@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.models import latest_runs
+from tickloom.operators.windows import WindowModels
+from tickloom.session import folder_names, materialize
 
 
 def _table(root: str, name: str) -> str:
@@ -40,6 +42,19 @@ def save_models(models: dict[str, Model], root: str, run: str) -> None:
         model.write().overwrite().save(model_path(root, symbol, run))
 
 
+def save_coefficients(coefficients: DataFrame, root: str, run: str) -> DataFrame:
+    """Store the run's models of windows, a row for each symbol, and read them back."""
+    _write_run(coefficients, root, "coefficients", run)
+    return read_coefficients(coefficients.sparkSession, root).where(F.col("run_id") == run).drop("run_id")
+
+
+def read_coefficients(spark: SparkSession, root: str) -> DataFrame:
+    types = "symbol string, windows long, intercept double, weights array<double>, run_id string"
+    if "coefficients" not in folder_names(spark, f"{root}/models"):
+        return spark.createDataFrame([], types)
+    return spark.read.schema(types).parquet(_table(root, "coefficients"))
+
+
 def save_metrics(metrics: DataFrame, root: str, run: str) -> None:
     """Written last: a run is visible to scoring once its metrics exist."""
     _write_run(metrics, root, "metrics", run)
@@ -52,13 +67,14 @@ def read_metrics(spark: SparkSession, root: str) -> DataFrame:
     ).parquet(_table(root, "metrics"))
 
 
-def load_latest(spark: SparkSession, root: str) -> tuple[dict[str, Model], DataFrame]:
+def load_latest(spark: SparkSession, root: str) -> tuple[WindowModels, DataFrame]:
     """The latest model of every symbol that has one, and the scalers those models expect."""
-    latest = latest_runs(read_metrics(spark, root))
-    # One row per symbol of the contract.
-    models = {
+    latest = materialize(latest_runs(read_metrics(spark, root)), "latest-runs")
+    rows = materialize(read_coefficients(spark, root).join(latest, ["symbol", "run_id"]), "latest-models")
+    # What an estimator has fitted is a file of its own, one for a symbol.
+    fitted = {
         row["symbol"]: PipelineModel.load(model_path(root, row["symbol"], row["run_id"]))
-        for row in latest.toLocalIterator()
+        for row in latest.join(rows, ["symbol", "run_id"], "left_anti").toLocalIterator()
     }
     scaler = read_scaler(spark, root).join(latest, ["symbol", "run_id"]).drop("run_id")
-    return models, scaler
+    return WindowModels(rows.drop("run_id"), fitted), scaler

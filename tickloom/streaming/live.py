@@ -1,15 +1,17 @@
 """Live features and predictions: micro-batches that carry a small state from one to the next.
 
-The state of a symbol is its newest ticks, a fixed number, and the books that a later trade may
-still need: the last one up to its newest trade and all that are ahead of it. A micro-batch
-prepends them to its own rows and runs the batch operators, so a symbol with most of the traffic
-is spread over blocks here too; keyed Python state would give it one task.
-
-State and results are written under the batch number. A batch replayed after a failure finds the
-state of the batch before it and replaces its own first attempt.
+Events wait in a log until the watermark passes them (see ``reorder``), so they may arrive in any
+order. What comes out is in event order, and of the books before the watermark only the last of a
+symbol can still be needed. The state of a symbol is that book and its newest ticks, a fixed number.
+A micro-batch prepends them to its own rows and runs the batch operators, so a symbol with most of
+the traffic is spread over blocks here too; keyed Python state would give it one task.
+
+State and results are written under the number of the step, a micro-batch or the end of a bounded
+run. A micro-batch replayed after a failure finds the state of the step before it and replaces its own
+first attempt.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +26,9 @@ from tickloom.operators.ordered import Ordered
 from tickloom.operators.recent import most_recent
 from tickloom.operators.training import live_windows
 from tickloom.schemas import BOOK_MATCH_COLS, LONGEST_LAG, SEQUENCE_LENGTH, SYMBOLS, VIEW_POINTS
-from tickloom.session import materialize, scratch_scope
+from tickloom.session import folder_names, make_folder, materialize, scratch_scope
 from tickloom.streaming.events import latest_prices
+from tickloom.streaming.reorder import CLOCK, RETENTION, Reorder
 
 TICK_COLS = [
     "symbol", "timestamp", "price", "size", "trade_id", "book_timestamp", "spread",
@@ -41,6 +44,8 @@ CARRIED_TICKS = SEQUENCE_LENGTH + LONGEST_LAG - 1
 NEW = "is_new"
 BATCH = "_batch"
 POINTS = "points"
+#: How far behind the newest trade events may arrive on a live run, in milliseconds.
+LATENESS = 10_000
 
 
 def tagged_events(trades: DataFrame, books: DataFrame) -> DataFrame:
@@ -57,13 +62,14 @@ def tagged_events(trades: DataFrame, books: DataFrame) -> DataFrame:
 
 
 def merge_batch(
-    events: DataFrame, old_ticks: DataFrame, old_books: DataFrame
+    events: DataFrame, old_ticks: DataFrame, old_books: DataFrame, settled: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """New ticks with their latest book, late events, and the books to carry on.
 
     A trade older than the newest tick already emitted for its symbol is late: it goes to a side
-    table and does not change what was emitted. Book topics may run ahead of trade topics: books
-    newer than a symbol's last trade all stay, of the others the last.
+    table and does not change what was emitted. Books newer than a symbol's last trade all stay, of
+    the others the last. Later trades come at ``settled`` or after it, so of the books before that
+    time too only the last stays.
     """
     seen = old_ticks.groupBy("symbol").agg(F.max("timestamp").alias("_seen"))
     dated = events.join(seen, "symbol", "left")
@@ -79,6 +85,8 @@ def merge_batch(
     emitted = seen.unionByName(trades.select("symbol", F.col("timestamp").alias("_seen"))) \
         .groupBy("symbol").agg(F.max("_seen").alias("_last"))
     placed = books.join(emitted, "symbol", "left")
+    if settled is not None:
+        placed = placed.withColumn("_last", F.greatest("_last", F.lit(settled - 1)))
     ahead = placed.where(F.col("_last").isNull() | (F.col("timestamp") > F.col("_last")))
     record = F.struct("timestamp", *BOOK_MATCH_COLS)
     reached = placed.where(F.col("timestamp") <= F.col("_last")) \
@@ -168,18 +176,27 @@ After = Callable[[DataFrame, int], object]
 
 def advance(
     events: DataFrame, batch_id: int, state: LiveState, out: str, late_out: str, emit: Emit,
-    after: After | None = None,
+    after: After | None = None, behind: DataFrame | None = None, settled: int | None = None,
 ) -> None:
     """Process one micro-batch: write its results and late events, then the state after it.
 
-    ``after`` gets the written results and the batch number, before the state moves on.
+    ``after`` gets the written results and the batch number, before the state moves on. ``behind``
+    are trades that are late already, ``settled`` the time before which no trade will come.
     """
     spark = events.sparkSession
     with scratch_scope(spark):
-        events = materialize(events, "events")
+        if behind is None:  # else they lie in the log
+            events = materialize(events, "events")
         old_ticks = state.read(batch_id - 1, "ticks", TICK_TYPES)
         old_books = state.read(batch_id - 1, "books", BOOK_TYPES)
-        merged, late, books = merge_batch(events, old_ticks, old_books)
+        if behind is not None and events.isEmpty():
+            _write_batch(behind, late_out, batch_id)
+            state.write(batch_id, "ticks", old_ticks)
+            state.write(batch_id, "books", old_books)
+            return
+        merged, late, books = merge_batch(events, old_ticks, old_books, settled)
+        if behind is not None:
+            late = late.unionByName(behind)
         ticks = materialize(
             old_ticks.withColumn(NEW, F.lit(False)).unionByName(
                 merged.withColumn(NEW, F.lit(True))
@@ -203,7 +220,7 @@ def feature_rows(convention: str = "batch") -> Emit:
 
 
 def prediction_rows(
-    models: dict[str, Model], scaler: DataFrame, convention: str = "batch",
+    models: Mapping[str, Model], scaler: DataFrame, convention: str = "batch",
     at: Column | None = None,
 ) -> Emit:
     """Score every tick that completes a window; ``at`` defaults to the wall clock."""
@@ -217,6 +234,23 @@ def prediction_rows(
     return emit
 
 
+class LiveQuery:
+    """A running live query; a bounded one lets out what still waits when it ends."""
+
+    def __init__(self, query: StreamingQuery, finish: Callable[[], None] | None):
+        self._query, self._finish = query, finish
+
+    def awaitTermination(self, timeout: int | None = None) -> bool | None:  # noqa: N802 - as Spark's
+        ended = self._query.awaitTermination(timeout)
+        if self._finish is not None and (timeout is None or ended):
+            finish, self._finish = self._finish, None
+            finish()
+        return ended
+
+    def __getattr__(self, name: str):
+        return getattr(self._query, name)
+
+
 def start_live(
     trades: DataFrame,
     books: DataFrame,
@@ -225,18 +259,50 @@ def start_live(
     checkpoint: str,
     trigger: dict | None = None,
     after: After | None = None,
-) -> StreamingQuery:
-    """Run ``emit`` on every micro-batch of both streams; results go to ``out/batch=<n>``."""
+    lateness: int | None = None,
+    patience: int | None = None,
+    retention: int = RETENTION,
+) -> LiveQuery:
+    """Run ``emit`` on both streams in event order; results go to ``out/batch=<step>``.
+
+    Events may arrive in any order within ``lateness`` milliseconds; trades that come later go to
+    ``out-late``. By default it is ``LATENESS``, and for a bounded trigger all that the run finds:
+    its results then come at its end, when ``awaitTermination`` returns. Books that run more than
+    ``retention`` ahead of the trades stop waiting for them. With a ``patience`` what still waits comes
+    out after so many milliseconds without any event; the clock for that is one more source, so it
+    is to be given on every start with the same checkpoint, or on none.
+    """
     spark = trades.sparkSession
+    trigger = trigger or {"processingTime": "1 second"}
+    bounded = bool(trigger.get("availableNow") or trigger.get("once"))
     state = LiveState(spark, f"{checkpoint}/live-state")
+    order = Reorder(state, lateness if bounded or lateness is not None else LATENESS, patience, retention)
+    ends = f"{checkpoint}/live-ends"
+    events = tagged_events(trades, books)
+    if patience is not None:
+        beat = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+        events = events.unionByName(beat.select(
+            F.lit(CLOCK).alias("kind"), F.unix_millis("timestamp").alias("timestamp")), allowMissingColumns=True)
+
+    def step(number: int, ready: DataFrame, marks, late: DataFrame) -> None:
+        advance(ready, number, state, out, f"{out}-late", emit, after, late, marks.released)
+        order.commit(number, marks)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        advance(batch, batch_id, state, out, f"{out}-late", emit, after)
-
-    return (
-        tagged_events(trades, books)
-        .writeStream.foreachBatch(process)
-        .option("checkpointLocation", f"{checkpoint}/offsets")
-        .trigger(**(trigger or {"processingTime": "1 second"}))
-        .start()
-    )
+        # The ends of bounded runs are steps too, so that each step follows the one before it.
+        number = batch_id + sum(int(name) < batch_id for name in folder_names(spark, ends))
+        ready, late, marks = order.take(batch, number)
+        step(number, ready, marks, late)
+
+    def finish() -> None:
+        last = order.last_step()
+        if last < 0:
+            return
+        ready, marks = order.drain(last + 1, events.schema)
+        if not ready.isEmpty():
+            step(last + 1, ready, marks, ready.limit(0))
+            make_folder(spark, f"{ends}/{last - len(folder_names(spark, ends))}")
+
+    query = events.writeStream.foreachBatch(process) \
+        .option("checkpointLocation", f"{checkpoint}/offsets").trigger(**trigger).start()
+    return LiveQuery(query, finish if bounded else None)

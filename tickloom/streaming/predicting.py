@@ -1,5 +1,7 @@
 """Topics to predictions: both topics, their contracts, live scoring, and the prediction topic."""
 
+from collections.abc import Mapping
+
 from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -21,7 +23,7 @@ def valid_topic(
 def start_predicting(
     spark: SparkSession,
     location: str,
-    models: dict[str, Model],
+    models: Mapping[str, Model],
     scaler: DataFrame,
     out: str,
     checkpoint: str,

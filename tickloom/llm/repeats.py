@@ -388,7 +388,8 @@ def without_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM, block
     k1, k2 = text_key(F.col("text"))
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
         .withColumns({"t1": k1, "t2": k2})
-    spans = repeated_spans(rows.drop("doc_id"), least, gram, block_bytes).groupBy("t1", "t2") \
-        .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    # Stored before the join, so that Spark can split the rows of a text that many documents have.
+    spans = materialize(repeated_spans(rows.drop("doc_id"), least, gram, block_bytes).groupBy("t1", "t2")
+                        .agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
     with arrow_rows(docs.sparkSession, BATCH_ROWS):
         return materialize(rows.join(spans, ["t1", "t2"], "left").select("doc_id", "text", "spans").mapInArrow(_keep, _KEPT), "kept")

@@ -1,3 +1,6 @@
+import shutil
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,9 +11,9 @@ from tickloom.operators.features import BY_DATE, build_features, order_ticks
 from tickloom.operators.joins import band_join
 from tickloom.operators.quality import expectations, join_quality, layer_size, profile
 from tickloom.plans import daily, gates
-from tickloom.session import shared_folder
+from tickloom.session import create_text, shared_folder
 from tickloom.schemas import BOOK_TOPIC, FEATURE_COLS, TRADE_TOPIC
-from tickloom.sources import lake, registry
+from tickloom.sources import footers, lake, registry, versions
 from tickloom.sources.events import books_of, read_events, trades_of, with_copies
 from tickloom.streaming.landing import route, write_routed
 
@@ -164,3 +167,87 @@ def test_reports(spark, root, report):
     failed = expectations(lake.read_layer(spark, root, daily.FEATURES, DATE)).where("not passed")
     with pytest.raises(gates.GateError, match="btc_rows_at_least"):
         gates.expectations_met(failed)
+
+
+def test_a_run_that_fails_a_gate_leaves_what_was_there(spark, root, report, monkeypatch):
+    before = {layer: sorted(map(str, lake.read_layer(spark, root, layer, DATE).collect()))
+              for layer in (daily.merged_layer(TRADE_TOPIC), daily.JOINED, daily.FEATURES)}
+    held = lake.read_layer(spark, root, daily.FEATURES, DATE)  # a reader that is still at it
+
+    def fails(df):
+        raise gates.GateError("not good enough")
+    monkeypatch.setattr(gates, "feature_columns_present", fails)
+    extra = '{"symbol":"BTCUSDT","price":9.5,"size":1,"timestamp":1704067200001,"trade_id":99999999}'
+    at = F.timestamp_seconds(F.lit(1_704_067_200))
+    lines = spark.createDataFrame([(extra,)], "value string").withColumn("ingested_at", at)
+    write_routed(route(lines, TRADE_TOPIC), root, "q-extra")
+    try:
+        with pytest.raises(gates.GateError):
+            daily.run_daily(spark, root, DATE)
+        for layer, rows in before.items():
+            assert sorted(map(str, lake.read_layer(spark, root, layer, DATE).collect())) == rows
+        monkeypatch.undo()
+        daily.run_daily(spark, root, DATE)
+        assert lake.read_layer(spark, root, daily.merged_layer(TRADE_TOPIC), DATE).where("trade_id = 99999999").count() == 1
+        assert sorted(map(str, held.collect())) == before[daily.FEATURES]
+    finally:
+        shutil.rmtree(next(Path(root).rglob("batch=q-extra")))
+
+
+def test_old_versions_go_and_two_writers_do_not_meet(spark, tmp_path):
+    root = str(tmp_path)
+    for i in range(5):
+        lake.write_date(spark.range(i, i + 1), root, "layer", DATE)
+        lake.write_table(spark.range(i), root, "table")
+    assert [r["id"] for r in lake.read_layer(spark, root, "layer", DATE).collect()] == [4]
+    assert lake.read_layer(spark, root, "table").count() == 4
+    assert len(list((tmp_path / "layer" / f"date={DATE}").iterdir())) == versions.KEPT
+    assert lake.read_layer(spark, root, "layer", "2030-01-01").isEmpty()
+    path = lake.layer_path(root, "layer")
+    assert not create_text(spark, f"{path}/_manifest/{versions.manifest(spark, path).number:08d}", "{}")
+
+
+@pytest.mark.parametrize("whole_first", [False, True])
+def test_landed_files_are_merged_as_they_come(spark, tmp_path, whole_first):
+    """The second landing reads new files alone: the first ones are gone by then."""
+    root, base = str(tmp_path), read_events(spark, "/root/testdata/sf0.001")
+    trades = with_copies(trades_of(base), "trade_id")
+    at = F.timestamp_seconds(F.lit(1_704_067_200))
+    layer = daily.merged_layer(TRADE_TOPIC)
+    for i in range(3):  # the parts overlap by a third
+        part = trades.where(F.col("trade_id") % 3 != i)
+        messages = part.select(F.to_json(F.struct("*")).alias("value"), at.alias("ingested_at"))
+        write_routed(route(messages, TRADE_TOPIC), root, f"q-{i}")
+        if whole_first and not i:
+            daily.merge_topic(spark, root, TRADE_TOPIC, DATE)
+        else:
+            assert daily.merge_landed(spark, root, TRADE_TOPIC, DATE)["files"] == 1
+        # What has been merged is not read again.
+        for file in Path(lake.raw_day_path(root, TRADE_TOPIC, DATE)).rglob("*.txt"):
+            file.write_text("gone")
+            (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    found = lake.read_layer(spark, root, layer, DATE).drop("date")
+    known = trades.where(F.col("symbol").isin("BTCUSDT", "ETHUSDT", "SOLUSDT"))
+    wanted = valid_records(check(known, trade_contract())).dropDuplicates()
+    assert found.exceptAll(wanted.select(*found.columns)).count() == 0 and found.count() == wanted.count()
+    assert daily.merge_landed(spark, root, TRADE_TOPIC, DATE)["files"] == 0
+    assert lake.seen_hashes(spark, root, layer, DATE).count() == found.count()
+
+
+def test_footers_tell_what_a_scan_tells(spark, root, report):
+    layer = lake.read_layer(spark, root, daily.JOINED, DATE).drop("date")
+    folders = lake.layer_folders(spark, root, daily.JOINED, DATE)
+    scanned = {r["column"]: r for r in profile(layer).collect()}
+    told = {r["column"]: r for r in footers.footer_profile(spark, folders).collect()}
+    assert set(told) == set(scanned) and told["top_bid_price"]["nulls"] > 0
+    for column, row in told.items():
+        assert (row["rows"], row["nulls"], row["type"]) == tuple(scanned[column][k] for k in ("rows", "nulls", "type"))
+    bounds = layer.agg(F.min("timestamp"), F.max("timestamp")).first()
+    assert (told["timestamp"]["least"], told["timestamp"]["most"]) == tuple(map(str, bounds))
+    plan = footers.footer_aggregates(spark, folders, layer.schema)._jdf.queryExecution().executedPlan().toString()
+    # The scan reads counts and bounds, not columns.
+    assert "ReadSchema: struct<count(*):bigint,count(symbol):bigint" in plan
+    gates.columns_filled(spark, root, daily.JOINED, ["symbol", "price"], DATE)
+    with pytest.raises(gates.GateError, match="top_bid_price"):
+        gates.columns_filled(spark, root, daily.JOINED, ["top_bid_price"], DATE)
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"

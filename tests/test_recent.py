@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.operators import recent
 from tickloom.operators.recent import latest_value, most_recent, newest
 from tickloom.operators.views import chart
 
@@ -22,6 +23,35 @@ def test_most_recent_against_brute_force(spark, n):
     assert sorted((r["id"]) for r in got) == sorted(d[2] for d in wanted)
 
 
+@pytest.mark.parametrize("n, spare", [(1, 1), (7, 3), (50, 20), (700, 10)])
+def test_crowded_slices_are_cut_finer(spark, n, spare, monkeypatch):
+    """All rows lie within one slice, many in one second or one millisecond; negative times too."""
+    rng = random.Random(n)
+    data = [(rng.choice("ab"), rng.choice([-5, 5, 4000 + rng.randrange(40), 5000 + rng.randrange(2000)]), i)
+            for i in range(1500)] + [("none", None, i) for i in range(2000, 2060)] + [(None, 7, 3000)]
+    df = spark.createDataFrame(data, "symbol string, timestamp long, id long").repartition(7)
+    got = most_recent(df, n, order=("timestamp", "id"), spare=spare)
+    wanted = []
+    for symbol in {d[0] for d in data}:
+        mine = [d for d in data if d[0] == symbol]
+        mine.sort(key=lambda d: (d[1] is not None, d[1] or 0, d[2]), reverse=True)
+        wanted += mine[:n]
+    assert sorted(r["id"] for r in got.collect()) == sorted(d[2] for d in wanted)
+
+
+def test_what_is_ranked_does_not_grow_with_a_slice(spark):
+    df = spark.range(30_000).select(F.lit("s").alias("symbol"), F.col("id").alias("timestamp"), "id")
+    cut = recent._cut(df, 5, "symbol", F.col("timestamp"), recent.SLICE_MS, 100).first()
+    assert df.where(F.col("timestamp") >= cut["start"]).count() <= 5 + 100
+
+
+def test_one_stale_key_does_not_bring_back_the_others(spark):
+    df = spark.createDataFrame(
+        [("new", t, t) for t in range(10_000_000, 10_000_050)] + [("old", 5, 1)], "symbol string, timestamp long, id long")
+    cut = recent._cut(df, 2, "symbol", F.col("timestamp"), 10, 1)
+    assert recent._above_floors(df, cut, "symbol", F.col("timestamp")).count() == 3
+
+
 def test_most_recent_of_equal_rows(spark):
     df = spark.range(1000, numPartitions=8).select(
         F.lit("s").alias("symbol"), F.lit(7).cast("long").alias("timestamp")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.contract import valid_records
-from tickloom.operators.dedup import drop_exact_duplicates
+from tickloom.operators.dedup import drop_exact_duplicates, unseen, with_hashes
 from tickloom.operators.features import CONTINUOUS, build_features, order_ticks
 from tickloom.operators.joins import band_join
 from tickloom.operators.models import (
@@ -25,7 +25,7 @@ from tickloom.plans import gates
 from tickloom.schemas import (
     BOOK_TOPIC, ROWS_PER_SYMBOL, SEQUENCE_LENGTH, SYMBOLS, TRADE_TOPIC, TRAIN_SHARE,
 )
-from tickloom.session import materialize, scratch_scope
+from tickloom.session import folder_names, materialize, scratch_scope
 from tickloom.sources import lake, registry
 
 MERGED = "merged"
@@ -39,43 +39,92 @@ def merged_layer(topic: str) -> str:
     return f"{MERGED}/{topic}"
 
 
+def _merged(lines: DataFrame, topic: str):
+    """Records of landed lines without exact copies, and their counts once they are written."""
+    checked = lake.checked_lines(lines, topic)
+    seen = Observation(f"lines {topic}")
+    checked = checked.observe(seen, F.count_if(~F.col("valid")).alias("unreadable"))
+    merged, counts = observed_step(valid_records(checked), drop_exact_duplicates, f"merge {topic}")
+    return merged, lambda: counts() | {"unreadable": seen.get["unreadable"]}
+
+
+def _staged_merge(spark: SparkSession, root: str, topic: str, date: str):
+    batches = folder_names(spark, lake.raw_day_path(root, topic, date))
+    merged, counts = _merged(lake.read_raw_lines(spark, root, topic, date), topic)
+    return lake.Staged(merged, root, merged_layer(topic), date), batches, counts
+
+
 def merge_topic(spark: SparkSession, root: str, topic: str, date: str) -> dict[str, int]:
     """Raw records of a day without exact copies; row counts come from the write itself.
 
     ``unreadable`` counts the landed lines that are no record, such as lines cut short.
     """
-    lines = lake.checked_lines(lake.read_raw_lines(spark, root, topic, date), topic)
-    seen = Observation(f"lines {topic}")
-    lines = lines.observe(seen, F.count_if(~F.col("valid")).alias("unreadable"))
-    merged, counts = observed_step(valid_records(lines), drop_exact_duplicates, f"merge {topic}")
-    lake.write_date(merged, root, merged_layer(topic), date)
-    return counts() | {"unreadable": seen.get["unreadable"]}
+    staged, batches, counts = _staged_merge(spark, root, topic, date)
+    staged.publish(batches=batches)
+    return counts()
+
+
+def merge_landed(spark: SparkSession, root: str, topic: str, date: str) -> dict[str, int]:
+    """Add what has landed since the last merge of the day; ``files`` counts the batches looked at.
+
+    Only their files are read. Their rows are compared with the hashes of the rows that the layer has
+    already, which are made once if a whole merge came before. The result is that of ``merge_topic``.
+    """
+    layer = merged_layer(topic)
+    batches = lake.new_batches(spark, root, topic, date, layer)
+    if not batches:
+        return {"files": 0, "rows_before": 0, "rows_after": 0, "dropped": 0, "unreadable": 0, "added": 0}
+    with scratch_scope(spark):
+        rows, counts = _merged(lake.read_landed(spark, root, topic, date, batches), topic)
+        hashed = materialize(with_hashes(rows), "landed")
+        seen = lake.seen_hashes(spark, root, layer, date)
+        if seen is None:
+            seen = _first_hashes(spark, root, layer, date)
+        fresh = materialize(hashed if seen is None else unseen(hashed, seen), "fresh")
+        lake.append_landed(fresh.drop("h1", "h2"), fresh.select("h1", "h2"), root, layer, date, batches)
+        return counts() | {"files": len(batches), "added": fresh.count()}
+
+
+def _first_hashes(spark: SparkSession, root: str, layer: str, date: str) -> DataFrame | None:
+    """Hashes of the rows that a whole merge has left, kept from now on; none for a new date."""
+    if not lake.has_date(spark, root, layer, date):
+        return None
+    rows = lake.read_layer(spark, root, layer, date).drop("date")
+    return lake.keep_hashes(with_hashes(rows).select("h1", "h2"), root, layer, date)
 
 
 def run_daily(spark: SparkSession, root: str, date: str) -> dict[str, dict[str, int]]:
-    """Raw to features for one date. Rerunning a date replaces it in every layer."""
+    """Raw to features for one date. Rerunning a date replaces it in every layer.
+
+    Each stage's tables are written aside and pass their gates before readers see them, so a run that
+    fails leaves what was there.
+    """
     with scratch_scope(spark):
         return _run_daily(spark, root, date)
 
 
 def _run_daily(spark: SparkSession, root: str, date: str) -> dict[str, dict[str, int]]:
-    report = {}
+    report, staged = {}, {}
     for topic in (TRADE_TOPIC, BOOK_TOPIC):
         gates.raw_files_exist(spark, root, topic, date)
     for topic in (TRADE_TOPIC, BOOK_TOPIC):
-        report[topic] = merge_topic(spark, root, topic, date)
-    for topic in (TRADE_TOPIC, BOOK_TOPIC):
-        gates.layer_has_rows(spark, root, merged_layer(topic), date)
-
-    trades = lake.read_layer(spark, root, merged_layer(TRADE_TOPIC), date)
-    books = lake.read_layer(spark, root, merged_layer(BOOK_TOPIC), date)
+        table, batches, counts = _staged_merge(spark, root, topic, date)
+        report[topic] = counts()
+        staged[topic] = (table, batches)
+    for topic, (table, _) in staged.items():
+        gates.has_rows(table.read(), f"layer {merged_layer(topic)} for {date}")
+    trades, books = (staged[topic][0].read().drop("date") for topic in (TRADE_TOPIC, BOOK_TOPIC))
     ticks = order_ticks(band_join(trades, books), CONTINUOUS)
-    lake.write_date(ticks.rows(), root, JOINED, date)
+    joined = lake.Staged(ticks.rows(), root, JOINED, date)
     features, counted = observed(build_features(ticks), "features")
     gates.feature_columns_present(features)
-    lake.write_date(features, root, FEATURES, date)
+    daily = lake.Staged(features, root, FEATURES, date)
     report[FEATURES] = {"rows": counted.get["rows"]}
-    gates.layer_has_rows(spark, root, FEATURES, date)
+    gates.has_rows(daily.read(), f"layer {FEATURES} for {date}")
+    for table, batches in staged.values():
+        table.publish(batches=batches)
+    joined.publish()
+    daily.publish()
     return report
 
 

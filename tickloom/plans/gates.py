@@ -6,7 +6,8 @@ from pyspark.sql.utils import AnalysisException
 
 from tickloom.operators.quality import layer_size, missing_columns
 from tickloom.schemas import FEATURE_COLS
-from tickloom.sources.lake import layer_path, raw_day_path, read_layer
+from tickloom.sources.footers import footer_profile, footer_rows
+from tickloom.sources.lake import layer_folders, layer_path, raw_day_path, read_layer
 
 MIN_TRAINING_BYTES = 1024
 
@@ -30,14 +31,29 @@ def raw_files_exist(spark: SparkSession, root: str, topic: str, date: str) -> in
 
 
 def layer_has_rows(spark: SparkSession, root: str, layer: str, date: str | None = None) -> None:
+    """Of a layer with versions the footers tell, others are looked into."""
+    folders = layer_folders(spark, root, layer, date)
     try:
-        empty = read_layer(spark, root, layer, date).isEmpty()
+        empty = footer_rows(spark, folders) == 0 if folders else read_layer(spark, root, layer, date).isEmpty()
     except AnalysisException:
         empty = True
     if empty:
         raise GateError(f"layer {layer} has no rows" + (f" for {date}" if date else ""))
 
 
+def columns_filled(spark: SparkSession, root: str, layer: str, columns: list[str], date: str | None = None) -> None:
+    """No null in the columns, by the footers of the layer's files."""
+    profile = footer_profile(spark, layer_folders(spark, root, layer, date))
+    gaps = {r["column"]: r["nulls"] for r in profile.collect() if r["column"] in columns and r["nulls"]}
+    if gaps:
+        raise GateError(f"layer {layer} has nulls: {gaps}")
+
+
+def has_rows(rows: DataFrame, name: str) -> None:
+    if rows.isEmpty():
+        raise GateError(f"{name} has no rows")
+
+
 def feature_columns_present(df: DataFrame) -> None:
     missing = missing_columns(df, ["symbol", *FEATURE_COLS])
     if missing:

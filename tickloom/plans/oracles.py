@@ -641,4 +641,13 @@ def all_oracles() -> dict[str, str]:
                    max("timestamp") as "timestamp" from vtrades group by 1""",
     }
     bodies["stream_chart"] = bodies["chart_outer_join"]
+    bodies["stream_resend"] = bodies["stream_publish"]
+    bodies["dedup_incremental"] = f"select {_TRADE_SCALARS} from vtrades"
+    bodies["footer_profile"] = "\n union all ".join(
+        f"""select '{c}' as column, '{kind}' as type, count(*) as rows, count(*) - count({c}) as nulls,
+                   {f"min({c})::varchar" if bounded else "null"} as least,
+                   {f"max({c})::varchar" if bounded else "null"} as most from joined"""
+        for c, kind, bounded in (
+            ("symbol", "string", False), ('"timestamp"', "bigint", True), ("price", "double", False),
+            ("top_bid_price", "double", False), ("trade_id", "bigint", True))).replace("'\"timestamp\"'", "'timestamp'")
     return {name: _with(body) for name, body in bodies.items()}

@@ -18,7 +18,7 @@ from tickloom.schemas import (
 )
 from tickloom.session import materialize, scratch_path
 from tickloom.sources import events as ev
-from tickloom.sources import lake, registry
+from tickloom.sources import footers, lake, registry
 from tickloom.streaming import events as stream_ops
 from tickloom.streaming import chart, landing, live
 
@@ -618,6 +618,30 @@ def merge_raw_day(spark, sf_dir):
         "unreadable", F.lit(report["unreadable"]).cast("long"))
 
 
+@query
+def dedup_incremental(spark, sf_dir):
+    """The merged layer after three landings that repeat each other's records, merged one by one."""
+    root = scratch_path(spark, "lake")
+    day = F.timestamp_millis(F.lit(ev.START_MS))
+    trades = ev.with_copies(ev.trades_of(ev.read_events(spark, sf_dir)), "trade_id")
+    for i in range(3):
+        part = trades.where(F.col("trade_id") % 3 != i)
+        sent = part.select(F.to_json(F.struct("*")).alias("value"), day.alias("ingested_at"))
+        landing.write_routed(landing.route(sent, TRADE_TOPIC), root, f"q-{i}")
+        daily.merge_landed(spark, root, TRADE_TOPIC, DATE)
+    merged = lake.read_layer(spark, root, daily.merged_layer(TRADE_TOPIC), DATE)
+    return _rounded(merged.select(*TRADE.names))
+
+
+@query
+def footer_profile(spark, sf_dir):
+    """Rows, nulls and bounds of the joined layer's columns from the footers of its files."""
+    root = scratch_path(spark, "lake")
+    lake.write_table(market.joined(spark, sf_dir).drop("date"), root, daily.JOINED)
+    found = footers.footer_profile(spark, lake.layer_folders(spark, root, daily.JOINED))
+    return found.where(F.col("column").isin("symbol", "timestamp", "price", "top_bid_price", "trade_id"))
+
+
 @query
 def daily_layers(spark, sf_dir):
     """Rows of every layer after the daily run, which passed its gates."""
@@ -730,6 +754,26 @@ def stream_publish(spark, sf_dir):
     return _rounded(sent.select(F.from_json("value", records.schema).alias("r")).select("r.*"))
 
 
+@query
+def stream_resend(spark, sf_dir):
+    """Predictions through a topic that fails twice, then all of them once."""
+    trades = contract.conforming(ev.trades_of(_stream(spark, sf_dir)), trade_contract())
+    records = evaluate.prediction_records(market.derived_predictions(trades), F.col("timestamp"))
+    topics, errors, failures = scratch_path(spark, "topics"), scratch_path(spark, "errors"), iter([1, 2])
+
+    def sink(messages: DataFrame, batch_id: int) -> None:
+        if next(failures, None):
+            raise OSError("the topic is away")
+        messages.select("value").write.mode("overwrite").text(f"{topics}/batch={batch_id}")
+
+    landing.start_publishing(
+        records, "", PREDICTION_TOPIC, errors, scratch_path(spark, "publishing"), sink, AVAILABLE,
+    ).awaitTermination()
+    landing.resend(spark, "", PREDICTION_TOPIC, errors, sink)
+    sent = spark.read.text(topics)
+    return _rounded(sent.select(F.from_json("value", records.schema).alias("r")).select("r.*"))
+
+
 @query
 def stream_latest_price(spark, sf_dir):
     trades = contract.conforming(ev.trades_of(_stream(spark, sf_dir)), trade_contract())

@@ -100,15 +100,24 @@ def folder_names(spark: SparkSession, folder: str) -> list[str]:
     return [name for name in found if not name.startswith(".")]
 
 
-def write_text(spark: SparkSession, file: str, text: str) -> None:
-    """Write a small file at once: it is there with all its text or not at all."""
+def create_text(spark: SparkSession, file: str, text: str) -> bool:
+    """Create a small file at once, with all its text or not at all; False if there is one already."""
     path, files = _hadoop(spark, file)
     draft, _ = _hadoop(spark, f"{path.getParent()}/.{path.getName()}-{uuid.uuid4().hex[:8]}")
     out = files.create(draft, True)
     out.write(bytearray(text.encode()))
     out.close()
+    created = not files.exists(path) and files.rename(draft, path)
+    if not created:
+        files.delete(draft, False)
+    return created
+
+
+def write_text(spark: SparkSession, file: str, text: str) -> None:
+    """``create_text`` in the place of whatever was there."""
+    path, files = _hadoop(spark, file)
     files.delete(path, False)
-    files.rename(draft, path)
+    create_text(spark, file, text)
 
 
 def read_text(spark: SparkSession, file: str) -> str:

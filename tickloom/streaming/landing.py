@@ -1,5 +1,7 @@
 """Topics to the raw zone of the lake, violations to its error zone."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -7,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.functions.contracts import contract_for
 from tickloom.functions.numbers import event_date
 from tickloom.operators.contract import check_json, error_text
+from tickloom.session import folder_names, read_text, write_text
 from tickloom.sources.lake import ERRORS, RAW, read_topic
 
 FLUSH_RECORDS = 1000
@@ -97,29 +100,51 @@ def start_topic_landing(
     return start_landing(stream, topic, root, checkpoint, trigger)
 
 
-def publish(
-    records: DataFrame, location: str, topic: str, connector: str = "kafka", batch_id: int = 0
-) -> None:
-    """Write one batch of records to a topic as JSON values.
+Sink = Callable[[DataFrame, int], None]
 
-    A file topic has a folder for each batch, so a batch that is sent again replaces itself.
+
+def _send(messages: DataFrame, location: str, topic: str, connector: str | Sink, batch_id: int) -> None:
+    """Write ``key`` and ``value`` of one batch to a topic.
+
+    A file topic has a folder for each batch, so a batch that is sent again replaces itself; elsewhere
+    the keys tell what has been sent before.
     """
-    values = records.select(F.to_json(F.struct("*")).alias("value"))
-    if connector == "kafka":
+    if callable(connector):
+        connector(messages, batch_id)
+    elif connector == "kafka":
         (
-            values.write.format("kafka").option("kafka.bootstrap.servers", location)
+            messages.write.format("kafka").option("kafka.bootstrap.servers", location)
             .option("topic", topic).option("kafka.acks", "all").option("kafka.retries", "5")
             .save()
         )
     else:
-        values.write.mode("overwrite").text(f"{location}/{topic}/batch={batch_id}")
+        messages.select("value").write.mode("overwrite").text(f"{location}/{topic}/batch={batch_id}")
+
+
+def _keyed(values: DataFrame, batch_id: int) -> DataFrame:
+    """``key`` and ``value``: the same record of the same batch has the same key however often it is sent."""
+    return values.select(F.concat(F.lit(f"{batch_id}-"), F.sha2("value", 256)).alias("key"), "value")
+
+
+def publish(
+    records: DataFrame, location: str, topic: str, connector: str | Sink = "kafka", batch_id: int = 0
+) -> None:
+    """Write one batch of records to a topic as JSON values.
+
+    ``connector`` is ``"kafka"``, ``"files"``, or a function of the messages and the batch number.
+    """
+    values = records.select(F.to_json(F.struct("*")).alias("value"))
+    _send(_keyed(values, batch_id), location, topic, connector, batch_id)
 
 
 def publish_or_keep(
-    records: DataFrame, location: str, topic: str, errors: str, connector: str = "kafka",
+    records: DataFrame, location: str, topic: str, errors: str, connector: str | Sink = "kafka",
     batch_id: int = 0,
 ) -> bool:
-    """Publish a batch; if that fails after Spark's task retries, keep it in an error table."""
+    """Publish a batch; if that fails after Spark's task retries, keep it in an error table.
+
+    The table is an outbox: ``resend`` sends what it keeps as soon as the topic takes it.
+    """
     try:
         publish(records, location, topic, connector, batch_id)
         return True
@@ -132,19 +157,49 @@ def publish_or_keep(
             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
             .alias("timestamp"),
         ).write.mode("overwrite").parquet(f"{errors}/batch={batch_id}")
+        write_text(records.sparkSession, f"{errors}/_attempts/{batch_id}", "1")
         return False
 
 
+def waiting(spark: SparkSession, errors: str) -> list[int]:
+    """Batches of an error table that have not been sent yet."""
+    kept = {int(name.removeprefix("batch=")) for name in folder_names(spark, errors) if name.startswith("batch=")}
+    return sorted(kept - {int(name) for name in folder_names(spark, f"{errors}/_sent")})
+
+
+def resend(
+    spark: SparkSession, location: str, topic: str, errors: str, connector: str | Sink = "kafka"
+) -> list[int]:
+    """Send what an error table keeps, oldest batch first, up to the first that fails again.
+
+    Sent batches are marked with the number of attempts and stay in the table. One that was sent but
+    not marked is sent again with the same keys.
+    """
+    sent = []
+    for batch_id in waiting(spark, errors):
+        attempts = int(read_text(spark, f"{errors}/_attempts/{batch_id}")) + 1
+        kept = spark.read.parquet(f"{errors}/batch={batch_id}")
+        try:
+            _send(_keyed(kept.select(F.col("original_payload").alias("value")), batch_id), location, topic, connector, batch_id)
+        except Exception:  # noqa: BLE001 - it stays in the table
+            write_text(spark, f"{errors}/_attempts/{batch_id}", str(attempts))
+            break
+        write_text(spark, f"{errors}/_sent/{batch_id}", str(attempts))
+        sent.append(batch_id)
+    return sent
+
+
 def start_publishing(
     results: DataFrame, location: str, topic: str, errors: str, checkpoint: str,
-    connector: str = "kafka", trigger: dict | None = None,
+    connector: str | Sink = "kafka", trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Publish a stream of results, such as predictions, batch by batch."""
+    """Publish a stream of results, such as predictions, batch by batch, what was kept before first."""
+    def send(batch: DataFrame, batch_id: int) -> None:
+        resend(batch.sparkSession, location, topic, errors, connector)
+        publish_or_keep(batch, location, topic, errors, connector, batch_id)
+
     return (
-        results.writeStream.foreachBatch(
-            lambda batch, batch_id: publish_or_keep(
-                batch, location, topic, errors, connector, batch_id)
-        )
+        results.writeStream.foreachBatch(send)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()

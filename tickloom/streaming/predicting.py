@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.schemas import BOOK_TOPIC, PREDICTION_TOPIC, TRADE_TOPIC
 from tickloom.sources.lake import checked_lines, read_topic
 from tickloom.operators.contract import valid_records
-from tickloom.streaming.landing import publish_or_keep
+from tickloom.streaming.landing import publish_or_keep, resend
 from tickloom.streaming.live import prediction_rows, start_live
 
 
@@ -34,9 +34,10 @@ def start_predicting(
     """Score what arrives in the trade and book topics and publish the predictions.
 
     Predictions are stored under ``out`` too, and a batch that can't be published below
-    ``out-errors``.
+    ``out-errors``, from where it is sent with a later one.
     """
     def send(predictions: DataFrame, batch_id: int) -> None:
+        resend(spark, location, PREDICTION_TOPIC, f"{out}-errors", connector)
         publish_or_keep(
             predictions, location, PREDICTION_TOPIC, f"{out}-errors", connector, batch_id)
 

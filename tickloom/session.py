@@ -83,6 +83,12 @@ def _hadoop(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and host of its file system, by default Hadoop's."""
+    path, files = _hadoop(spark, folder)
+    return files.makeQualified(path).toString()
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     path, files = _hadoop(spark, folder)
     files.delete(path, True)

@@ -1,10 +1,12 @@
 from itertools import combinations
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from tickloom.llm import simhash
+from tickloom.llm.common import materialize
 
 
 def slow_fingerprint(text, n=4):
@@ -62,6 +64,25 @@ def test_links_lose_no_component(spark):
         assert {int(np.int64(r.fp).view(np.uint64)): r.label.id for r in found} == wanted
 
 
+@pytest.mark.parametrize("mixed", [False, True])
+def test_long_chains_take_few_rounds(spark, monkeypatch, mixed):
+    """A chain of a thousand, with labels in the order of the chain and in any other, and a ring."""
+    order = np.random.default_rng(8).permutation(1000).tolist() if mixed else list(range(1000))
+    distinct = spark.createDataFrame([(i, order[i]) for i in range(1000)] + [(i, i) for i in range(2000, 2040)], "fp long, id long") \
+        .select("fp", F.struct("id", "fp").alias("label"))
+    edges = spark.createDataFrame(
+        [(i, i + 1) for i in range(999)] + [(2000 + i, 2000 + (i + 1) % 40) for i in range(40)], "a long, b long")
+    stored = []
+
+    def counting(df, name):
+        stored.append(name)
+        return materialize(df, name)
+    monkeypatch.setattr(simhash, "materialize", counting)
+    found = {r.fp: r.label.id for r in simhash.components(distinct, edges).collect()}
+    assert len(stored) <= 25
+    assert all(found[i] == 0 for i in range(1000)) and all(found[i] == 2000 for i in range(2000, 2040))
+
+
 def test_plan_covers_every_pair_within_the_distance():
     draw = np.random.default_rng(6)
     sample = draw.integers(0, 1 << 63, 300, dtype=np.uint64)

@@ -258,22 +258,30 @@ def components(distinct: DataFrame, edges: DataFrame) -> DataFrame:
     A label is the smallest id of a fingerprint and the fingerprint, which tells components without
     ids apart.
 
-    Labels travel along the links, a table for each round, until none changes. A node has few links,
-    since members of a bucket hang together as a wide, flat tree.
+    Every label points at a smaller one, at first itself. In each round a label takes the smallest
+    label two steps up from itself and from its neighbours, and passes it to the label it pointed at, so
+    whole trees hang onto others and halve in height: rounds grow with the logarithm of a chain's
+    length, and each stores one table.
     """
-    both = materialize(edges.select("a", "b").union(edges.select("b", "a")), "links")
-    labels = materialize(distinct.join(both.select(F.col("a").alias("fp")).distinct(), "fp", "left_semi"), "labels")
+    names = distinct.select(F.col("fp").alias("f"), F.col("label"))
+    ends = edges.join(names, F.col("a") == F.col("f")).select(F.col("label").alias("u"), "b") \
+        .join(names, F.col("b") == F.col("f")).select("u", F.col("label").alias("v"))
+    both = materialize(ends.union(ends.select("v", "u")), "links")
+    up = materialize(both.select(F.col("u").alias("node")).distinct().withColumn("top", F.col("node")), "labels")
     while True:
-        arriving = both.join(labels, F.col("a") == F.col("fp")) \
-            .groupBy("b").agg(F.min("label").alias("new"))
-        after = materialize(labels.join(arriving, F.col("fp") == F.col("b"), "left").select(
-            "fp", F.least("label", "new").alias("label"), (F.col("new") < F.col("label")).alias("moved")), "labels")
-        labels = after.select("fp", "label")
-        if after.where("moved").isEmpty():
+        above = up.select(F.col("node").alias("_node"), F.col("top").alias("over"))
+        two = up.join(above, F.col("top") == F.col("_node")).select("node", "top", "over")
+        near = both.join(two, F.col("v") == F.col("node")).groupBy("u").agg(F.min("over").alias("near"))
+        reached = two.join(near, F.col("node") == F.col("u")).select("node", "top", "over", "near")
+        offers = reached.select("node", F.col("top").alias("was"), F.least("over", "near").alias("top")) \
+            .unionByName(reached.select(F.col("top").alias("node"), F.lit(None).alias("was"), F.col("near").alias("top")))
+        after = materialize(offers.groupBy("node").agg(F.min("top").alias("top"), F.min("was").alias("was")), "labels")
+        if after.where("top != was").isEmpty():
             break
-    moved = labels.select(F.col("fp").alias("f"), F.col("label").alias("l"))
-    return distinct.join(moved, F.col("fp") == F.col("f"), "left") \
-        .select("fp", F.coalesce("l", "label").alias("label"))
+        up = after.select("node", "top")
+    moved = after.select(F.col("node").alias("l"), F.col("top").alias("to"))
+    return distinct.join(moved, F.col("label") == F.col("l"), "left") \
+        .select("fp", F.coalesce("to", "label").alias("label"))
 
 
 def _marked(docs: DataFrame, shingle: int, distance: int) -> DataFrame:

@@ -85,3 +85,37 @@ def test_files_of_failed_attempts_are_not_read(spark):
     warc.write(pages(spark, ROWS[4:8]), folder)
     found = warc.read(spark, folder, kept).select(F.col("page_id")).collect()
     assert sorted(r.page_id for r in found) == [0, 1, 2, 3]
+
+
+def archive(*heads):
+    return b"".join(gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\n" + h + b"\r\n\r\nHTTP/1.1 200 OK\r\n\r\nbody\r\n\r\n") for h in heads)
+
+
+def test_broken_headers_and_foreign_ids(spark, tmp_path):
+    blob = archive(
+        b"WARC-Record-ID: <urn:uuid:0f1e>", b"WARC-Record-ID: <urn:uuid:0f1e>\r\nContent-Length: many",
+        b"WARC-Record-ID: <urn:uuid:0f1e>\r\nContent-Length: 23", b"WARC-Record-ID: <urn:page:7>\r\nContent-Length: 23")
+    (tmp_path / "a.warc.gz").write_bytes(blob)
+    files = spark.createDataFrame([("a.warc.gz", len(blob))], "file string, bytes long")
+    found = warc.read(spark, str(tmp_path), files).collect()
+    assert [(r.page_id, bytes(r.payload)) for r in found] == [(None, b"body"), (7, b"body")]
+
+
+def test_a_folder_without_a_scheme_is_on_the_default_file_system(spark):
+    assert warc.reachable(spark, "/some/folder") == "file:///some/folder"
+    assert warc.reachable(spark, "file:/some/folder") == "file:///some/folder"
+    conf, name = spark.sparkContext._jsc.hadoopConfiguration(), "fs.defaultFS"
+    before = conf.get(name)
+    conf.set(name, "viewfs://store/")
+    conf.set("fs.viewfs.mounttable.store.link./some", "file:///tmp")
+    try:
+        assert warc.reachable(spark, "/some/folder") == "viewfs://store/some/folder"
+    finally:
+        conf.set(name, before)
+
+
+def test_a_long_record_is_read_in_pieces():
+    body = bytes(range(256)) * 40_000
+    blob = warc.record("1", None, body, "", None) + warc.record("2", None, b"x", "", None)
+    found = [warc._parsed(m)["payload"] for _, m in warc.members(io.BytesIO(blob), 0, len(blob))]
+    assert found == [body, b"x"]

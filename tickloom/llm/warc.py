@@ -16,8 +16,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import materialize, small_batches
-from tickloom.session import scratch_path
+from tickloom.llm.common import arrow_rows, materialize
+from tickloom.session import qualified, scratch_path
 
 #: Payloads below this many bytes are always written whole.
 MIN_REVISIT = 100
@@ -72,6 +72,15 @@ def record(page_id: str | None, url: str | None, payload: bytes, digest: str, co
     return packer.compress(head.encode()) + packer.compress(block + b"\r\n\r\n") + packer.flush()
 
 
+def reachable(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI that ``pyarrow.fs`` takes; without a scheme it is on the default file system."""
+    whole = qualified(spark, folder)
+    scheme, _, rest = whole.partition(":")
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    return f"s3:{rest}" if scheme == "s3a" else whole
+
+
 def write(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT) -> DataFrame:
     """Write one archive for each task into ``folder``, which all executors share; list them.
 
@@ -79,6 +88,8 @@ def write(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT) -> Data
     takes what a task returns when it succeeds, has it. A task that is run again, or twice, leaves a
     file that no one reads.
     """
+    folder = reachable(pages.sparkSession, folder)
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, path = fs.FileSystem.from_uri(folder)
         system.create_dir(path, recursive=True)
@@ -93,22 +104,33 @@ def write(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT) -> Data
             out.close()
             yield pd.DataFrame({"file": [name], "bytes": [size], "records": [n]})
 
-    small_batches(pages.sparkSession)
     # Ids travel as text: pandas would turn longs with nulls into doubles.
     texts = planned(pages, min_revisit).withColumns(
         {c: F.col(c).cast("string") for c in ("page_id", "copy_of")})
-    return materialize(texts.mapInPandas(rows, "file string, bytes long, records long"), "archives")
+    with arrow_rows(pages.sparkSession, 256):
+        return materialize(texts.mapInPandas(rows, "file string, bytes long, records long"), "archives")
+
+
+def _length(text: str | bytes) -> int | None:
+    """The number in a length header; None if it is none."""
+    text = text.strip()
+    return int(text) if text.isdigit() and text.isascii() else None
 
 
 def _parsed(member: bytes) -> dict | None:
+    """The fields of a response or revisit; None for other records and for headers that don't parse."""
     head, _, rest = member.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode("utf-8", "replace").split("\r\n")[1:] if ": " in line)
     kind = fields.get("WARC-Type")
     if kind not in ("response", "revisit"):
         return None
-    block = rest[:int(fields["Content-Length"])]
+    size = _length(fields.get("Content-Length", ""))
+    if size is None:
+        return None
+    block = rest[:size]
     http, _, payload = block.partition(b"\r\n\r\n")
-    length = next((int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), len(payload))
+    told = next((_length(x.split(b":", 1)[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), None)
+    length = len(payload) if told is None else told
     page = lambda name: fields.get(name, "").strip("<>").removeprefix(_ID) or None
     whole = kind == "response"
     return {
@@ -123,7 +145,7 @@ class _Window:
     """A file read forward in chunks, with what lies before the current place let go."""
 
     def __init__(self, file, start: int):
-        self.file, self.start, self.data = file, start, b""
+        self.file, self.start, self.data = file, start, bytearray()
         file.seek(start)
 
     def grow(self) -> bool:
@@ -133,7 +155,8 @@ class _Window:
 
     def drop_to(self, place: int) -> None:
         if place - self.start >= _CHUNK:
-            self.data, self.start = self.data[place - self.start:], place
+            del self.data[:place - self.start]
+            self.start = place
 
 
 def _member(window: _Window, place: int) -> tuple[bytes, int] | None:
@@ -143,7 +166,7 @@ def _member(window: _Window, place: int) -> tuple[bytes, int] | None:
         while not unpack.eof:
             if at >= window.start + len(window.data) and not window.grow():
                 return None
-            chunk = window.data[at - window.start:at - window.start + _BITE]
+            chunk = bytes(window.data[at - window.start:at - window.start + _BITE])
             parts.append(unpack.decompress(chunk))
             at += len(chunk) - len(unpack.unused_data)
             if not known and sum(map(len, parts)) >= len(_START):
@@ -180,7 +203,12 @@ def members(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
 
 
 def read(spark: SparkSession, folder: str, files: DataFrame, split: int = SPLIT) -> DataFrame:
-    """The records of the listed archives (``file``, ``bytes``) in ``folder``, each read by one task."""
+    """The records of the listed archives (``file``, ``bytes``) in ``folder``, each read by one task.
+
+    Ids that are no numbers, such as those of archives from elsewhere, are null; records whose headers
+    don't parse are passed over.
+    """
+    folder = reachable(spark, folder)
     ranges = files.select("file", "bytes", F.explode(F.sequence(
         F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split).cast("long"))).alias("start"))
 
@@ -204,7 +232,7 @@ def read(spark: SparkSession, folder: str, files: DataFrame, split: int = SPLIT)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return ranges.repartition(parts, "file", "start").mapInPandas(rows, RECORDS).withColumns(
-        {c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
+        {c: F.col(c).try_cast("long") for c in ("page_id", "refers_to")})
 
 
 def _frame(found: list[dict]) -> pd.DataFrame:
@@ -221,6 +249,4 @@ def archived(pages: DataFrame, folder: str | None = None, min_revisit: int = MIN
     """
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
-    if "://" not in folder:
-        folder = "file://" + folder.removeprefix("file:")
     return read(spark, folder, write(pages, folder, min_revisit), split)

@@ -44,3 +44,16 @@ def test_one_vector_fills_a_third(spark):
     draw = np.random.default_rng(2)
     rows = [(i, ([0.25] * 8 if i % 3 == 0 else draw.normal(size=8).tolist())) for i in range(900)]
     check(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 50)
+
+
+def test_large_components(spark):
+    """Scores of more bits than a double or a long has, and components that a long can't hold."""
+    draw = np.random.default_rng(3)
+    for size in (1e12, 1e5, 3e9):
+        rows = [(i, [float(x) for x in draw.normal(size=4) * size]) for i in range(60)] + [(100, [1e300, 0.0, 0.0, 0.0])]
+        vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        q = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows if max(map(abs, v)) < 1 << 42}
+        found = topk.top_k(vectors, F.col("vec_id") % 10 == 0, 5).collect()
+        wanted = expected(sorted(q.items()), 10, 5)
+        clamped = [(a, b, c, max(-(1 << 63), min((1 << 63) - 1, s))) for a, b, c, s in wanted]
+        assert sorted(map(tuple, found)) == clamped

@@ -27,10 +27,11 @@ def quantised(vectors: DataFrame) -> DataFrame:
     """``vec_id`` and ``v``, the vector's floor(1024 x), a row for each id.
 
     Vectors that are null or hold a null, NaN or infinite component take no part, nor do rows without
-    an id; of an id's different vectors the smallest is taken.
+    an id; of an id's different vectors the smallest is taken. Components of 2 ** 42 and more, whose
+    products are far beyond a long, count as infinite.
     """
     x = F.col("embedding")
-    odd = F.exists(x, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf")))
+    odd = F.exists(x, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) >= float(1 << 42)))
     whole = F.transform(x, lambda c: F.floor(c.cast("double") * SCALE))
     return vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & ~odd) \
         .select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v")) \
@@ -76,6 +77,9 @@ def candidates(blocks: DataFrame, low: np.ndarray, wide: np.ndarray, k: int) ->
                 lo, hi = (low + first[cell, dims]).astype(float), (low + last[cell, dims]).astype(float)
                 up, down = np.maximum(q, 0), np.minimum(q, 0)
                 upper, lower = up @ hi.T + down @ lo.T, up @ lo.T + down @ hi.T
+                # Sums of doubles are off by no more than this; whole numbers below 2 ** 53 not at all.
+                slack = np.abs(q) @ np.maximum(np.abs(lo), np.abs(hi)).T * ((d + 2) * np.finfo(float).eps)
+                upper, lower = upper + slack, lower - slack
                 own = q_ids[:, None] == ids[None, :]
                 lower[own] = -np.inf
                 upper[own] = -np.inf
@@ -86,10 +90,19 @@ def candidates(blocks: DataFrame, low: np.ndarray, wide: np.ndarray, k: int) ->
     return blocks.mapInPandas(scan, "query_id long, vec_id long, upper double, lower double")
 
 
-def _scores(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Exact inner products; a missing component counts as zero."""
+def _scores(pairs: DataFrame, vectors: DataFrame, large: bool) -> DataFrame:
+    """Exact inner products; a missing component counts as zero.
+
+    ``large`` ones are summed as decimals of 38 digits.
+    """
+    kind = "decimal(38,0)" if large else "long"
+
+    def times(a: Column, b: Column) -> Column:
+        return (a.cast("decimal(19,0)") * b.cast("decimal(19,0)")).cast(kind) if large else a * b
+
     product = F.aggregate(
-        F.zip_with("qv", "v", lambda a, b: F.coalesce(a * b, F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s + x)
+        F.zip_with("qv", "v", lambda a, b: F.coalesce(times(a, b), F.lit(0).cast(kind))), F.lit(0).cast(kind),
+        lambda s, x: (s + x).cast(kind))
     queries = vectors.select(F.col("vec_id").alias("q"), F.col("v").alias("qv"))
     return pairs.join(vectors, "vec_id").join(queries, F.col("query_id") == F.col("q")) \
         .select("query_id", "vec_id", product.alias("score"))
@@ -101,7 +114,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     ``is_query`` is a condition on ``vec_id``. Score is the integer inner product, ties go to the smaller
     id; a query with fewer others has them all. Of vectors that are equal, only the k + 1 smallest
     ids can be in any result, so the rest are left out before the scan. Vectors of different lengths
-    are filled up with zeros. An empty table gives no rows; extra columns are ignored.
+    are filled up with zeros. Scores beyond a long rank by their true value and show the nearest long. An
+    empty table gives no rows; extra columns are ignored.
     """
     spark = vectors.sparkSession
     exact = materialize(quantised(vectors), "vectors")
@@ -116,6 +130,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         low[r.pos] = min(r.low, 0)
         wide[r.pos] = max(r.high, 0) - low[r.pos] + 1
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    large = sum(max(abs(int(a)), abs(int(a) + int(w))) ** 2 for a, w in zip(low, wide)) >= 1 << 62
     chunks = materialize(
         _packed(shown.repartition(parts, "vec_id"), len(low), CHUNK, low, wide, cells=True), "cells")
     # Queries go to fewer partitions, so that their blocks are filled.
@@ -143,13 +158,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         F.col("floor").isNull() | (F.col("upper") >= F.col("floor"))).select("query_id", "vec_id", "upper"), "alive")
     by_upper = Window.partitionBy("query_id").orderBy(F.col("upper").desc(), "vec_id")
     first = alive.withColumn("n", F.row_number().over(by_upper)).where(F.col("n") <= 2 * k)
-    best = materialize(_scores(first.select("query_id", "vec_id"), exact), "first-read")
+    best = materialize(_scores(first.select("query_id", "vec_id"), exact, large), "first-read")
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     kth = best.withColumn("n", F.row_number().over(ranked)).where(F.col("n") == k) \
         .select(F.col("query_id").alias("q"), F.col("score").alias("kth"))
     # Queries without a kth score have had all their candidates read already.
     more = alive.join(best.select("query_id", "vec_id"), ["query_id", "vec_id"], "left_anti") \
         .join(kth, (F.col("query_id") == F.col("q")) & (F.col("upper") >= F.col("kth")))
-    scores = best.unionByName(_scores(more.select("query_id", "vec_id"), exact))
+    scores = best.unionByName(_scores(more.select("query_id", "vec_id"), exact, large))
+    shown = F.least(F.greatest(F.col("score"), F.lit(-(1 << 63))), F.lit((1 << 63) - 1)).cast("long")
     return scores.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k) \
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", shown.alias("score"))

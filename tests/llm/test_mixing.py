@@ -87,6 +87,25 @@ def test_shards_take_sources_in_proportion(spark):
     assert ((share - [1 / 6, 2 / 6, 3 / 6]).abs() < 0.05).all().all()
 
 
+def test_shards_have_the_slots_that_were_drawn_for_them(spark, monkeypatch):
+    plan = spark.createDataFrame([("a", 64_000, 150_000.0), ("b", 640, 640.0), (None, 5, 15.0)],
+                                 "source string, source_size long, target double")
+    drawn = []
+    draw = mixing.shard_counts
+
+    def watched(chunks, shards):
+        drawn.append(draw(chunks, shards))
+        return drawn[-1]
+    monkeypatch.setattr(mixing, "shard_counts", watched)
+    found = mixing.slots(plan, block=64, shards=4).groupBy("source", "shard").agg(
+        F.count("*").alias("n"), F.min("slot").alias("low"), F.max("slot").alias("high")).collect()
+    wanted = {(r.source, r.shard): r.slots for r in drawn[0].collect()}
+    assert {(r.source, r.shard): r.n for r in found} == wanted
+    assert all(r.high - r.low + 1 == r.n for r in found)  # one after the other
+    sizes = [n for (source, _), n in wanted.items() if source == "a"]
+    assert len(sizes) == 4 and sum(sizes) == 2344 and 500 < min(sizes) and max(sizes) < 680
+
+
 def test_mixed_documents_hold_the_words_that_are_counted(edge_docs):
     counts = mixing.mix_counts(edge_docs).collect()
     mixed = mixing.mixed_documents(edge_docs)

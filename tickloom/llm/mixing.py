@@ -3,8 +3,11 @@
 The documents of a source, one after the other in a pseudorandom order, are cut into blocks of
 ``BLOCK`` words. The mix has slots: as many passes over a source's blocks as its target holds, and
 of the last pass as many slots as make up the rest. Within a pass a slot reads the block that the
-index permutation of the source and pass names. Each slot draws its output shard, all alike, by a hash.
-So the sources' counts in a shard are multinomial, conditioned on the sources' totals, which are exact.
+index permutation of the source and pass names.
+
+How many slots of each source an output shard has is drawn first: a table of counts, multinomial under
+the sources' totals, which are exact. The shards then take their slots of a source one after the other,
+so it is the permutation that decides which blocks they get.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -69,6 +72,30 @@ def permuted(x: Column, key: Column, n: Column, back: bool = False) -> Column:
     return F.aggregate(F.array(*map(F.lit, rounds)), x, swapped)
 
 
+def _each(chunks: DataFrame) -> DataFrame:
+    """A row for each of the slots that the rows stand for, with its number in the source."""
+    return chunks.withColumn("j", F.explode(F.sequence(
+        F.col("from"), F.least(F.col("from") + _SPAN, F.col("count")) - 1))) \
+        .withColumn("slot", F.col("epoch") * F.col("n") + F.col("j"))
+
+
+def shard_counts(chunks: DataFrame, shards: int) -> DataFrame:
+    """(source, shard, slots): how many of a source's slots each output shard gets, as a stored table.
+
+    Every slot draws a shard, all alike, and the draws are counted.
+    """
+    drawn = F.pmod(_hash(F.lit("shard"), F.col("source"), F.col("slot")), F.lit(shards)).cast("int")
+    return materialize(
+        _each(chunks).groupBy("source", drawn.alias("shard")).agg(F.count("*").alias("slots")), "shard-counts")
+
+
+def shard_ends(counts: DataFrame) -> DataFrame:
+    """For each source its shards with the number of the slot after each one's last, in order."""
+    upto = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.withColumn("end", F.sum("slots").over(upto)).groupBy(F.col("source").alias("_source")).agg(
+        F.array_sort(F.collect_list(F.struct("end", "shard"))).alias("ends"))
+
+
 def slots(plan: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
     """Every slot of the mix: ``source``, ``slot``, ``epoch``, ``index``, ``use`` and ``shard``.
 
@@ -91,17 +118,16 @@ def slots(plan: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFram
     parts = passes.where("count > 0").withColumn("met", permuted(n - 1, F.col("key"), n, back=True)).withColumn(
         "from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1, F.lit(_SPAN).cast("long"))))
     spread = parts.repartition(int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source", "epoch", "from")
-    each = spread.withColumn("j", F.explode(F.sequence(
-        F.col("from"), F.least(F.col("from") + _SPAN, F.col("count")) - 1))).withColumns({
-            "slot": F.col("epoch") * n + F.col("j"), "index": permuted(F.col("j"), F.col("key"), n)})
+    ends = shard_ends(shard_counts(spread, shards))
+    dealt = spread.join(ends, F.col("source").eqNullSafe(F.col("_source")))
+    each = _each(dealt).withColumns({
+        "index": permuted(F.col("j"), F.col("key"), n),
+        "shard": F.get(F.filter("ends", lambda e: e["end"] > F.col("slot")), F.lit(0))["shard"]})
     held = F.when(F.col("j") == F.col("met"), block - F.col("short")).otherwise(block)
     before = F.col("j") * block - F.when(F.col("j") > F.col("met"), F.col("short")).otherwise(0)
     use = F.when(F.col("epoch") < F.col("passes"), held) \
         .otherwise(F.greatest(F.lit(0), F.least(held, F.col("rest") - before)))
-    return each.select(
-        "source", "slot", "epoch", "index", use.cast("long").alias("use"),
-        F.pmod(_hash(F.lit("shard"), F.col("source"), F.col("slot")), F.lit(shards)).cast("int").alias("shard"),
-    ).where("use > 0")
+    return each.select("source", "slot", "epoch", "index", use.cast("long").alias("use"), "shard").where("use > 0")
 
 
 def sized_rows(docs: DataFrame) -> DataFrame:
@@ -136,7 +162,9 @@ def spans(rows: DataFrame, plan: DataFrame, block: int = BLOCK, shards: int = SH
 
 
 def mix_counts(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
-    """How many words the mix takes of each row: doc_id, size, source_size, target, taken.
+    """How many words the mix takes of each row: doc_id, size, source_size, target, taken, shards.
+
+    ``shards`` counts the output shards that these words go to (shard numbers modulo 64).
 
     Null texts have no words; rows without words are never taken. A null source is a source of its
     own; null ids and repeated rows are rows like any other; an empty table gives no rows, and texts
@@ -145,11 +173,14 @@ def mix_counts(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> Dat
     rows = sized_rows(docs)
     plan = materialize(targets(rows), "targets")
     placed, mix = spans(rows, plan, block, shards)
-    sums = mix.groupBy(F.col("source").alias("s"), F.col("start").alias("b")).agg(F.sum("n").alias("taken"))
+    sums = mix.groupBy(F.col("source").alias("s"), F.col("start").alias("b")).agg(
+        F.sum("n").alias("taken"),
+        F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("shard") % 64))).alias("shards"))
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("start") == F.col("b")) & (F.col("size") > 0)
     aims = plan.select(F.col("source").alias("z"), "source_size", "target")
     return placed.join(sums, same, "left").join(aims, F.col("source").eqNullSafe(F.col("z"))).select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("shards", F.lit(0)).cast("int").alias("shards"))
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:

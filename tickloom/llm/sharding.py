@@ -1,13 +1,13 @@
 """Sharding by a k-d tree whose cuts are weighted medians.
 
 A node that still holds several shards is cut along the dimension in which it is widest, where the
-bytes before the cut are what its left shards should get. The medians are found by histograms that
-Spark sums up: the driver sees one row for each node, and the table of points is read a few times
-for each level of the tree. All dimensions come from the text, so equal texts are the same point and
-share a shard; no join or grouping of copies is needed for that.
+bytes before the cut are what its left shards should get. The medians of all dimensions of all nodes of
+a level are found together, by histograms that Spark sums up: the driver sees one row for each node and
+dimension, and the table of points is read once for each round of refining. All dimensions come from
+the text, so equal texts are the same point and share a shard; no join or grouping of copies is needed.
 """
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,24 +15,36 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import materialize, offsets_in_groups
 
 SHARDS = 16
-#: Bins of a histogram; the bin that holds the cut is cut into as many again.
+#: Bins of a histogram; the points of the bin that holds the cut are binned again.
 BINS = 4096
 #: A cut is fine enough when it is off by this share of a shard.
 TOLERANCE = 0.002
 _TIE = 1 << 30  # the lower part of a coordinate tells apart points that are equal in the upper part
-_ROUNDS = 6
 
 
 @dataclass
 class Node:
-    """A box of the tree, by the cuts that lead to it, and the shards that it will be cut into."""
+    """A box of the tree, by the cuts that lead to it, and the shards that it will be cut into.
+
+    ``ranges`` holds what lies in the box, in each dimension, or more.
+    """
 
     path: list[tuple[str, str, int]]
     first: int
     shards: int
-    weight: int = 0
-    ranges: dict[str, tuple[int, int]] = field(default_factory=dict)
-    best: tuple[float, str, int] | None = None
+    weight: int
+    ranges: dict[str, tuple[int, int]]
+
+
+@dataclass
+class Cut:
+    """The search for a node's cut along a dimension: where it may lie and what lies before."""
+
+    low: int
+    high: int
+    before: int = 0
+    seen: tuple[int, int] | None = None  # the node's true range
+    found: tuple[float, int, int] | None = None  # bytes off the goal, place, bytes before it
 
 
 def _within(path: list[tuple[str, str, int]]) -> Column:
@@ -50,95 +62,92 @@ def _labels(nodes: list[Node]) -> Column:
     return label
 
 
-def _cuts(points: DataFrame, nodes: list[Node], names: list[str], goals: list[float], fine: float) -> list[tuple[float, int]]:
-    """For each node the error in bytes and the place of the best cut along its dimension."""
-    state = [(*node.ranges[name], 0) for node, name in zip(nodes, names)]
-    found: list[tuple[float, int]] = [(float("inf"), 0)] * len(nodes)
-    for _ in range(_ROUNDS):
-        # Bins of equal width over each node's current range; the last bin may be wider.
-        active = [i for i, (low, high, _) in enumerate(state) if high > low and found[i][0] > fine]
-        if not active:
-            break
-        value, low_of, wide, done = (F.lit(None).cast("long") for _ in range(4))
-        inside = F.lit(None).cast("int")
-        for i in active:
-            low, high, before = state[i]
-            here = _within(nodes[i].path) & F.col(names[i]).between(low, high)
-            width = max(1, -(-(high - low + 1) // BINS))
-            inside = F.when(here, F.lit(i)).otherwise(inside)
-            value = F.when(here, F.col(names[i])).otherwise(value)
-            low_of = F.when(here, F.lit(low)).otherwise(low_of)
-            wide = F.when(here, F.lit(width)).otherwise(wide)
-        bins = points.select(inside.alias("node"), F.expr("1").alias("one"), "size",
-                             value.alias("value"), low_of.alias("low"), wide.alias("wide")) \
-            .where("node is not null") \
-            .groupBy("node", F.expr("(value - low) div wide").alias("bin")).agg(F.sum("size").alias("size"))
-        upto = F.sum("size").over(Window.partitionBy("node").orderBy("bin"))
-        goal = F.lit(None).cast("double")
-        for i in active:
-            goal = F.when(F.col("node") == i, F.lit(float(goals[i] - state[i][2]))).otherwise(goal)
-        crossing = bins.withColumn("upto", upto).withColumn("goal", goal) \
-            .where("upto >= goal and upto - size < goal").collect()
-        crossed = {r.node: r for r in crossing}
-        for i in active:
-            low, high, before = state[i]
-            width = max(1, -(-(high - low + 1) // BINS))
-            if i not in crossed:
-                state[i] = (low, low, before)
-                continue
-            r = crossed[i]
-            start = low + r.bin * width
-            end = min(high + 1, start + width)
-            for place, bytes_before in ((start, before + r.upto - r.size), (end, before + r.upto)):
-                error = abs(bytes_before - goals[i])
-                if error < found[i][0] and nodes[i].ranges[names[i]][0] < place <= nodes[i].ranges[names[i]][1]:
-                    found[i] = (error, place)
-            state[i] = (start, end - 1, before + r.upto - r.size)
-    return found
+def _looked_up(table: list[list[int | float | None]], kind: str) -> Column:
+    """The entry of a small table for the row's node and dimension."""
+    rows = F.array(*[F.array(*[F.lit(x).cast(kind) for x in row]) for row in table])
+    return F.get(F.get(rows, F.col("node")), F.col("dimension"))
+
+
+def _narrowed(points: DataFrame, nodes: list[Node], names: list[str], goals: list[float], cuts: list[list[Cut]]) -> None:
+    """One round for all nodes and dimensions: bin what is left and go on within the bin that holds the cut."""
+    def width(cut: Cut) -> int:
+        return max(1, -(-(cut.high - cut.low + 1) // BINS))
+
+    open_ = [[cut.found is None for cut in row] for row in cuts]
+
+    def table(value) -> list[list]:
+        return [[value(i, cut) if open_[i][d] else None for d, cut in enumerate(row)] for i, row in enumerate(cuts)]
+
+    low = _looked_up(table(lambda i, cut: cut.low), "long")
+    each = points.select(_labels(nodes).alias("node"), "size", F.posexplode(F.array(*names)).alias("dimension", "value"))
+    inside = each.where(F.col("value").between(low, _looked_up(table(lambda i, cut: cut.high), "long"))).withColumn(
+        "bin", F.call_function("div", F.col("value") - low, _looked_up(table(lambda i, cut: width(cut)), "long")))
+    bins = inside.groupBy("node", "dimension", "bin").agg(
+        F.sum("size").alias("size"), F.min("value").alias("low"), F.max("value").alias("high"))
+    own = Window.partitionBy("node", "dimension")
+    goal = _looked_up(table(lambda i, cut: goals[i] - cut.before), "double")
+    crossing = bins.withColumns({
+        "upto": F.sum("size").over(own.orderBy("bin")), "least": F.min("low").over(own), "most": F.max("high").over(own),
+        "goal": goal}).where("upto >= goal and upto - size < goal")
+    for r in crossing.collect():
+        cut, aim = cuts[r.node][r.dimension], goals[r.node]
+        cut.seen = cut.seen or (r.least, r.most)
+        before, after = cut.before + r.upto - r.size, cut.before + r.upto
+        if r.low < r.high:
+            cut.low, cut.high, cut.before = r.low, r.high, before
+            continue
+        # One coordinate holds the goal: the cut is before it or after it, but not at the node's edge.
+        sides = [(abs(before - aim), r.low, before)] * (r.low > cut.seen[0]) + [(abs(after - aim), r.low + 1, after)] * (r.low < cut.seen[1])
+        cut.found = min(sides, default=(float("inf"), r.low, before))
+
+
+def _best(node: Node, root: Node, names: list[str], cuts: list[Cut], tolerance: float) -> tuple[str, Cut] | None:
+    """The widest dimension whose cut is off by no more than the tolerance, or else the closest cut."""
+    known = [(name, cut) for name, cut in zip(names, cuts) if cut.found is not None and cut.found[0] < float("inf")]
+
+    def wide(item: tuple[str, Cut]) -> float:
+        (least, most), (low, high) = item[1].seen, root.ranges[item[0]]
+        return (most - least) / max(1, high - low)
+
+    known.sort(key=lambda item: -wide(item))
+    good = [item for item in known if item[1].found[0] <= node.weight / node.shards * tolerance]
+    return good[0] if good else min(known, key=lambda item: item[1].found[0], default=None)
 
 
 def kd_tree(points: DataFrame, dimensions: list[str], shards: int = SHARDS, tolerance: float = TOLERANCE) -> list[Node]:
     """The leaves, one for each shard. ``points`` is a stored table with ``size`` and the dimensions.
 
     A dimension in which the cut would miss its goal by more than ``tolerance`` of a shard gives way to
-    the next widest one; if all do, the best is taken.
+    the next widest one; if all do, the closest cut is taken. A node of a single point isn't cut, it
+    goes to its first shard.
     """
-    nodes, root = [Node([], 0, shards)], {}
-    while any(node.shards > 1 for node in nodes):
-        summary = points.groupBy(_labels(nodes).alias("node")).agg(
-            F.sum("size").alias("size"),
-            *[f(d).alias(f"{n}_{d}") for d in dimensions for n, f in (("low", F.min), ("high", F.max))])
-        for r in summary.where("node is not null").collect():
-            nodes[r.node].weight = r["size"]
-            nodes[r.node].ranges = {d: (r[f"low_{d}"], r[f"high_{d}"]) for d in dimensions}
-        root = root or nodes[0].ranges
-        todo = [n for n in nodes if n.shards > 1 and n.ranges]
-        order = {id(n): sorted(dimensions, key=lambda d: -(n.ranges[d][1] - n.ranges[d][0])
-                               / max(1, root[d][1] - root[d][0])) for n in todo}
-        for turn in range(len(dimensions)):
-            share = [n.weight / n.shards * tolerance for n in todo]
-            trying = [n for n, s in zip(todo, share) if n.best is None or n.best[0] > s]
-            if not trying:
-                break
-            names = [order[id(n)][turn] for n in trying]
-            goals = [n.weight * (n.shards // 2) / n.shards for n in trying]
-            fine = min(n.weight / n.shards for n in trying) * tolerance
-            for n, name, (error, place) in zip(trying, names, _cuts(points, trying, names, goals, fine)):
-                if error < float("inf") and (n.best is None or error < n.best[0]):
-                    n.best = (error, name, place)
-        after = []
-        for n in nodes:
-            if n.shards == 1:
-                after.append(n)
-            elif n.best is None:  # one point or none: nothing to cut, the other shards stay empty
-                after.append(Node(n.path, n.first, 1))
-            else:
-                _, name, place = n.best
-                half = n.shards // 2
-                after.append(Node([*n.path, (name, "<", place)], n.first, half))
-                after.append(Node([*n.path, (name, ">=", place)], n.first + half, n.shards - half))
-        nodes = after
-    return nodes
+    whole = points.agg(F.sum("size").alias("size"), *[
+        f(d).alias(f"{n}_{d}") for d in dimensions for n, f in (("low", F.min), ("high", F.max))]).first()
+    if whole.size is None:
+        return [Node([], 0, 1, 0, {})]
+    root = Node([], 0, shards, whole.size, {d: (whole[f"low_{d}"], whole[f"high_{d}"]) for d in dimensions})
+    leaves, level = [], [root]
+    while level:
+        leaves += [n for n in level if n.shards == 1]
+        nodes = [n for n in level if n.shards > 1]
+        goals = [n.weight * (n.shards // 2) / n.shards for n in nodes]
+        cuts = [[Cut(*n.ranges[d]) for d in dimensions] for n in nodes]
+        while any(cut.found is None for row in cuts for cut in row):
+            _narrowed(points, nodes, dimensions, goals, cuts)
+        level = []
+        for node, row in zip(nodes, cuts):
+            best = _best(node, root, dimensions, row, tolerance)
+            if best is None:
+                leaves.append(Node(node.path, node.first, 1, node.weight, node.ranges))
+                continue
+            name, cut = best
+            _, place, before = cut.found
+            half, seen = node.shards // 2, {d: c.seen for d, c in zip(dimensions, row)}
+            level.append(Node([*node.path, (name, "<", place)], node.first, half, before,
+                              seen | {name: (seen[name][0], place - 1)}))
+            level.append(Node([*node.path, (name, ">=", place)], node.first + half, node.shards - half, node.weight - before,
+                              seen | {name: (place, seen[name][1])}))
+    return leaves
 
 
 def _coordinate(value: Column, tie: Column) -> Column:
@@ -149,28 +158,30 @@ def _coordinate(value: Column, tie: Column) -> Column:
 def points_of(docs: DataFrame, shards: int = SHARDS) -> tuple[DataFrame, list[str]]:
     """Stored points of all rows and the names of their dimensions.
 
-    Dimensions: the text's bytes, code points and lines, on a log scale, and its CRC-32. Copies of a
+    Dimensions: the text's bytes, code points, lines, spaces and stops, on a log scale, its CRC-32 and 32
+    bits of another hash. Copies of a
     text that together exceed a shard can't share one under equal sizes: these few texts (fewer than
     there are shards) are told apart by their ids too.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     log = lambda n: F.floor(F.log2(n + 1) * (1 << 26))
-    lines = F.octet_length(text) - F.octet_length(F.translate(text, "\n", ""))
+    count = lambda marks: F.octet_length(text) - F.octet_length(F.translate(text, marks, ""))
     measured = materialize(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("key"),
         log(F.octet_length(text)).alias("bytes"), log(F.char_length(text)).alias("chars"),
-        log(lines).alias("lines")), "points")
+        log(count("\n")).alias("lines"), log(count(" ")).alias("spaces"), log(count(".,;:!?")).alias("stops")), "points")
     share = measured.agg(F.sum("size")).first()[0] or 0
     large = [r.key for r in measured.groupBy("key").agg(F.sum("size").alias("size"))
              .where(F.col("size") > share / shards).select("key").collect()]
     apart = F.xxhash64("key", F.when(F.col("key").isin(large), F.struct("doc_id")) if large else F.lit(None))
     tie = F.pmod(apart, F.lit(_TIE))
-    names = ["bytes", "chars", "lines", "crc"]
+    names = ["bytes", "chars", "lines", "spaces", "stops", "crc", "hash"]
     return measured.select("doc_id", "size", "text_crc32", *[
-        _coordinate(F.col("text_crc32" if n == "crc" else n), tie).alias(n) for n in names]), names
+        _coordinate({"crc": F.col("text_crc32"), "hash": F.pmod("key", F.lit(1 << 32))}.get(n, F.col(n)), tie).alias(n)
+        for n in names]), names
 
 
 def kd_shards(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int | None = None) -> DataFrame:

@@ -5,13 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions.contracts import book_contract, trade_contract
-from tickloom.operators import models
+from tickloom.operators import models, training
 from tickloom.operators.contract import check, valid_records
 from tickloom.operators.features import BY_DATE, build_features, order_ticks
 from tickloom.operators.joins import band_join
 from tickloom.operators.quality import expectations, join_quality, layer_size, profile
 from tickloom.plans import daily, gates
-from tickloom.session import create_text, shared_folder
+from tickloom.session import create_text, materialize, shared_folder
 from tickloom.schemas import BOOK_TOPIC, FEATURE_COLS, TRADE_TOPIC
 from tickloom.sources import footers, lake, registry, versions
 from tickloom.sources.events import books_of, read_events, trades_of, with_copies
@@ -69,6 +69,8 @@ def test_training_run_registers_models(spark, root, report):
     rows = metrics.orderBy("symbol").collect()
     assert rows and all(r["mae"] >= 0 and r["test_records"] > 0 for r in rows)
     daily.run_training(spark, root, "20240103_000000", rows_per_symbol=100, fit_on="train")
+    status = registry.read_status(spark, root).where("run_id = '20240103_000000'").collect()
+    assert sorted(r["symbol"] for r in status if r["status"] == "trained") == [r["symbol"] for r in rows]
     fitted, scaler = registry.load_latest(spark, root)
     assert sorted(fitted) == [r["symbol"] for r in rows]
     assert scaler.count() == len(fitted) * len(FEATURE_COLS)
@@ -251,3 +253,31 @@ def test_footers_tell_what_a_scan_tells(spark, root, report):
     with pytest.raises(gates.GateError, match="top_bid_price"):
         gates.columns_filled(spark, root, daily.JOINED, ["top_bid_price"], DATE)
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_every_symbol_has_a_status(spark):
+    def table(*symbols):
+        return spark.createDataFrame([(s,) for s in symbols], "symbol string")
+    rows = table(*["a"] * 5, *["b"] * 2, *["c"] * 5, *["d"] * 5)
+    found = models.training_status(["a", "b", "c", "d", "e"], rows, table("c"), table("a"), 3).collect()
+    assert {r["symbol"]: (r["rows"], r["status"]) for r in found} == {
+        "a": (5, "trained"), "b": (2, "too few rows"), "c": (5, "missing values"), "d": (5, "no usable prediction"),
+        "e": (0, "no rows")}
+
+
+def test_models_of_both_kinds_score_side_by_side(spark, tmp_path):
+    """A run with an estimator leaves files, one without a table; the latest of each symbol counts."""
+    root = str(tmp_path)
+    rows = spark.range(300).select(
+        F.when(F.col("id") % 2 == 0, "BTCUSDT").otherwise("ETHUSDT").alias("symbol"), F.col("id").alias("timestamp"),
+        *[(F.sin(F.col("id") * (i + 1)) + F.col("id") / 100).alias(c) for i, c in enumerate(FEATURE_COLS)])
+    for run, symbols, estimator in (
+            ("r1", ["BTCUSDT", "ETHUSDT"], None), ("r2", ["ETHUSDT"], models.next_price_regressor())):
+        clean = materialize(rows.where(F.col("symbol").isin(symbols)), "clean")
+        registry.save_metrics(daily.train_and_evaluate(spark, root, run, clean, estimator), root, run)
+    fitted, scaler = registry.load_latest(spark, root)
+    assert list(fitted) == ["BTCUSDT", "ETHUSDT"] and list(fitted.others) == ["ETHUSDT"]
+    series = training.order_series(training.scale(rows, materialize(scaler, "scaler")))
+    scored = models.score_windows(training.build_sequences(series), fitted, scaler)
+    assert {r["symbol"]: r["n"] for r in scored.where("predicted_price is not null").groupBy("symbol").agg(
+        F.count("*").alias("n")).collect()} == {"BTCUSDT": 90, "ETHUSDT": 90}

@@ -15,7 +15,7 @@ from tickloom.operators.training import (
     has_missing, inverse_scale, last_trained, trained_sequences,
 )
 from tickloom.operators.windows import WindowModels, predict_tests, score_with_table
-from tickloom.schemas import FEATURE_COLS
+from tickloom.schemas import FEATURE_COLS, MIN_TRAINING_ROWS
 from tickloom.session import materialize
 
 
@@ -39,12 +39,37 @@ def latest_runs(runs: DataFrame) -> DataFrame:
     return runs.groupBy("symbol").agg(F.max("run_id").alias("run_id"))
 
 
-def scaled_without_missing(scaled: DataFrame) -> DataFrame:
-    """Symbols whose scaled features hold no missing value; the others are skipped."""
-    bad = materialize(
+def symbols_with_missing(scaled: DataFrame) -> DataFrame:
+    """Symbols whose scaled features hold a missing value, as a stored table."""
+    return materialize(
         scaled.where(has_missing(FEATURE_COLS)).select("symbol").distinct(), "bad-symbols"
     )
-    return scaled.join(bad, "symbol", "left_anti")
+
+
+def scaled_without_missing(scaled: DataFrame, bad: DataFrame | None = None) -> DataFrame:
+    """Symbols whose scaled features hold no missing value; the others are skipped."""
+    return scaled.join(symbols_with_missing(scaled) if bad is None else bad, "symbol", "left_anti")
+
+
+def training_status(
+    symbols: list[str], rows: DataFrame, bad: DataFrame, metrics: DataFrame, at_least: int = MIN_TRAINING_ROWS
+) -> DataFrame:
+    """(symbol, rows, status): what became of each symbol of a training run.
+
+    ``rows`` is the training layer, ``bad`` the symbols with missing scaled values and ``metrics``
+    the run's results. Every one of ``symbols`` has a row, also without any data.
+    """
+    spark = rows.sparkSession
+    wanted = spark.createDataFrame([(s,) for s in symbols], "symbol string")
+    counts = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
+    found = wanted.join(counts, "symbol", "full") \
+        .join(bad.select("symbol", F.lit(True).alias("_bad")), "symbol", "left") \
+        .join(metrics.select("symbol", F.lit(True).alias("_measured")), "symbol", "left")
+    n = F.coalesce("rows", F.lit(0))
+    return found.select(
+        "symbol", n.cast("long").alias("rows"),
+        F.when(n == 0, "no rows").when(n < at_least, "too few rows").when(F.col("_bad"), "missing values")
+        .when(F.col("_measured").isNull(), "no usable prediction").otherwise("trained").alias("status"))
 
 
 def fit_symbol(

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml import Model
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.numbers import event_date
@@ -32,7 +32,7 @@ ONE = "one"
 TERMS = [ONE, *FEATURE_COLS]
 PRICE = FEATURE_COLS.index("price")
 
-_MOMENTS = "symbol string, day date, lag int, term string, " + ", ".join(f"{t} double" for t in TERMS)
+MOMENTS = "symbol string, day date, lag int, term string, " + ", ".join(f"{t} double" for t in TERMS)
 _COEFFICIENTS = "symbol string, windows long, intercept double, weights array<double>"
 _PREDICTED = "symbol string, seq_no long, seq_total long, timestamp long, y double, y_hat double"
 
@@ -74,21 +74,82 @@ def _empty(table: pa.Table, key: tuple[pa.Scalar, ...]) -> pa.Table:
     return pa.table({c: pa.array([], kinds.get(c, pa.float64())) for c in [*kinds, *TERMS]})
 
 
-def window_moments(series: Ordered, newest: int | None = None) -> DataFrame:
+def window_moments(series: Ordered, newest: int | None = None, known: DataFrame | None = None) -> DataFrame:
     """(symbol, day, lag, term, one column for each term): sums over the windows that train.
 
     Of a window's first row the ``term`` times each term ``lag`` rows later, by the day of the label.
     ``one`` is 1 in every row. A block of the series gives a fixed number of rows for each day in it.
+    Days of ``known`` (symbol, day), a small stored table, are left out.
     """
     indexed = index_sequences(series)
     marked = replace(indexed, df=indexed.df.withColumns({
         "used": trained_range(newest), "day": event_date(F.col("timestamp"))}))
+    if known is not None:
+        done = known.select(F.col("symbol").alias("_symbol"), F.col("day").alias("_day"))
+        same = (F.col("symbol") == F.col("_symbol")) & (F.col("day") == F.col("_day"))
+        marked = replace(marked, df=marked.df.join(done, same, "left").withColumn(
+            "used", F.col("used") & F.col("_day").isNull()).drop("_symbol", "_day"))
     seen = marked.with_history(SEQUENCE_LENGTH).df.withColumn("used", F.col("used") & ~F.col(CARRIED))
     columns = ["symbol", BLOCK, FROM_END, "day", "used", *FEATURE_COLS]
-    parts = seen.select(*columns).groupBy("symbol", BLOCK).applyInArrow(_block_moments, _MOMENTS)
+    parts = seen.select(*columns).groupBy("symbol", BLOCK).applyInArrow(_block_moments, MOMENTS)
     return parts.groupBy("symbol", "day", "lag", "term").agg(*[F.sum(t).alias(t) for t in TERMS])
 
 
+def whole_days(series: Ordered, newest: int | None = None) -> DataFrame:
+    """(symbol, day) of the days all of whose sequences train, so that their sums don't change with the range."""
+    labels = index_sequences(series).rows().where(F.col("seq_no") > 0)
+    return labels.groupBy("symbol", event_date(F.col("timestamp")).alias("day")) \
+        .agg(F.bool_and(trained_range(newest)).alias("whole")).where("whole").drop("whole")
+
+
+def day_marks(clean: DataFrame) -> DataFrame:
+    """(symbol, day, rows, mark, before): what the rows of each day are, and those of the day before it.
+
+    The sums of a day depend on no other rows, as long as 60 rows are fewer than a day has.
+    """
+    ordered = Window.partitionBy("symbol").orderBy("day")
+    rows = F.struct(F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64("timestamp", *FEATURE_COLS)).alias("mark"))
+    days = clean.groupBy("symbol", event_date(F.col("timestamp")).alias("day")).agg(rows.alias("own"))
+    return days.withColumn("last", F.lag("own").over(ordered)).select(
+        "symbol", "day", F.col("own.rows").alias("rows"), F.col("own.mark").alias("mark"),
+        F.xxhash64("last.rows", "last.mark", F.col("last.rows") < SEQUENCE_LENGTH,
+                   F.when(F.col("last.rows") < SEQUENCE_LENGTH, F.monotonically_increasing_id())).alias("before"))
+
+
+def _converted(table: pa.Table, old: pa.Table, new: pa.Table) -> pa.Table:
+    """Moments in the units of one scaler in those of another: features are affine in each other."""
+    def bounds(scaler: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        rows = {r["feature"]: (r["min"], r["max"]) for r in scaler.to_pylist()}
+        low, high = (np.array([rows[c][i] for c in FEATURE_COLS]) for i in (0, 1))
+        return low, np.where(high == low, 1.0, high - low)
+
+    (low, wide), (to_low, to_wide) = bounds(old), bounds(new)
+    change = np.diag(np.concatenate([[1.0], wide / to_wide]))
+    change[0, 1:] = (low - to_low) / to_wide
+    table = table.append_column("place", pa.array([TERMS.index(t) for t in table["term"].to_pylist()]))
+    table = table.sort_by([("day", "ascending"), ("lag", "ascending"), ("place", "ascending")]).drop(["place"])
+    sums = np.column_stack([table[t].to_numpy() for t in TERMS]).reshape(-1, len(TERMS), len(TERMS))
+    sums = (change.T @ sums @ change).reshape(-1, len(TERMS))
+    for i, t in enumerate(TERMS):
+        table = table.set_column(table.schema.get_field_index(t), t, pa.array(sums[:, i]))
+    return table
+
+
+def converted(moments: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
+    """``moments`` that were taken of features scaled by ``old`` as if ``new`` had scaled them."""
+    def run(key: tuple[pa.Scalar, ...], sums: pa.Table, scalers: pa.Table) -> pa.Table:
+        if not sums.num_rows:
+            return sums
+        sides = [scalers.filter(pc.equal(scalers["which"], which)) for which in (0, 1)]
+        return _converted(sums, *sides)
+
+    both = old.select("symbol", "feature", "min", "max", F.lit(0).alias("which")).unionByName(
+        new.select("symbol", "feature", "min", "max", F.lit(1).alias("which")))
+    return moments.select("symbol", "day", "lag", "term", *TERMS).groupBy("symbol") \
+        .cogroup(both.select(F.col("symbol").alias("_symbol"), "feature", "min", "max", "which").groupBy("_symbol")) \
+        .applyInArrow(run, MOMENTS)
+
+
 def range_ends(series: Ordered, newest: int | None = None) -> DataFrame:
     """The first rows of the training windows' range and those after its last start, by place."""
     indexed = index_sequences(series).rows().withColumn("rn", F.col("seq_no") + SEQUENCE_LENGTH)

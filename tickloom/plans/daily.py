@@ -12,7 +12,8 @@ from tickloom.operators.dedup import drop_exact_duplicates, unseen, with_hashes
 from tickloom.operators.features import CONTINUOUS, build_features, order_ticks
 from tickloom.operators.joins import band_join
 from tickloom.operators.models import (
-    evaluate, evaluate_series, fit_symbol, scaled_without_missing,
+    evaluate, evaluate_series, fit_symbol, scaled_without_missing, symbols_with_missing,
+    training_status,
 )
 from tickloom.operators.ordered import Ordered
 from tickloom.operators.quality import expectations, observed, observed_step
@@ -20,7 +21,9 @@ from tickloom.operators.training import (
     build_sequences, clean_series, fit_scaler, order_series, prepare_training, scale,
     split_sequences, trainable_symbols, validation_part,
 )
-from tickloom.operators.windows import RIDGE, fit_windows
+from tickloom.operators.windows import (
+    RIDGE, converted, day_marks, fit_windows, whole_days, window_moments,
+)
 from tickloom.plans import gates
 from tickloom.schemas import (
     BOOK_TOPIC, ROWS_PER_SYMBOL, SEQUENCE_LENGTH, SYMBOLS, TRADE_TOPIC, TRAIN_SHARE,
@@ -143,7 +146,7 @@ def run_training(
 
     All rows are prepared, scaled and tested on; a regressor is fitted on the newest ``fit_rows``
     training sequences of its symbol (None: all). ``rows_per_symbol`` and ``days`` limit the
-    training layer itself. ``expect`` stops the run if the features miss the documented bounds.
+    training layer itself. Every symbol gets a status, the skipped ones too. ``expect`` stops the run if the features miss the documented bounds.
     """
     gates.layer_has_rows(spark, root, FEATURES)
     features = lake.read_layer(spark, root, FEATURES).where(F.col("symbol").isin(*SYMBOLS))
@@ -152,9 +155,11 @@ def run_training(
     with scratch_scope(spark):
         lake.write_table(prepare_training(features, rows_per_symbol, days), root, TRAINING)
         gates.training_layer_usable(spark, root, TRAINING)
-        rows = _with_enough_rows(lake.read_layer(spark, root, TRAINING))
-        clean = _with_enough_rows(materialize(clean_series(rows), "clean"))
-        metrics = train_and_evaluate(spark, root, run, clean, estimator, fit_on, fit_rows)
+        layer = lake.read_layer(spark, root, TRAINING)
+        clean = _with_enough_rows(materialize(clean_series(_with_enough_rows(layer)), "clean"))
+        metrics = materialize(train_and_evaluate(spark, root, run, clean, estimator, fit_on, fit_rows), "metrics")
+        bad = symbols_with_missing(scale(clean, registry.read_scaler(spark, root).where(F.col("run_id") == run).drop("run_id")))
+        registry.save_status(training_status([*SYMBOLS], layer, bad, metrics), root, run)
         registry.save_metrics(metrics, root, run)
     return registry.read_metrics(spark, root).where(F.col("run_id") == run).orderBy("symbol")
 
@@ -184,7 +189,8 @@ def train_and_evaluate(
     scaler = registry.save_scaler(fit_scaler(_scaler_rows(clean, fit_on)), root, run)
     series = order_series(scaled_without_missing(scale(clean, scaler)))
     if estimator is None:
-        fitted = fit_windows(series, ridge, fit_rows, inputs)
+        moments = kept_moments(series, clean, root, run, fit_rows, scaler)
+        fitted = fit_windows(series, ridge, fit_rows, inputs, moments)
         metrics = evaluate_series(series, registry.save_coefficients(fitted, root, run), scaler)
     else:
         metrics = _with_estimator(series, clean, root, run, estimator, fit_rows, scaler)
@@ -194,6 +200,26 @@ def train_and_evaluate(
     })
 
 
+def kept_moments(
+    series: Ordered, clean: DataFrame, root: str, run: str, fit_rows: int | None, scaler: DataFrame,
+) -> DataFrame:
+    """The sums that models are solved from; those of a day are taken once and kept for later runs.
+
+    A day's sums are used again if all of its sequences train and its rows and those of the day before
+    are what they were. They are kept in the units of the first run's scaler.
+    """
+    spark = series.df.sparkSession
+    units = registry.first_scaler(scaler, root)
+    days = ["symbol", "day", "rows", "mark", "before"]
+    whole = materialize(day_marks(clean).join(whole_days(series, fit_rows), ["symbol", "day"]), "whole-days")
+    kept = registry.read_moments(spark, root).join(whole, days)
+    first = materialize(kept.groupBy("symbol", "day").agg(F.min("run_id").alias("run_id")), "known-days")
+    old = converted(kept.join(first, ["symbol", "day", "run_id"]), units, scaler)
+    fresh = materialize(window_moments(series, fit_rows, first), "moments")
+    registry.save_moments(converted(fresh, scaler, units).join(whole, ["symbol", "day"]), root, run)
+    return materialize(fresh.unionByName(old), "moments")
+
+
 def _with_estimator(
     series: Ordered, clean: DataFrame, root: str, run: str, estimator: Estimator,
     fit_rows: int | None, scaler: DataFrame,

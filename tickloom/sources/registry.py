@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.models import latest_runs
-from tickloom.operators.windows import WindowModels
+from tickloom.operators.windows import MOMENTS, WindowModels
 from tickloom.session import folder_names, materialize
 
 
@@ -55,6 +55,32 @@ def read_coefficients(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(types).parquet(_table(root, "coefficients"))
 
 
+def read_moments(spark: SparkSession, root: str) -> DataFrame:
+    """Sums by symbol and day that earlier runs have kept, in the units of the first run's scaler."""
+    types = f"{MOMENTS}, rows long, mark long, before long, run_id string"
+    if "moments" not in folder_names(spark, f"{root}/models"):
+        return spark.createDataFrame([], types)
+    return spark.read.schema(types).parquet(_table(root, "moments"))
+
+
+def save_moments(moments: DataFrame, root: str, run: str) -> None:
+    _write_run(moments, root, "moments", run)
+
+
+def first_scaler(scaler: DataFrame, root: str) -> DataFrame:
+    """The scaler whose units kept sums are in; for a symbol without one ``scaler``, kept from now on."""
+    spark = scaler.sparkSession
+    if "units" not in folder_names(spark, f"{root}/models"):
+        scaler.write.parquet(_table(root, "units"))
+        return spark.read.parquet(_table(root, "units"))
+    known = spark.read.parquet(_table(root, "units"))
+    fresh = materialize(scaler.join(known.select("symbol").distinct(), "symbol", "left_anti"), "new-units")
+    if not fresh.isEmpty():
+        fresh.write.mode("append").parquet(_table(root, "units"))
+        known = spark.read.parquet(_table(root, "units"))
+    return known
+
+
 def save_metrics(metrics: DataFrame, root: str, run: str) -> None:
     """Written last: a run is visible to scoring once its metrics exist."""
     _write_run(metrics, root, "metrics", run)
@@ -67,6 +93,14 @@ def read_metrics(spark: SparkSession, root: str) -> DataFrame:
     ).parquet(_table(root, "metrics"))
 
 
+def save_status(status: DataFrame, root: str, run: str) -> None:
+    _write_run(status, root, "status", run)
+
+
+def read_status(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("symbol string, rows long, status string, run_id string").parquet(_table(root, "status"))
+
+
 def load_latest(spark: SparkSession, root: str) -> tuple[WindowModels, DataFrame]:
     """The latest model of every symbol that has one, and the scalers those models expect."""
     latest = materialize(latest_runs(read_metrics(spark, root)), "latest-runs")

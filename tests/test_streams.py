@@ -17,8 +17,9 @@ from tickloom.sources.events import books_of, read_events, trades_of
 from tickloom.sources.lake import read_raw_day, read_topic
 from tickloom.streaming import chart, live
 from tickloom.streaming.events import dedup_stream, interval_join, late_rows, latest_prices
+from tickloom.streaming.flushing import start_flushed
 from tickloom.streaming.landing import (
-    publish, publish_or_keep, resend, route, start_landing, waiting, write_routed,
+    publish, publish_or_keep, resend, route, start_landing, start_topic_landing, waiting, write_routed,
 )
 from tickloom.schemas import BOOK_TOPIC, FEATURE_COLS, PREDICTION_TOPIC, SYMBOLS, TRADE, TRADE_TOPIC
 from tickloom.streaming.lateness import LateRows, total_late
@@ -512,3 +513,47 @@ def test_a_sink_that_fails_twice_has_each_record_once_in_the_end(spark, tmp_path
     kept = spark.read.parquet(errors)  # marks are no rows
     assert kept.count() == 2 and waiting(spark, errors) == []
     assert (tmp_path / "errors" / "_sent" / "0").read_text() == "3"
+
+
+def lines_file(folder, name, first, n):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / f"{name}.txt").write_text("".join(record(trade_id=i) + "\n" for i in range(first, first + n)))
+
+
+def landed_in(folder):
+    """Records of each flush."""
+    return sorted(sum(len(f.read_text().splitlines()) for f in d.glob("*.txt")) for d in Path(folder).rglob("batch=flush-*"))
+
+
+def test_files_are_flushed_when_they_are_many_or_at_the_end_of_a_run(spark, tmp_path):
+    topic = tmp_path / "topics" / TRADE_TOPIC
+    now = time.time() - 100
+    for i, n in enumerate([3, 4, 5, 2]):
+        lines_file(topic, i, 10 * i, n)
+        os.utime(topic / f"{i}.txt", (now + i, now + i))
+
+    def run():
+        reader = spark.readStream.option("maxFilesPerTrigger", 1).text(str(topic))
+        start_flushed(
+            reader, lambda messages, name: write_routed(route(messages, TRADE_TOPIC), f"{tmp_path}/lake", f"flush-{name}"),
+            f"{tmp_path}/check", 7, 3_600_000, NOW).awaitTermination()
+    run()
+    assert landed_in(f"{tmp_path}/lake") == [7, 7]  # 3 + 4, and 5 + 2
+    lines_file(topic, 9, 90, 1)
+    run()
+    assert landed_in(f"{tmp_path}/lake") == [1, 7, 7]
+    ids = [json.loads(r["value"])["trade_id"] for r in spark.read.text(f"{tmp_path}/lake").collect()]
+    assert len(ids) == len(set(ids)) == 15
+
+
+def test_old_messages_are_flushed_without_new_ones(spark, tmp_path):
+    lines_file(tmp_path / "topics" / TRADE_TOPIC, 0, 0, 3)
+    query = start_topic_landing(
+        spark, f"{tmp_path}/topics", TRADE_TOPIC, f"{tmp_path}/lake", f"{tmp_path}/check", "files", records=1000, age=3_000)
+    try:
+        deadline = time.time() + 60
+        while landed_in(f"{tmp_path}/lake") != [3] and time.time() < deadline:
+            time.sleep(0.5)
+        assert landed_in(f"{tmp_path}/lake") == [3]
+    finally:
+        query.stop()

@@ -11,9 +11,12 @@ from tickloom.functions.numbers import event_date
 from tickloom.operators.contract import check_json, error_text
 from tickloom.session import folder_names, read_text, write_text
 from tickloom.sources.lake import ERRORS, RAW, read_topic
+from tickloom.streaming.flushing import start_flushed
+from tickloom.streaming.live import LiveQuery
 
 FLUSH_RECORDS = 1000
 FLUSH_INTERVAL = "60 seconds"
+FLUSH_AGE = 60_000
 
 # Kafka options that hold a batch back until it is full or old enough.
 KAFKA_FLUSH = {
@@ -93,11 +96,20 @@ def start_landing(
 def start_topic_landing(
     spark: SparkSession, location: str, topic: str, root: str, checkpoint: str,
     connector: str = "kafka", trigger: dict | None = None,
-) -> StreamingQuery:
-    """Land a topic from its beginning, flushed when a batch is full or old enough."""
-    options = KAFKA_FLUSH if connector == "kafka" else None
-    stream = read_topic(spark, location, topic, "earliest", connector, options)
-    return start_landing(stream, topic, root, checkpoint, trigger)
+    records: int = FLUSH_RECORDS, age: int = FLUSH_AGE,
+) -> StreamingQuery | LiveQuery:
+    """Land a topic from its beginning, flushed when a batch is full or old enough.
+
+    Kafka holds a batch back until then; messages from files wait in a buffer.
+    """
+    if connector == "kafka":
+        options = KAFKA_FLUSH | {"minOffsetsPerTrigger": str(records), "maxTriggerDelay": f"{age} milliseconds"}
+        return start_landing(
+            read_topic(spark, location, topic, "earliest", connector, options), topic, root, checkpoint, trigger)
+    return start_flushed(
+        read_topic(spark, location, topic, "earliest", connector),
+        lambda messages, name: write_routed(route(messages, topic), root, f"flush-{name}"),
+        checkpoint, records, age, trigger)
 
 
 Sink = Callable[[DataFrame, int], None]

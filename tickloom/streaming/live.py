@@ -270,12 +270,13 @@ def start_live(
     its results then come at its end, when ``awaitTermination`` returns. Books that run more than
     ``retention`` ahead of the trades stop waiting for them. With a ``patience`` what still waits comes
     out after so many milliseconds without any event; the clock for that is one more source, so it
-    is to be given on every start with the same checkpoint, or on none.
+    is to be given on every start with the same checkpoint, or on none, and bounded runs have none.
     """
     spark = trades.sparkSession
     trigger = trigger or {"processingTime": "1 second"}
     bounded = bool(trigger.get("availableNow") or trigger.get("once"))
     state = LiveState(spark, f"{checkpoint}/live-state")
+    patience = None if bounded else patience
     order = Reorder(state, lateness if bounded or lateness is not None else LATENESS, patience, retention)
     ends = f"{checkpoint}/live-ends"
     events = tagged_events(trades, books)

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import materialize, small_batches
+from tickloom.llm.common import arrow_rows, materialize
 
 SCALE = 1024
 K = 10
@@ -46,7 +46,7 @@ def _matrix(rows: pd.Series, d: int) -> np.ndarray:
 
 
 def _packed(rows: DataFrame, d: int, size: int, low: np.ndarray, wide: np.ndarray, cells: bool) -> DataFrame:
-    """Rows packed ``size`` at a time: ids and either cell numbers or whole vectors as bytes."""
+    """Rows packed ``size`` at a time and stored: ids and either cell numbers or whole vectors as bytes."""
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             v = _matrix(batch["v"], d)
@@ -54,8 +54,8 @@ def _packed(rows: DataFrame, d: int, size: int, low: np.ndarray, wide: np.ndarra
                 v = ((v - low) * CELLS // wide).astype(np.uint8)
             yield pd.DataFrame({"ids": [batch["vec_id"].to_numpy(np.int64).tobytes()], "data": [v.tobytes()]})
 
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
-    return rows.mapInPandas(pack, "ids binary, data binary")
+    with arrow_rows(rows.sparkSession, size):
+        return materialize(rows.mapInPandas(pack, "ids binary, data binary"), "packed")
 
 
 def candidates(blocks: DataFrame, low: np.ndarray, wide: np.ndarray, k: int) -> DataFrame:
@@ -131,12 +131,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         wide[r.pos] = max(r.high, 0) - low[r.pos] + 1
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     large = sum(max(abs(int(a)), abs(int(a) + int(w))) ** 2 for a, w in zip(low, wide)) >= 1 << 62
-    chunks = materialize(
-        _packed(shown.repartition(parts, "vec_id"), len(low), CHUNK, low, wide, cells=True), "cells")
+    chunks = _packed(shown.repartition(parts, "vec_id"), len(low), CHUNK, low, wide, cells=True)
     # Queries go to fewer partitions, so that their blocks are filled.
     few = max(1, min(parts, exact.where(is_query).count() // BLOCK))
-    asked = materialize(_packed(
-        exact.where(is_query).repartition(few, "vec_id"), len(low), BLOCK, low, wide, cells=False), "queries")
+    asked = _packed(exact.where(is_query).repartition(few, "vec_id"), len(low), BLOCK, low, wide, cells=False)
     # Groups of chunks and of blocks meet in the cells of a grid, about one for each partition.
     across = max(1, min(asked.count(), round(parts ** 0.5)))
     down = -(-parts // across)
@@ -148,8 +146,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         "column", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(across - 1).cast("long"))))
     # Spark's estimate misses the copies that explode makes, so it must not choose a broadcast.
     pairs = spread.join(dealt.hint("merge"), ["row", "column"]).select("q_ids", "q_data", "ids", "data")
-    small_batches(spark, 16)  # a row holds a block and a chunk
-    found = materialize(candidates(pairs, low, wide, k), "bounds")
+    with arrow_rows(spark, 16):  # a row holds a block and a chunk
+        found = materialize(candidates(pairs, low, wide, k), "bounds")
     by_lower = Window.partitionBy("query_id").orderBy(F.col("lower").desc(), "vec_id")
     floor = found.withColumn("n", F.row_number().over(by_lower)).where(F.col("n") <= k) \
         .groupBy("query_id").agg(F.min("lower").alias("floor"), F.count("*").alias("m")) \

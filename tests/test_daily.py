@@ -246,15 +246,37 @@ def test_footers_tell_what_a_scan_tells(spark, root, report):
         assert (row["rows"], row["nulls"], row["type"]) == tuple(scanned[column][k] for k in ("rows", "nulls", "type"))
     bounds = layer.agg(F.min("timestamp"), F.max("timestamp")).first()
     assert (told["timestamp"]["least"], told["timestamp"]["most"]) == tuple(map(str, bounds))
-    plan = footers.footer_aggregates(spark, folders, layer.schema)._jdf.queryExecution().executedPlan().toString()
-    # The scan reads counts and bounds, not columns.
-    assert "ReadSchema: struct<count(*):bigint,count(symbol):bigint" in plan
+    # The scans read counts and bounds, not columns.
+    table = footers._table(spark, folders)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (
+        footers.footer_counts(table, ["symbol", "timestamp"]), footers.footer_bounds(table, ["timestamp"]))]
+    assert "ReadSchema: struct<count(*):bigint,count(symbol):bigint" in plans[0]
+    assert "ReadSchema: struct<min(timestamp):bigint,max(timestamp):bigint>" in plans[1]
     gates.columns_filled(spark, root, daily.JOINED, ["symbol", "price"], DATE)
     with pytest.raises(gates.GateError, match="top_bid_price"):
         gates.columns_filled(spark, root, daily.JOINED, ["top_bid_price"], DATE)
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
 
 
+def test_footers_of_files_without_values_or_rows(spark, tmp_path):
+    """One file has nothing but nulls in ``n``, one has no rows."""
+    parts = [[(1, 5), (2, 6)], [(3, None)], []]
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, "id long, n long").coalesce(1).write.parquet(f"{tmp_path}/{i}")
+    paths = [f"{tmp_path}/{i}" for i in range(3)]
+    told = {r["column"]: tuple(r)[2:] for r in footers.footer_profile(spark, paths).collect()}
+    assert told == {"id": (3, 0, "1", "3"), "n": (3, 1, None, None)}
+    assert [tuple(r)[2:] for r in footers.footer_profile(spark, paths[2:]).collect()] == [(0, 0, None, None)] * 2
+    assert footers.footer_rows(spark, paths) == 3 and footers.footer_rows(spark, paths[2:]) == 0
+    # Arrays are stored as one column, so what follows them is found; structs are not.
+    spark.sql("select array(array(1.5)) as depth, id, if(id = 0, null, id) as gap from range(3)").write.parquet(f"{tmp_path}/a")
+    told = {r["column"]: tuple(r)[2:] for r in footers.footer_profile(spark, [f"{tmp_path}/a"]).collect()}
+    assert told == {"id": (3, 0, "0", "2"), "gap": (3, 1, None, None)}
+    spark.sql("select struct(1 as a, 2 as b) as s, id from range(3)").write.parquet(f"{tmp_path}/s")
+    with pytest.raises(ValueError, match="several"):
+        footers.footer_profile(spark, [f"{tmp_path}/s"])
+
+
 def test_every_symbol_has_a_status(spark):
     def table(*symbols):
         return spark.createDataFrame([(s,) for s in symbols], "symbol string")

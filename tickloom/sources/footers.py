@@ -19,33 +19,56 @@ def _footer_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def footer_aggregates(spark: SparkSession, paths: list[str], types: T.StructType) -> DataFrame:
-    """One row of counts and bounds of the plain columns of some parquet folders, from their footers."""
-    table = _footer_session(spark).read.schema(types).parquet(*paths)
-    counted = [f for f in types if isinstance(f.dataType, COUNTED)]
+def _leaves(kind: T.DataType) -> int:
+    """Parquet columns that a column is stored as."""
+    if isinstance(kind, T.ArrayType):
+        return _leaves(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _leaves(kind.keyType) + _leaves(kind.valueType)
+    return sum(_leaves(f.dataType) for f in kind) if isinstance(kind, T.StructType) else 1
+
+
+def _table(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The folders in a footer session. Spark finds a column's footer by its place, so all are declared."""
+    types = spark.read.parquet(paths[0]).schema
+    wide = [f.name for f in types if _leaves(f.dataType) != 1]
+    if wide:
+        raise ValueError(f"columns stored as several: {wide}")
+    return _footer_session(spark).read.schema(types).parquet(*paths)
+
+
+def footer_counts(table: DataFrame, names: list[str]) -> DataFrame:
+    """One row of a table's rows and of the values of plain columns, from the footers."""
     return table.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{f.name}`")).alias(f"n_{i}") for i, f in enumerate(counted)],
-        *[bound(F.col(f"`{f.name}`")).alias(f"{name}_{i}") for i, f in enumerate(counted) if isinstance(f.dataType, BOUNDED)
-          for name, bound in (("least", F.min), ("most", F.max))])
+        F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{name}`")).alias(f"n_{i}") for i, name in enumerate(names)])
+
+
+def footer_bounds(table: DataFrame, names: list[str]) -> DataFrame:
+    """One row of the bounds of columns without a null, from the footers."""
+    return table.agg(*[
+        bound(F.col(f"`{name}`")).alias(f"{which}_{name}") for name in names for which, bound in (("least", F.min), ("most", F.max))])
 
 
 def footer_rows(spark: SparkSession, paths: list[str]) -> int:
-    first = spark.read.parquet(paths[0]).schema.fields[:1]
-    return footer_aggregates(spark, paths, T.StructType(first)).first()["rows"]
+    return footer_counts(_table(spark, paths), []).first()["rows"] or 0  # files without rows count nothing
 
 
 def footer_profile(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``column, type, rows, nulls, least, most`` of each plain column, a row for each.
 
-    ``least`` and ``most`` are text, and null for types whose bounds footers don't hold exactly.
+    ``least`` and ``most`` are text. They are null for types whose bounds footers don't hold exactly and
+    for columns with a null, since the footer of a file with nothing but nulls has none.
     """
-    types = spark.read.parquet(paths[0]).schema
-    found = footer_aggregates(spark, paths, types).first().asDict()
-    counted = [f for f in types if isinstance(f.dataType, COUNTED)]
+    table = _table(spark, paths)
+    fields = [f for f in table.schema if isinstance(f.dataType, COUNTED)]
+    counts = {k: n or 0 for k, n in footer_counts(table, [f.name for f in fields]).first().asDict().items()}
+    rows = counts["rows"]
+    filled = [f.name for i, f in enumerate(fields) if isinstance(f.dataType, BOUNDED) and 0 < rows == counts[f"n_{i}"]]
+    bounds = footer_bounds(table, filled).first().asDict() if filled else {}
 
     def text(name: str) -> str | None:
-        return None if found.get(name) is None else str(found[name])
+        return None if bounds.get(name) is None else str(bounds[name])
 
     return spark.createDataFrame([
-        (f.name, f.dataType.simpleString(), found["rows"], found["rows"] - found[f"n_{i}"], text(f"least_{i}"), text(f"most_{i}"))
-        for i, f in enumerate(counted)], PROFILE)
+        (f.name, f.dataType.simpleString(), rows, rows - counts[f"n_{i}"], text(f"least_{f.name}"), text(f"most_{f.name}"))
+        for i, f in enumerate(fields)], PROFILE)

@@ -61,16 +61,18 @@ def _packed(rows: DataFrame, d: int, size: int, low: np.ndarray, wide: np.ndarra
 def candidates(blocks: DataFrame, low: np.ndarray, wide: np.ndarray, k: int) -> DataFrame:
     """Scan (query block, chunk) pairs: what the bounds leave of a chunk for each query.
 
-    Within a chunk, whatever has an upper bound below the kth lower bound is out.
+    Whatever has an upper bound below the kth lower bound of the chunks that the task has seen for
+    the query is out, so what a task passes on hardly grows with its chunks.
     """
     d = len(low)
     first = -(-np.arange(CELLS)[:, None] * wide // CELLS)  # smallest offset in each cell
     last = np.vstack([first[1:], wide[None, :]]) - 1
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dims = np.arange(d)
+        dims, best = np.arange(d), {}  # best: the k largest lower bounds of each query of a block
         for batch in batches:
             for q_ids, q_data, ids, data in zip(batch["q_ids"], batch["q_data"], batch["ids"], batch["data"]):
+                block = q_ids
                 q_ids, ids = np.frombuffer(q_ids, np.int64), np.frombuffer(ids, np.int64)
                 q = np.frombuffer(q_data, np.int64).reshape(-1, d).astype(float)
                 cell = np.frombuffer(data, np.uint8).reshape(-1, d)
@@ -83,8 +85,9 @@ def candidates(blocks: DataFrame, low: np.ndarray, wide: np.ndarray, k: int) ->
                 own = q_ids[:, None] == ids[None, :]
                 lower[own] = -np.inf
                 upper[own] = -np.inf
-                kth = np.partition(lower, -k, axis=1)[:, -k] if lower.shape[1] > k else np.full(len(q), -np.inf)
-                i, j = np.nonzero((upper >= kth[:, None]) & ~own)
+                seen = np.hstack([best.get(block, np.full((len(q), k), -np.inf)), lower])
+                best[block] = np.partition(seen, -k, axis=1)[:, -k:]
+                i, j = np.nonzero((upper >= best[block].min(axis=1)[:, None]) & ~own)
                 yield pd.DataFrame({"query_id": q_ids[i], "vec_id": ids[j], "upper": upper[i, j], "lower": lower[i, j]})
 
     return blocks.mapInPandas(scan, "query_id long, vec_id long, upper double, lower double")

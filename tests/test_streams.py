@@ -398,17 +398,17 @@ def live_schema(spark):
 
 
 def test_books_without_trades_leave_a_state_of_bounded_size(spark, tmp_path):
-    """Thirty micro-batches; what comes out of them is one book a symbol for the state."""
+    """Twenty micro-batches; what comes out of them is one book a symbol for the state."""
     state = live.LiveState(spark, str(tmp_path / "state"))
     order = Reorder(state, 1_000, retention=5_000)
     parts, last = [], None
-    for i in range(30):
+    for i in range(20):
         events = live.tagged_events(tick(spark, []), book(spark, range(1000 * i, 1000 * i + 1000, 100)).coalesce(1))
         ready, _, marks = order.take(events, i)
         order.commit(i, marks)
         parts.append(len(list((tmp_path / "state" / "log").iterdir())))
         last = ready
-    assert max(parts[10:]) == max(parts[25:]) < 12 and len(marks.parts) < 8
+    assert max(parts[10:]) == max(parts[16:]) < 12 and len(marks.parts) < 8
     old = book(spark, [0, 10])
     _, _, books = live.merge_batch(last, spark.createDataFrame([], live.TICK_TYPES), old, marks.released)
     assert [r["timestamp"] for r in books.collect()] == [marks.released - 100]
@@ -458,13 +458,13 @@ def test_late_rows_are_counted_over_more_batches_than_progress_is_kept_for(spark
     late = tmp_path / "late"
     tick(spark, [1, 2, 3]).coalesce(1).write.parquet(str(late))
     body = next(late.glob("*.parquet")).read_bytes()
-    for i in range(25):
+    for i in range(14):
         file = tmp_path / "in" / f"late-{i}.parquet"
         file.write_bytes(body)
         os.utime(file, (time.time() + i, time.time() + i))
     listener = LateRows(spark, f"{tmp_path}/counts")
     spark.streams.addListener(listener)
-    settings = {"spark.sql.shuffle.partitions": "1", "spark.sql.streaming.numRecentProgressUpdates": "10"}
+    settings = {"spark.sql.shuffle.partitions": "1", "spark.sql.streaming.numRecentProgressUpdates": "5"}
     before = {name: spark.conf.get(name) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
@@ -474,9 +474,9 @@ def test_late_rows_are_counted_over_more_batches_than_progress_is_kept_for(spark
             .option("checkpointLocation", f"{tmp_path}/check").trigger(**NOW).start()
         query.awaitTermination()
         deadline = time.time() + 60
-        while total_late(spark, f"{tmp_path}/counts", query) < 75 and time.time() < deadline:
+        while total_late(spark, f"{tmp_path}/counts", query) < 42 and time.time() < deadline:
             time.sleep(1)
-        assert total_late(spark, f"{tmp_path}/counts", query) == 75 > late_rows(query)
+        assert total_late(spark, f"{tmp_path}/counts", query) == 42 > late_rows(query)
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)

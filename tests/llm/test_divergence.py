@@ -1,5 +1,8 @@
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -71,3 +74,24 @@ def test_share_is_exact_beyond_a_long():
     for count, total in ((1, 3), (8 * 10 ** 15, 8 * 10 ** 15 + 7), (12_345_678_901, 98_765_432_109_876)):
         found = divergence.share(np.array([count]), np.array([total]))
         assert found.tolist() == [1 + 10 ** 9 * count // total]
+
+
+#: Texts of 2.4 million different terms, and the most that Arrow took to count them, in a process of its own.
+MANY_TERMS = """
+import pyarrow as pa
+from tickloom.llm import divergence
+letters = str.maketrans("0123456789", "ghijklmnop")
+def batches():
+    for i in range(40):
+        texts = [" ".join(f"{n:x}".translate(letters) for n in range(60 * j, 60 * j + 60)) for j in range(1000 * i, 1000 * i + 1000)]
+        yield pa.RecordBatch.from_pydict({"lang": ["en"] * 1000, "source": ["web"] * 1000, "text": texts})
+rows = sum(b.num_rows for b in divergence.partial_counts(batches()))
+print(rows, pa.default_memory_pool().max_memory() >> 20)
+"""
+
+
+def test_a_task_holds_few_partial_counts():
+    found = subprocess.run([sys.executable, "-c", MANY_TERMS], capture_output=True, text=True, check=True,
+                           cwd=Path(divergence.__file__).parents[2])
+    rows, megabytes = map(int, found.stdout.split())
+    assert rows >= 2_400_000 and megabytes < 128

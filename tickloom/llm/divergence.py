@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import materialize, slices
+from tickloom.llm.common import arrow_rows, materialize, slices
 
 #: What stands between terms.
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -21,8 +21,12 @@ BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 3
 #: Terms reported for each group.
 TOP_TERMS = 200
-#: Rows of partial counts that a task holds before it passes them on.
-HELD_ROWS = 2_000_000
+#: Partial counts that a task holds before it passes them on, in rows and in bytes.
+HELD_ROWS = 1 << 18
+HELD_BYTES = 16 << 20
+#: Texts handed to a Python worker at once, and bytes of them that are split at once.
+BATCH_ROWS = 1024
+SLICE_BYTES = 4 << 20
 #: Terms times sources in a shard, on average.
 CELLS = 1 << 20
 
@@ -35,16 +39,16 @@ def _count_terms(batch: pa.Table) -> pa.Table:
     lists = pc.split_pattern_regex(pc.ascii_lower(batch["text"].combine_chunks()), pattern=BETWEEN)
     terms = pc.list_flatten(lists).dictionary_encode()
     in_doc = pa.table({"doc": pc.list_parent_indices(lists), "code": terms.indices}) \
-        .group_by(["doc", "code"]).aggregate([([], "count_all")])
+        .group_by(["doc", "code"], use_threads=False).aggregate([([], "count_all")])
     lang, source = (batch[c].combine_chunks().dictionary_encode() for c in ("lang", "source"))
     found = pa.table({
         "lang": lang.indices.take(in_doc["doc"]), "source": source.indices.take(in_doc["doc"]),
         "code": in_doc["code"], "n": in_doc["count_all"],
-    }).group_by(["lang", "source", "code"]).aggregate([("n", "sum"), ([], "count_all")])
+    }).group_by(["lang", "source", "code"], use_threads=False).aggregate([("n", "sum"), ([], "count_all")])
     counts = pa.table({
         "lang": lang.dictionary.take(found["lang"]), "source": source.dictionary.take(found["source"]),
         "term": terms.dictionary.take(found["code"]), "n": found["n_sum"], "docs": found["count_all"]})
-    groups = batch.select(["lang", "source"]).group_by(["lang", "source"]).aggregate([])
+    groups = batch.select(["lang", "source"]).group_by(["lang", "source"], use_threads=False).aggregate([])
     nothing = pa.array([0] * len(groups), pa.int64())
     present = pa.table({
         "lang": groups["lang"], "source": groups["source"], "term": pa.nulls(len(groups), pa.string()),
@@ -54,18 +58,25 @@ def _count_terms(batch: pa.Table) -> pa.Table:
 
 
 def _merged(tables: list[pa.Table]) -> pa.Table:
-    found = pa.concat_tables(tables).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+    # One thread, which is what a task has; each more would hold counts of its own.
+    found = pa.concat_tables(tables).group_by(["lang", "source", "term"], use_threads=False) \
+        .aggregate([("n", "sum"), ("docs", "sum")])
     return found.rename_columns({"n_sum": "n", "docs_sum": "docs"}).select(["lang", "source", "term", "n", "docs"])
 
 
+def _filled(tables: list[pa.Table]) -> float:
+    """The share of what a task may hold that the tables take."""
+    return max(sum(t.num_rows for t in tables) / HELD_ROWS, sum(t.nbytes for t in tables) / HELD_BYTES)
+
+
 def partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.Table] = []
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             held.append(_count_terms(part))
-            if sum(t.num_rows for t in held) > HELD_ROWS:
+            if _filled(held) > 1:
                 held = [_merged(held)]
-                if held[0].num_rows > HELD_ROWS // 2:
+                if _filled(held) > 0.5:
                     yield from held.pop().to_batches(65_536)
     if held:
         yield from _merged(held).to_batches(65_536)
@@ -79,7 +90,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
     picked = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     counts = picked.mapInArrow(partial_counts, _COUNTS).groupBy("lang", "source", "term") \
         .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    return materialize(counts, "term-counts")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return materialize(counts, "term-counts")
 
 
 def share(count, total):

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tickloom.llm import repeats
@@ -108,3 +109,33 @@ def test_equal_windows_have_equal_anchors():
                 starts.append(s)
                 assert anchors.setdefault(data[s:s + least].tobytes(), anchor) == anchor
         assert sorted(starts) == sorted(o + i for o, x in zip(offsets, texts) for i in range(len(x) - least + 1))
+
+
+def test_suffixes_are_sorted_to_the_depth_exactly():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        text = rng.integers(0, int(rng.integers(1, 4)), int(rng.integers(1, 80))).astype(np.uint16)
+        depth = int(rng.integers(1, 30))
+        starts = [tuple(text[i:i + depth]) for i in range(len(text))]
+        assert repeats.suffix_ranks(text, depth).tolist() == [sorted(starts).index(s) for s in starts]
+
+
+def test_keys_too_long_to_be_packed_are_in_the_same_order():
+    key = np.random.default_rng(3).integers(0, 1 << 40, 500) // 3
+    (order, ordered), (wide, same) = repeats._in_order(key, 40), repeats._in_order(key, 63)
+    assert order.tolist() == wide.tolist() and ordered.tolist() == same.tolist() == sorted(key.tolist())
+
+
+def test_fragments_alone_under_their_anchor_are_not_sorted(monkeypatch):
+    """Copies of whole texts, merged with their weight, hold nothing that a suffix array could tell."""
+    sorted_bodies, find = [], repeats.repeated_windows
+
+    def watched(bodies, weights, least):
+        sorted_bodies.extend(bodies)
+        return find(bodies, weights, least)
+    monkeypatch.setattr(repeats, "repeated_windows", watched)
+    table = pa.table({"anchor": [1, 2, 2, 3], "f1": [1, 2, 3, 4], "f2": [0] * 4, "n": [2, 1, 2, 1],
+                      "body": pa.array([b"abcdefgh", b"1234567", b"x234567", b"zzzzzz"], pa.binary())})
+    found = repeats._block_repeats(5)((pa.scalar(0),), table)
+    assert sorted_bodies == [b"1234567", b"x234567", b"zzzzzz"]
+    assert sorted(zip(*(found[c].to_pylist() for c in ("f1", "first", "last")))) == [(1, 0, 3), (2, 1, 2), (3, 0, 2), (4, 0, 1)]

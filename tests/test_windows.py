@@ -88,6 +88,31 @@ def test_scoring_reads_the_windows_once(series):
     assert plan.count("FileScan") == 2
 
 
+def test_windows_are_cut_in_parts_and_weighed_in_batches(series):
+    """Neither is a row handled anew for each window that holds it, nor a value of a window on its own."""
+    fitted = materialize(windows.fit_windows(series[0]), "fitted")
+    scored = windows.score_with_table(training.build_sequences(series[0]), fitted)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambdafunction" not in plan
+    assert "RowFrame, -60" not in plan
+
+
+def test_scores_of_odd_windows(spark):
+    nan, rows = float("nan"), [[1.0, 2.0], [3.0, 4.0]]
+    cut = spark.createDataFrame(
+        [(0, "a", rows), (1, "a", [[1.0, None], [3.0, 4.0]]), (2, "a", [[1.0, nan], [3.0, 4.0]]), (3, "a", rows[:1]), (4, "a", None),
+         (5, "a", [[1.0, 2.0], None]), (6, "twice", rows), (7, "no model", rows), (8, "no weights", rows), (9, "no intercept", rows), (10, None, rows)],
+        "id int, symbol string, x array<array<double>>").coalesce(1)
+    weights = [1.0, 10.0, 100.0, 1000.0]
+    models = spark.createDataFrame(
+        [("a", 0.5, weights), ("twice", 0.0, weights), ("twice", 1.0, [0.0, 0.0, 0.0, 1.0]), ("no weights", 1.0, None),
+         ("no intercept", None, weights), (None, 1.0, weights)], "symbol string, intercept double, weights array<double>")
+    found = windows.score_with_table(cut, models)
+    assert found.columns == ["symbol", "id", "y_hat"]
+    assert sorted((r["id"], str(r["y_hat"])) for r in found.collect()) == [
+        (0, "4321.5"), (1, "None"), (2, "nan"), (3, "None"), (4, "None"), (5, "None"), (6, "4321.0"), (6, "5.0"), (8, "None"), (9, "None")]
+
+
 def test_sums_of_a_day_are_taken_once(spark, tmp_path, monkeypatch):
     """The second run has two days more: its models are those of a run from scratch, the old days' sums are kept."""
     counts = {"a": 1500, "b": 1000}

@@ -113,6 +113,13 @@ def test_scores_of_odd_windows(spark):
         (0, "4321.5"), (1, "None"), (2, "nan"), (3, "None"), (4, "None"), (5, "None"), (6, "4321.0"), (6, "5.0"), (8, "None"), (9, "None")]
 
 
+def test_optimality_cuts_the_windows_once(series):
+    used = training.build_sequences(series[0]).where(windows.trained_range(None))
+    fitted = materialize(windows.fit_windows(series[0]), "fitted")
+    plan = windows.optimality(used, fitted)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan  # what both sums read is stored
+
+
 def test_sums_of_a_day_are_taken_once(spark, tmp_path, monkeypatch):
     """The second run has two days more: its models are those of a run from scratch, the old days' sums are kept."""
     counts = {"a": 1500, "b": 1000}

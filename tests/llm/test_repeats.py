@@ -1,10 +1,11 @@
+import hashlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from tickloom.llm import repeats
+from tickloom.llm import queries, repeats
 
 
 def expected(rows, least):
@@ -139,3 +140,27 @@ def test_fragments_alone_under_their_anchor_are_not_sorted(monkeypatch):
     found = repeats._block_repeats(5)((pa.scalar(0),), table)
     assert sorted_bodies == [b"1234567", b"x234567", b"zzzzzz"]
     assert sorted(zip(*(found[c].to_pylist() for c in ("f1", "first", "last")))) == [(1, 0, 3), (2, 1, 2), (3, 0, 2), (4, 0, 1)]
+
+
+def test_the_query_removes_passages_by_their_bytes_not_words(spark, tmp_path):
+    """Passages of over 50 words go from 400 bytes on; what was removed is in ``n_removed``, not in ``n_bytes``."""
+    rng = np.random.default_rng(6)
+
+    def words(n, letters):
+        return " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzé"), letters)) for _ in range(n))
+    passages = {True: words(90, 5), False: words(60, 4)}
+    assert len(passages[True].encode()) >= 400 > len(passages[False].encode()) + 2
+    rows, kept, doc_id = [], {}, 0
+    for goes, passage in passages.items():
+        for edges in ("1", "2", "3"):
+            before, after = words(60, 5) + edges, edges + words(60, 5)
+            rows.append((doc_id, before + passage + after))
+            kept[doc_id] = before + after if goes else before + passage + after
+            doc_id += 1
+    rows.append((doc_id, words(200, 5)))
+    kept[doc_id] = rows[-1][1]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op13_suffix_dedup(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found)) == [
+        (i, len(text.encode()), len(text.encode()) - len(kept[i].encode()), int(kept[i] != text),
+         hashlib.sha256(kept[i].encode()).hexdigest()) for i, text in rows]
